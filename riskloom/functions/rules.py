@@ -54,13 +54,15 @@ def suspicion_score(amount: Column, customer_risk: Column) -> Column:
 
 
 def rule_hits(amount: Column, customer_risk: Column, limit: Column) -> Column:
-    """Names of the rules a transaction breaks; an empty array if none."""
-    threshold = number_or(limit, DEFAULT_TRANSACTION_LIMIT)
+    """Names of the rules a transaction breaks; an empty array if none.
+
+    ``limit`` is a number; a limit kept as text goes through ``number_or`` first.
+    """
     hits = F.array(
-        F.when(above(amount, threshold), F.lit(HIGH_VALUE)),
+        F.when(above(amount, limit), F.lit(HIGH_VALUE)),
         F.when(above(customer_risk, RISKY_CUSTOMER), F.lit(HIGH_RISK_CUSTOMER)),
     )
-    return F.filter(hits, lambda hit: hit.isNotNull())
+    return F.array_compact(hits)
 
 
 def risk_flag(amount: Column, fraud_score: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.dedup import latest_per_key
 from riskloom.sources.sinks import is_done, rebalance, run_once, write_table
-from riskloom.sources.tables import path_exists
+from riskloom.sources.tables import path_exists, read_table
 
 
 def changed_since(df: DataFrame, column: str, target: DataFrame) -> DataFrame:
@@ -47,20 +47,20 @@ def upsert(
     failure the same call continues where it stopped, and repeating it changes nothing.
     The merged partitions are complete in a folder of their own before the table's are replaced.
     """
-    staged_path = f"{path.rstrip('/')}.staged/{run_id}"
+    root, schema = path.rstrip("/"), changes.schema
 
     def merged() -> DataFrame:
         if not path_exists(spark, path):
             return latest_per_key(changes, keys, newest_by)
-        base = spark.read.schema(changes.schema).parquet(path)
+        base = read_table(spark, path, schema)
         touched = changes.select(partition_by).distinct()
         return merge_latest(base.join(touched, partition_by, "left_semi"), changes, keys, newest_by)
 
-    if not is_done(spark, f"{path.rstrip('/')}.done/{run_id}"):
-        staged = run_once(spark, staged_path, merged, partition_by=[partition_by])
-        staged = spark.read.schema(changes.schema).parquet(staged_path)
+    done = f"{root}.done/{run_id}"
+    if not is_done(spark, done):
+        staged = run_once(spark, f"{root}.staged/{run_id}", merged, schema, partition_by=[partition_by])
         write_table(staged, path, partition_by=[partition_by], dynamic=True)
-        write_table(spark.range(0), f"{path.rstrip('/')}.done/{run_id}")
+        write_table(spark.range(0), done)
 
 
 def compact(spark: SparkSession, path: str, into: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -34,12 +34,16 @@ CHILDREN = {
 
 
 def transaction_limit(rules_table: DataFrame) -> Column:
-    """The limit text of the newest rule, as a scalar subquery: nothing is fetched."""
+    """The limit of the newest rule, as a scalar subquery: nothing is fetched.
+
+    The rules keep it as text. It is read once, in the subquery; a text that is not a
+    number, or no rule at all, gives the default.
+    """
     newest = F.max_by(
         F.try_element_at("threshold_params", F.lit("transaction_limit")),
         F.struct("effective_date", "rule_id"),
     )
-    return rules_table.select(newest).scalar()
+    return rules_table.select(rules.number_or(newest, rules.DEFAULT_TRANSACTION_LIMIT)).scalar()
 
 
 def _scored(

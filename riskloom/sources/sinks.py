@@ -6,8 +6,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskloom.sources.tables import path_exists
+from riskloom.sources.tables import path_exists, read_table
 
 
 def rebalance(df: DataFrame, *columns: str) -> DataFrame:
@@ -64,12 +65,19 @@ def is_done(spark: SparkSession, path: str) -> bool:
 
 
 def run_once(
-    spark: SparkSession, path: str, build: Callable[[], DataFrame], **write_options
+    spark: SparkSession,
+    path: str,
+    build: Callable[[], DataFrame],
+    schema: T.StructType | None = None,
+    **write_options,
 ) -> DataFrame:
-    """Build and write the table unless Spark's own success marker is there; then read it."""
+    """Build and write the table unless Spark's own success marker is there; then read it.
+
+    Give the schema where the table may be empty: there is nothing to infer it from.
+    """
     if not is_done(spark, path):
         write_table(build(), path, **write_options)
-    return spark.read.format(write_options.get("fmt", "parquet")).load(path)
+    return read_table(spark, path, schema, write_options.get("fmt", "parquet"))
 
 
 def write_observed(
