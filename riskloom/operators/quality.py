@@ -110,14 +110,9 @@ def quartile_fence(df: DataFrame, column: str, width: float = 1.5, accuracy: int
     quartiles = clean.agg(F.percentile_approx("v", [0.25, 0.75], accuracy).alias("q"))
     q1, q3 = quartiles.select(F.col("q")[0]).scalar(), quartiles.select(F.col("q")[1]).scalar()
     fence = (q3 - q1) * F.lit(width)
-    return (
-        clean.withColumn("q1", q1).withColumn("q3", q3).withColumn("low", q1 - fence).withColumn("high", q3 + fence)
-        .groupBy("q1", "q3", "low", "high")
-        .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.count_if((F.col("v") < F.col("low")) | (F.col("v") > F.col("high"))).alias("n_bad"),
-        )
-        .select(F.lit(column).alias("column"), "q1", "q3", "n_rows", "n_bad")
+    outside = (F.col("v") < q1 - fence) | (F.col("v") > q3 + fence)
+    return clean.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(outside).alias("n_bad")).select(
+        F.lit(column).alias("column"), q1.alias("q1"), q3.alias("q3"), "n_rows", "n_bad"
     )
 
 

@@ -23,13 +23,14 @@ CASE_STATUS = "OPEN"
 CASE_GROUP = "FraudInvestigationTeam"
 CASE_PREFIX = "CASE-"
 
-# Child feeds a transaction is joined with: their key, and the transaction's.
+# Child feeds a transaction is joined with: their key, and the transaction's. Those
+# with the customer's key come last and together: they share one shuffle with the profiles.
 CHILDREN = {
+    "complaints": ("txn_id", "transaction_id"),
     "account_rel": ("account_id", "account_id"),
     "merchant_data": ("merchant_id", "merchant_id"),
     "device_channel": ("customer_id", "customer_id"),
     "kyc_questionnaire": ("customer_id", "customer_id"),
-    "complaints": ("txn_id", "transaction_id"),
 }
 
 

@@ -19,14 +19,19 @@ def enrich(
     normalized: bool = False,
     null_safe: bool = False,
 ) -> DataFrame:
-    """Transactions with country, city, ``is_allowed`` and ``norm_country``."""
-    located = left_join(transactions, locations, "location_id", null_safe)
-    return located.withColumns(
+    """Transactions with country, city, ``is_allowed`` and ``norm_country``.
+
+    Both flags follow from the location, so they are worked out once for each location
+    and not for each transaction. A transaction without a known country is allowed.
+    """
+    places = locations.withColumns(
         {
             "is_allowed": rules.is_allowed(F.col("country"), restricted, normalized),
             "norm_country": rules.normalize_country(F.col("country")),
         }
     )
+    located = left_join(transactions, places, "location_id", null_safe)
+    return located.withColumn("is_allowed", F.coalesce("is_allowed", F.lit(True)))
 
 
 def final_index(
@@ -50,16 +55,23 @@ def final_index(
         dims = [small_side(dim, broadcast_rows) for dim in dims]
     if latest_signal:
         ml_signals = latest_per_key(ml_signals, "transaction_id", ["created_date", "ml_signal_id"])
+    # The signals come first: their join may shuffle, and rows are narrow before the
+    # dimensions add their texts.
     joined = star_join(
         enriched,
         [
+            Dimension(ml_signals, "transaction_id"),
             Dimension(dims[0], "user_id"),
             Dimension(dims[1], "merchant_id"),
             Dimension(dims[2], "card_id"),
-            Dimension(ml_signals, "transaction_id"),
         ],
     )
-    return joined.withColumn("risk_flag", rules.risk_flag(F.col("amount"), F.col("fraud_score")))
+    columns = list(enriched.columns)
+    for table, key in zip([*dims, ml_signals], ["user_id", "merchant_id", "card_id", "transaction_id"], strict=True):
+        columns += [c for c in table.columns if c != key]
+    return joined.select(
+        *columns, rules.risk_flag(F.col("amount"), F.col("fraud_score")).alias("risk_flag")
+    )
 
 
 # Natural key and attributes of every dimension of the index.
@@ -87,12 +99,10 @@ def star_schema(index: DataFrame) -> dict[str, DataFrame]:
         short = name.removeprefix("dim_")
         keys[f"sk_{short}"] = rules.surrogate_key(*[F.col(c) for c in natural])
         attributes = [c for c in attributes if c in index.columns]
+        # Equal rows go first, in a hash aggregate; few are left to choose from.
+        one = index.select(*natural, *attributes).distinct()
         if attributes:
-            one = index.groupBy(*natural).agg(
-                F.max(F.struct(*attributes)).alias("_attributes")
-            ).select(*natural, "_attributes.*")
-        else:
-            one = index.select(*natural).distinct()
+            one = latest_per_key(one, list(natural), attributes)
         tables[name] = one.select(keys[f"sk_{short}"].alias(f"sk_{short}"), *natural, *attributes)
     tables["fact_payment"] = index.select(*[k.alias(n) for n, k in keys.items()], *MEASURES)
     return tables
