@@ -1,0 +1,116 @@
+"""Streams over several batches, restarts and late rows."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from riskloom.operators.layout import key_bucket
+from riskloom.plans.aml import transaction_limit
+from riskloom.sources.tables import aml_rules, read_table
+from riskloom.streaming import speed
+
+SCHEMA = "event_id long, user_id long, ts timestamp, value double"
+DAY0 = dt.datetime(2025, 1, 1)
+
+
+@pytest.fixture
+def events(spark):
+    rows = [(i, i % 3, DAY0 + dt.timedelta(minutes=17 * i), float(i % 5)) for i in range(600)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture
+def folders(tmp_path):
+    return {n: str(tmp_path / n) for n in ("in", "out", "checkpoint")}
+
+
+def batch_windows(events, slide=None):
+    return {
+        (r.user_id, r.w.start): (r.n, r.s)
+        for r in events.groupBy("user_id", F.window("ts", "1 hour", slide).alias("w"))
+        .agg(F.count("*").alias("n"), F.sum("value").alias("s")).collect()
+    }
+
+
+def stream(spark, folders, events, **options):
+    return speed.read_files(spark, folders["in"], events.schema, **options)
+
+
+def test_table_of_windows_equals_batch_over_many_batches(spark, events, folders):
+    events.repartitionByRange(5, "ts").write.parquet(folders["in"])
+    windows = speed.velocity(stream(spark, folders, events, files_per_batch=1), "user_id", "ts", "value", "1 hour", "60 days")
+    windows = windows.withColumn("bucket", key_bucket(["user_id"], 2))
+    query = speed.refresh_table(
+        windows, folders["out"], folders["checkpoint"], ["user_id", "window_start"], ["n_events"], "bucket", "update"
+    )
+    query.awaitTermination()
+    found = {(r.user_id, r.window_start): (r.n_events, r.total) for r in read_table(spark, folders["out"], windows.schema).collect()}
+    assert found == batch_windows(events)
+
+
+def test_closed_windows_across_a_restart(spark, events, folders):
+    half = DAY0 + dt.timedelta(minutes=17 * 300)
+    for part in (events.filter(F.col("ts") < half), events.filter(F.col("ts") >= half)):
+        part.write.mode("append").parquet(folders["in"])
+        windows = speed.velocity(stream(spark, folders, events), "user_id", "ts", "value", "1 hour", "10 minutes", slide="30 minutes")
+        speed.write_files(windows, folders["out"], folders["checkpoint"]).awaitTermination()
+    found = {(r.user_id, r.window_start): (r.n_events, r.total) for r in read_table(spark, folders["out"], windows.schema).collect()}
+    mark = DAY0 + dt.timedelta(minutes=17 * 599 - 10)
+    expected = {k: v for k, v in batch_windows(events, "30 minutes").items() if k[1] + dt.timedelta(hours=1) <= mark}
+    assert found == expected
+
+
+def test_late_rows_are_dropped(spark, events, folders):
+    late = events.filter("event_id < 30").withColumn("event_id", F.col("event_id") + 10000)
+    for part in (events, late):
+        part.coalesce(1).write.mode("append").parquet(folders["in"])
+        windows = speed.velocity(stream(spark, folders, events), "user_id", "ts", "value", "1 hour", "10 minutes")
+        speed.write_files(windows, folders["out"], folders["checkpoint"]).awaitTermination()
+    total = read_table(spark, folders["out"], windows.schema).agg(F.sum("n_events")).first()[0]
+    closed = {k: v for k, v in batch_windows(events).items() if k[1] + dt.timedelta(hours=1) <= DAY0 + dt.timedelta(minutes=17 * 599 - 10)}
+    assert total == sum(n for n, _ in closed.values())
+
+
+def test_deduplication_across_batches(spark, events, folders):
+    again = events.withColumn("value", F.lit(-1.0))
+    events.unionByName(again).repartition(4).write.parquet(folders["in"])
+    unique = speed.deduplicate(stream(spark, folders, events, files_per_batch=1), ["event_id"], "ts", "60 days")
+    speed.write_files(unique, folders["out"], folders["checkpoint"]).awaitTermination()
+    found = read_table(spark, folders["out"], events.schema)
+    assert found.count() == found.select("event_id").distinct().count() == 600
+
+
+def test_sessions(spark, folders):
+    minutes = [0, 5, 9, 40, 44, 300]
+    events = spark.createDataFrame([(i, 1, DAY0 + dt.timedelta(minutes=m), 1.0) for i, m in enumerate(minutes)], SCHEMA)
+    events.write.parquet(folders["in"])
+    runs = speed.sessions(stream(spark, folders, events), "user_id", "ts", "value", "10 minutes", "1 minute")
+    speed.write_files(runs, folders["out"], folders["checkpoint"]).awaitTermination()
+    found = {(r.window_start, r.n_events) for r in read_table(spark, folders["out"], runs.schema).collect()}
+    assert found == {(DAY0, 3), (DAY0 + dt.timedelta(minutes=40), 2)}
+
+
+def test_scoring_joins_static_customers(spark, folders):
+    data = spark.createDataFrame([("t1", "c1", 20000.0), ("t2", "c2", 100.0), ("t3", None, None)],
+                                 "transaction_id string, customer_id string, amount double")
+    data.write.parquet(folders["in"])
+    customers = spark.createDataFrame([("c1", 9.0), ("c2", 9.0)], "customer_id string, risk_score double")
+    scored = speed.score(stream(spark, folders, data), customers, transaction_limit(aml_rules(spark)))
+    speed.write_files(scored, folders["out"], folders["checkpoint"]).awaitTermination()
+    found = {r.transaction_id: (r.suspicion_score, r.rule_hits) for r in read_table(spark, folders["out"], scored.schema).collect()}
+    assert found == {"t1": (1.0, ["HIGH_VALUE", "HIGH_RISK_CUSTOMER"]), "t2": (0.51, ["HIGH_RISK_CUSTOMER"]), "t3": (0.0, [])}
+
+
+def test_refresh_runs_each_batch_once(spark, events, folders):
+    latest = lambda: speed.refresh_table(
+        stream(spark, folders, events).withColumn("bucket", key_bucket(["user_id"], 2)),
+        folders["out"], folders["checkpoint"], ["user_id"], ["ts"], "bucket",
+    ).awaitTermination()
+    events.filter("event_id < 300").write.parquet(folders["in"])
+    latest()
+    latest()
+    events.filter("event_id >= 300").write.mode("append").parquet(folders["in"])
+    latest()
+    found = {r.user_id: r.event_id for r in spark.read.parquet(folders["out"]).collect()}
+    assert found == {0: 597, 1: 598, 2: 599}
