@@ -67,9 +67,20 @@ def sessions(events: DataFrame, key: str, time: str, value: str, gap: str, laten
     return _flat(grouped.agg(*_totals(value)), key)
 
 
-def deduplicate(events: DataFrame, keys: Sequence[str], time: str, lateness: str) -> DataFrame:
-    """The first event of each key; repeats within the lateness are dropped."""
-    return events.withWatermark(time, lateness).dropDuplicatesWithinWatermark(list(keys))
+def deduplicate(
+    events: DataFrame, keys: Sequence[str], time: str, lateness: str, spread: bool = True
+) -> DataFrame:
+    """The first event of each key; repeats within the lateness are dropped.
+
+    A stream shuffles every copy of a key to one task. With ``spread`` the copies are
+    first thinned out among those that one task reads, so that a key with very many
+    copies is worked on by many tasks; this holds every key in the state twice.
+    """
+    events = events.withWatermark(time, lateness)
+    if spread:
+        events = events.withColumn("_reader", F.spark_partition_id())
+        events = events.dropDuplicatesWithinWatermark([*keys, "_reader"]).drop("_reader")
+    return events.dropDuplicatesWithinWatermark(list(keys))
 
 
 def write_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
