@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.operators.joins import own_shuffle
+
 
 def _measures() -> list[Column]:
     return [
@@ -73,7 +75,7 @@ def with_group_share(df: DataFrame, group: Sequence[str], value: str) -> DataFra
     all its rows into one task.
     """
     totals = df.groupBy(*group).agg(F.sum(value).alias("group_total"))
-    return df.join(totals, list(group), "left").withColumn(
+    return df.join(own_shuffle(totals, group), list(group), "left").withColumn(
         "share", F.try_divide(F.col(value), F.col("group_total"))
     )
 

@@ -52,6 +52,18 @@ def left_join(
     return left.join(renamed, same, "left").drop(*[f"_right_{name}" for name in names])
 
 
+def own_shuffle(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+    """The same rows, to be shuffled by the join they go into.
+
+    A table that comes out of an aggregate by its join key is not shuffled again, and
+    adaptive execution splits a hot key only where both sides of a join are read
+    straight from a shuffle. Passing the key through a function hides how the
+    aggregate left the rows, so that hot keys on the other side stay splittable.
+    A broadcast side is not affected.
+    """
+    return df.withColumns({k: F.element_at(F.array(F.col(k)), 1) for k in _names(keys)})
+
+
 def star_join(fact: DataFrame, dimensions: Sequence[Dimension], null_safe: bool = False) -> DataFrame:
     """Look up every dimension from the left; facts without a match are kept."""
     return reduce(

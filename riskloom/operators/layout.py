@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators.dedup import latest_per_key
+from riskloom.operators.joins import small_side
 from riskloom.sources.sinks import is_done, rebalance, run_once, write_table
 from riskloom.sources.tables import path_exists, read_table
 
@@ -53,7 +54,8 @@ def upsert(
         if not path_exists(spark, path):
             return latest_per_key(changes, keys, newest_by)
         base = read_table(spark, path, schema)
-        touched = changes.select(partition_by).distinct()
+        # A table has few partition values; beyond the bound both sides are shuffled.
+        touched = small_side(changes.select(partition_by).distinct(), 100_000)
         return merge_latest(base.join(touched, partition_by, "left_semi"), changes, keys, newest_by)
 
     done = f"{root}.done/{run_id}"

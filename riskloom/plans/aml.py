@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from riskloom.functions import rules
 from riskloom.functions.dates import instant
 from riskloom.operators.dedup import latest_per_key
-from riskloom.operators.joins import with_row_copies
+from riskloom.operators.joins import own_shuffle, with_row_copies
 from riskloom.operators.layout import reused
 from riskloom.sources.sinks import write_table
 
@@ -64,18 +64,34 @@ def _scored(
     )
 
 
-def _child_counts(feeds: Mapping[str, DataFrame], columns: list[str]) -> list[tuple[str, DataFrame, str]]:
-    """Rows per key of each child feed: (transaction column, counts, name of the count)."""
+def _by_key(names: list[str]) -> dict[str, list[str]]:
+    """The children of each transaction key, so that one table for each key can be joined."""
+    groups: dict[str, list[str]] = {}
+    for name in CHILDREN:
+        if name in names:
+            groups.setdefault(CHILDREN[name][1], []).append(name)
+    return groups
+
+
+def _child_counts(feeds: Mapping[str, DataFrame], columns: list[str]) -> list[tuple[str, DataFrame]]:
+    """For each transaction key, the rows of all its child feeds in one aggregate.
+
+    ``_copies_<key>`` is the product of their counts, a feed without rows counting as one.
+    """
     found = []
-    for name, (child_key, own_key) in CHILDREN.items():
-        if name in feeds and own_key in columns:
-            counts = (
-                feeds[name]
-                .filter(F.col(child_key).isNotNull())
-                .groupBy(F.col(child_key).alias(own_key))
-                .agg(F.count(F.lit(1)).alias(f"_n_{name}"))
-            )
-            found.append((own_key, counts, f"_n_{name}"))
+    for own_key, names in _by_key(list(feeds)).items():
+        if own_key not in columns:
+            continue
+        rows = reduce(
+            DataFrame.unionByName,
+            [feeds[n].select(F.col(CHILDREN[n][0]).alias(own_key), F.lit(n).alias("_feed")) for n in names],
+        )
+        product = reduce(
+            lambda a, b: a * b,
+            [F.greatest(F.count_if(F.col("_feed") == n), F.lit(1).cast("long")) for n in names],
+        )
+        counts = rows.filter(F.col(own_key).isNotNull()).groupBy(own_key).agg(product.alias(f"_copies_{own_key}"))
+        found.append((own_key, own_shuffle(counts, own_key)))
     return found
 
 
@@ -107,12 +123,13 @@ def tx_index(
         customers = latest_per_key(
             customers.select("customer_id", "risk_score", "updated_at"), "customer_id", ["updated_at"]
         )
+        customers = own_shuffle(customers, "customer_id")
         scored = _scored(transactions, customers, limit, as_of, keep)
     else:
         children = _child_counts(feeds, transactions.columns)
         counted = reduce(lambda df, c: df.join(c[1], c[0], "left"), children, transactions)
         copies = reduce(
-            lambda product, c: product * F.coalesce(F.col(c[2]), F.lit(1)),
+            lambda product, c: product * F.coalesce(F.col(f"_copies_{c[0]}"), F.lit(1)),
             children,
             F.lit(1).cast("long"),
         )
@@ -220,15 +237,16 @@ def wide(
     grain stays and no array of all children of a key is built; ``details`` has them
     all, as rows.
     """
-    rows = feeds["transactions"]
-    for name, newest_by in (("customer_profile", "updated_at"), ("account_rel", "last_updated"),
-                            ("merchant_data", "updated_at")):
-        if name not in feeds:
-            continue
-        key = {"customer_profile": "customer_id", "account_rel": "account_id", "merchant_data": "merchant_id"}[name]
-        one = latest_per_key(feeds[name], key, [newest_by])
-        attributes = F.struct(*[F.col(c) for c in one.columns if c != key]).alias(name)
-        rows = rows.join(one.select(key, attributes), key, "left")
+    joins: list[tuple[str, DataFrame]] = []
+    for name, key, newest_by in (
+        ("merchant_data", "merchant_id", "updated_at"),
+        ("account_rel", "account_id", "last_updated"),
+        ("customer_profile", "customer_id", "updated_at"),
+    ):
+        if name in feeds:
+            one = latest_per_key(feeds[name], key, [newest_by])
+            attributes = F.struct(*[F.col(c) for c in one.columns if c != key]).alias(name)
+            joins.append((key, one.select(key, attributes)))
     for name, aggregates in summaries.items():
         child_key, own_key = CHILDREN[name]
         summary = (
@@ -237,10 +255,13 @@ def wide(
             .groupBy(F.col(child_key).alias(own_key))
             .agg(F.count(F.lit(1)).alias(f"n_{name}"), *[c.alias(n) for n, c in aggregates.items()])
         )
-        rows = rows.join(summary, own_key, "left").withColumn(
-            f"n_{name}", F.coalesce(F.col(f"n_{name}"), F.lit(0).cast("long"))
-        )
-    return rows
+        joins.append((own_key, summary))
+    # Joins by one key stand together and share the shuffle of the transactions.
+    joins.sort(key=lambda j: (j[0] == "customer_id", j[0]))
+    rows = reduce(lambda df, j: df.join(own_shuffle(j[1], j[0]), j[0], "left"), joins, feeds["transactions"])
+    return rows.withColumns(
+        {f"n_{name}": F.coalesce(f"n_{name}", F.lit(0).cast("long")) for name in summaries}
+    )
 
 
 def details(feeds: Mapping[str, DataFrame]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.dates import is_weekend, weekday_name
 from riskloom.operators.dedup import latest_per_key
-from riskloom.operators.joins import Dimension, star_join
+from riskloom.operators.joins import Dimension, own_shuffle, star_join
 
 # Fixed values of the published calendar.
 CALENDAR_START = "2020-01-01"
@@ -97,7 +97,7 @@ def to_usd(transactions: DataFrame, rates: DataFrame, time: str = "transaction_t
     rate = F.when(F.col("_rate") > 0, F.col("_rate"))
     return (
         transactions.withColumn("_day", F.col(time).cast("date"))
-        .join(daily, ["currency", "_day"], "left")
+        .join(own_shuffle(daily, ["currency", "_day"]), ["currency", "_day"], "left")
         .withColumn("amount_usd", F.col("amount") * rate)
         .drop("_day", "_rate")
     )
@@ -106,7 +106,7 @@ def to_usd(transactions: DataFrame, rates: DataFrame, time: str = "transaction_t
 def geolocate(devices: DataFrame, geolocation: DataFrame) -> DataFrame:
     """Devices with the place of their address; one row of each address is used."""
     places = latest_per_key(geolocation, "ip_address", [])
-    return devices.join(places, "ip_address", "left")
+    return devices.join(own_shuffle(places, "ip_address"), "ip_address", "left")
 
 
 def inner_users(transactions: DataFrame, users: DataFrame) -> DataFrame:
