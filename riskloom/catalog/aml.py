@@ -240,6 +240,42 @@ def aml_child_details(spark, sf):
     )
 
 
+def _star(spark, sf):
+    index = _tx(spark, sf, keep=("account_id", "merchant_id", "txn_timestamp", "amount"))
+    return aml.star_schema(v.aml_feeds(spark, sf), index)
+
+
+def _sk(value: str) -> str:
+    return f"md5(COALESCE('=' || CAST({value} AS VARCHAR), '-'))"
+
+
+@query(v.sql_with(f"""
+    SELECT {_sk('s.customer_id')} AS sk_customer, {_sk('s.merchant_id')} AS sk_merchant,
+           {_sk('account_id')} AS sk_account, {_sk('CAST(txn_timestamp AS DATE)')} AS sk_date,
+           s.transaction_id, amount, suspicion_score
+    FROM scored s JOIN aml_txn t ON s.transaction_id = t.transaction_id
+""", "scored"))
+def aml_star_fact(spark, sf):
+    return _star(spark, sf)["fact_transactions"]
+
+
+@query(v.sql_with("""
+    SELECT account_type, weekday, CAST(count(*) AS BIGINT) AS n_txn FROM (
+      SELECT c_mktsegment AS account_type, dayname(txn_timestamp) AS weekday
+      FROM aml_txn LEFT JOIN customer ON account_id = c_custkey) GROUP BY ALL
+""", "aml_txn"))
+def aml_star_lookup(spark, sf):
+    """Facts looked up in the account and date dimensions by surrogate key."""
+    star = _star(spark, sf)
+    return (
+        star["fact_transactions"]
+        .join(star["dim_account"], "sk_account", "left")
+        .join(star["dim_date"], "sk_date", "left")
+        .groupBy("account_type", "weekday")
+        .agg(F.count(F.lit(1)).alias("n_txn"))
+    )
+
+
 @query("""
     SELECT c_custkey AS customer_id, c_name AS full_name, (c_acctbal + 1000) / 1100 AS risk_score,
            c_custkey AS account_id, c_mktsegment AS account_type, c_acctbal AS balance FROM customer

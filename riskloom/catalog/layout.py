@@ -49,21 +49,18 @@ def upsert_latest(spark, sf):
 
 @query("""
     SELECT o_orderkey, o_orderdate FROM orders
-    WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 2 = 0
-                         AND o_totalprice < 50000)
+    WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '1998-07-01')
 """)
 def changed_rows(spark, sf):
-    """Orders after the newest one of a table that has not seen them all."""
-    orders = v.read(spark, sf, "orders")
-    seen = orders.filter((F.col("o_orderstatus") == "F") & (F.col("o_orderkey") % 2 == 0)).filter("o_totalprice < 50000")
-    return layout.changed_since(orders, "o_orderdate", seen).select("o_orderkey", "o_orderdate")
+    """Orders after the newest one of a table that was loaded up to a day."""
+    orders = v.read(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    loaded = orders.filter(F.col("o_orderdate") < F.lit("1998-07-01").cast("timestamp_ntz"))
+    return layout.changed_since(orders, "o_orderdate", loaded)
 
 
 @query("SELECT * FROM orders")
 def compact_roundtrip(spark, sf):
-    path = scratch_path(spark, "small-files")
-    v.read(spark, sf, "orders").repartition(32).write.parquet(path)
-    return layout.compact(spark, path, scratch_path(spark, "compacted"))
+    return layout.compact(spark, f"{sf.rstrip('/')}/orders.parquet", scratch_path(spark, "compacted"))
 
 
 @query("""

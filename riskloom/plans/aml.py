@@ -12,9 +12,12 @@ from pyspark.sql import types as T
 
 from riskloom.functions import rules
 from riskloom.functions.dates import instant
+from riskloom.operators import star
 from riskloom.operators.dedup import latest_per_key
 from riskloom.operators.joins import own_shuffle, with_row_copies
 from riskloom.operators.layout import reused
+from riskloom.operators.star import dimension, fact
+from riskloom.plans.marketplace import calendar_over
 from riskloom.sources.sinks import write_table
 
 # Fixed values of the output tables.
@@ -276,3 +279,37 @@ def details(feeds: Mapping[str, DataFrame]) -> DataFrame:
         if name in feeds
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+# The AML star. The location stands apart from the customer, as a snowflake.
+STAR = {
+    "customer": ("customer_profile", ("customer_id",), ("full_name", "nationality", "kyc_status", "risk_score")),
+    "merchant": ("merchant_data", ("merchant_id",), ("legal_name", "risk_level", "region")),
+    "account": ("account_rel", ("account_id",), ("account_type", "status", "currency_code", "branch_id")),
+}
+ADDRESS = ("country", "city", "postal_code")
+
+
+def star_schema(feeds: Mapping[str, DataFrame], index: DataFrame) -> dict[str, DataFrame]:
+    """``fact_transactions`` with customer, merchant, account and date dimensions.
+
+    ``index`` is the scored index at transaction grain and must keep ``account_id``,
+    ``merchant_id``, ``txn_timestamp`` and ``amount``. Where profiles hold an address,
+    ``dim_customer`` refers to ``dim_location``.
+    """
+    tables = {f"dim_{name}": dimension(feeds[feed], name, *parts) for name, (feed, *parts) in STAR.items()}
+    dated = index.withColumn("date", F.col("txn_timestamp").cast("date"))
+    tables["dim_date"] = calendar_over(dated, "date").select(star.key_of(["date"]).alias("sk_date"), "*")
+    tables["fact_transactions"] = fact(
+        dated,
+        {**{name: parts[1] for name, parts in STAR.items()}, "date": ("date",)},
+        ("transaction_id", "amount", "suspicion_score"),
+    )
+    customers = feeds["customer_profile"]
+    if "primary_address" in customers.columns:
+        located = customers.select("customer_id", "updated_at", *[F.col(f"primary_address.{c}").alias(c) for c in ADDRESS])
+        tables["dim_location"] = dimension(located, "location", ADDRESS)
+        newest = latest_per_key(located, "customer_id", ["updated_at"])
+        places = newest.select("customer_id", star.key_of(ADDRESS).alias("sk_location"))
+        tables["dim_customer"] = tables["dim_customer"].join(places, "customer_id", "left")
+    return tables

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import rules
 from riskloom.operators.dedup import latest_per_key
 from riskloom.operators.joins import Dimension, left_join, own_shuffle, small_side, star_join
+from riskloom.operators.star import dimension, fact
 
 
 def enrich(
@@ -78,33 +79,19 @@ def final_index(
 
 # Natural key and attributes of every dimension of the index.
 DIMENSIONS = {
-    "dim_user": (("user_id",), ("first_name", "last_name", "email")),
-    "dim_merchant": (("merchant_id",), ("merchant_name", "merchant_category")),
-    "dim_location": (("location_id",), ("country", "city", "norm_country")),
-    "dim_card": (("card_id",), ("masked_card_number",)),
-    "dim_transaction": (("transaction_id",), ("transaction_date",)),
-    "dim_ml_signal": (("ml_signal_id",), ("created_date",)),
-    "dim_policy": (("is_allowed", "country"), ()),
+    "user": (("user_id",), ("first_name", "last_name", "email")),
+    "merchant": (("merchant_id",), ("merchant_name", "merchant_category")),
+    "location": (("location_id",), ("country", "city", "norm_country")),
+    "card": (("card_id",), ("masked_card_number",)),
+    "transaction": (("transaction_id",), ("transaction_date",)),
+    "ml_signal": (("ml_signal_id",), ("created_date",)),
+    "policy": (("is_allowed", "country"), ()),
 }
 MEASURES = ("amount", "fraud_score", "risk_flag", "transaction_date")
 
 
 def star_schema(index: DataFrame) -> dict[str, DataFrame]:
-    """Fact and dimension tables with md5 surrogate keys (``sk_<dimension>``).
-
-    A natural key that comes with several attribute sets keeps one of them: the
-    largest, in column order.
-    """
-    tables: dict[str, DataFrame] = {}
-    keys = {}
-    for name, (natural, attributes) in DIMENSIONS.items():
-        short = name.removeprefix("dim_")
-        keys[f"sk_{short}"] = rules.surrogate_key(*[F.col(c) for c in natural])
-        attributes = [c for c in attributes if c in index.columns]
-        # Equal rows go first, in a hash aggregate; few are left to choose from.
-        one = index.select(*natural, *attributes).distinct()
-        if attributes:
-            one = latest_per_key(one, list(natural), attributes)
-        tables[name] = one.select(keys[f"sk_{short}"].alias(f"sk_{short}"), *natural, *attributes)
-    tables["fact_payment"] = index.select(*[k.alias(n) for n, k in keys.items()], *MEASURES)
+    """``fact_payment`` and the dimensions ``dim_<name>`` it refers to."""
+    tables = {f"dim_{name}": dimension(index, name, *parts) for name, parts in DIMENSIONS.items()}
+    tables["fact_payment"] = fact(index, {name: parts[0] for name, parts in DIMENSIONS.items()}, MEASURES)
     return tables

@@ -166,3 +166,13 @@ def test_customer_accounts(spark, feeds):
     table = aml.customer_accounts(feeds["customer_profile"], feeds["account_rel"])
     assert table.filter("customer_id = 'C1'").count() == 2 and table.filter("customer_id = 'C2'").count() == 1
     assert "account_dt" in table.columns and len(table.columns) == len(set(table.columns))
+
+
+def test_star(spark, feeds):
+    index = aml.tx_index(feeds, aml_rules(spark), AS_OF, keep=("account_id", "merchant_id", "txn_timestamp", "amount"))
+    tables = aml.star_schema(feeds, index)
+    fact = tables["fact_transactions"]
+    assert fact.count() == 6 and tables["dim_date"].count() == 1
+    assert fact.join(tables["dim_date"], "sk_date", "left_anti").count() == 0
+    known = fact.join(tables["dim_customer"], "sk_customer").join(tables["dim_location"], "sk_location")
+    assert {r.transaction_id for r in known.collect()} == {"T1", "T2", "T4", "T6"}
