@@ -20,9 +20,21 @@ RUNTIME_SETTINGS = {
 }
 
 
+# For clusters: the state of a stream may outgrow the memory of the executors.
+CLUSTER_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
+def is_local(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.master", "").startswith("local")
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
-    for name, value in RUNTIME_SETTINGS.items():
+    settings = RUNTIME_SETTINGS if is_local(spark) else {**RUNTIME_SETTINGS, **CLUSTER_SETTINGS}
+    for name, value in settings.items():
         spark.conf.set(name, value)
     return spark
 
@@ -32,9 +44,9 @@ def build_session(app: str = "riskloom", master: str | None = None, **settings:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for name, value in {**RUNTIME_SETTINGS, **settings}.items():
+    for name, value in settings.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    return configure(builder.getOrCreate())
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -45,7 +57,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the whole cluster")
         base = tempfile.mkdtemp(prefix="riskloom-")
     return f"{base.rstrip('/')}/riskloom/{spark.conf.get('spark.app.id', 'app')}/{label}-{uuid.uuid4().hex}"
