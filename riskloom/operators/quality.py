@@ -6,8 +6,9 @@ Reports of column checks have the columns
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,63 +23,90 @@ NUMERIC_COLUMNS = ("amount", "fraud_score")
 EMAIL_PATTERN = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$"
 
 
-def _count_report(df: DataFrame, check: str, bad: Mapping[str, Column], status: Column) -> DataFrame:
-    """One pass over the data: a count of bad rows for every named condition."""
-    names = list(bad)
+class Check(NamedTuple):
+    """A condition that marks bad rows, and the status that follows from their number."""
+
+    check: str
+    column: str
+    bad: Column
+    status: Callable[[Column], Column]
+
+
+def _count_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One pass over the data for all checks."""
     counts = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(bad[name]).alias(f"bad_{i}") for i, name in enumerate(names)],
+        *[F.count_if(c.bad).alias(f"bad_{i}") for i, c in enumerate(checks)],
     )
     lines = F.array(
         *[
-            F.struct(F.lit(name).alias("column"), F.col(f"bad_{i}").alias("n_bad"))
-            for i, name in enumerate(names)
+            F.struct(
+                F.lit(c.check).alias("check"),
+                F.lit(c.column).alias("column"),
+                c.status(F.col(f"bad_{i}")).alias("status"),
+                F.col("n_rows"),
+                F.col(f"bad_{i}").alias("n_bad"),
+            )
+            for i, c in enumerate(checks)
         ]
     )
-    return counts.select("n_rows", F.inline(lines)).select(
-        F.lit(check).alias("check"), "column", status.alias("status"), "n_rows", "n_bad"
-    )
+    return counts.select(F.inline(lines))
+
+
+def _outcome(good: str, bad: str) -> Callable[[Column], Column]:
+    return lambda n_bad: F.when(n_bad == 0, F.lit(good)).otherwise(F.lit(bad))
+
+
+_passed = _outcome("passed", "failed")
+
+
+def _required(df: DataFrame, names: Sequence[str]) -> list[Check]:
+    present, missing = (lambda _: F.lit("Present")), (lambda _: F.lit("MISSING"))
+    return [
+        Check("required", n, F.lit(n not in df.columns), present if n in df.columns else missing) for n in names
+    ]
+
+
+def _numeric(df: DataFrame, names: Sequence[str]) -> list[Check]:
+    status = _outcome("Numeric check passed", "Numeric check failed")
+    return [
+        Check("numeric", n, F.col(n).isNotNull() & F.col(n).try_cast("double").isNull(), status)
+        for n in names
+        if n in df.columns
+    ]
 
 
 def required_columns(df: DataFrame, names: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
     """Whether each column is there; for a missing one every row counts as bad."""
-    present = set(df.columns)
-    bad = {n: (F.lit(False) if n in present else F.lit(True)) for n in names}
-    status = F.when(F.col("column").isin(list(present)), F.lit("Present")).otherwise(F.lit("MISSING"))
-    return _count_report(df, "required", bad, status)
+    return _count_report(df, _required(df, names))
 
 
 def numeric_columns(df: DataFrame, names: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
     """Counts values that cannot be read as a number. Columns that are absent are skipped."""
-    bad = {
-        n: F.col(n).isNotNull() & F.col(n).try_cast("double").isNull() for n in names if n in df.columns
-    }
-    status = F.when(F.col("n_bad") == 0, F.lit("Numeric check passed")).otherwise(
-        F.lit("Numeric check failed")
-    )
-    return _count_report(df, "numeric", bad, status)
+    return _count_report(df, _numeric(df, names))
 
 
 def index_report(df: DataFrame) -> DataFrame:
-    """The quality report of the payment index: required columns, then numeric ones."""
-    return required_columns(df).unionByName(numeric_columns(df))
+    """The quality report of the payment index: required columns and numeric ones, in one pass."""
+    return _count_report(df, [*_required(df, REQUIRED_COLUMNS), *_numeric(df, NUMERIC_COLUMNS)])
 
 
-def _passed() -> Column:
-    return F.when(F.col("n_bad") == 0, F.lit("passed")).otherwise(F.lit("failed"))
+def _never_null(condition: Column) -> Column:
+    """A missing value does not count as bad; ``null_rates`` counts it."""
+    return F.coalesce(condition, F.lit(False))
 
 
 def text_format(df: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
-    """Counts texts that do not match their pattern; nulls are counted by ``null_rates``."""
+    """Counts texts that do not match their pattern."""
     return _count_report(
-        df, "format", {c: F.coalesce(~F.col(c).rlike(p), F.lit(False)) for c, p in patterns.items()}, _passed()
+        df, [Check("format", c, _never_null(~F.col(c).rlike(p)), _passed) for c, p in patterns.items()]
     )
 
 
 def allowed_values(df: DataFrame, domains: Mapping[str, Sequence]) -> DataFrame:
-    """Counts values outside their allowed set; null is not a value."""
+    """Counts values outside their allowed set."""
     return _count_report(
-        df, "domain", {c: F.coalesce(~F.col(c).isin(list(v)), F.lit(False)) for c, v in domains.items()}, _passed()
+        df, [Check("domain", c, _never_null(~F.col(c).isin(list(v))), _passed) for c, v in domains.items()]
     )
 
 
@@ -86,16 +114,14 @@ def value_ranges(df: DataFrame, ranges: Mapping[str, tuple[float, float]]) -> Da
     """Counts numbers outside their closed range; NaN lies outside every range."""
     return _count_report(
         df,
-        "range",
-        {c: F.coalesce(~F.col(c).between(low, high), F.lit(False)) for c, (low, high) in ranges.items()},
-        _passed(),
+        [Check("range", c, _never_null(~F.col(c).between(*limits)), _passed) for c, limits in ranges.items()],
     )
 
 
 def null_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Share of nulls in each column, all from one pass."""
     names = list(columns or df.columns)
-    report = _count_report(df, "null", {c: F.col(f"`{c}`").isNull() for c in names}, _passed())
+    report = _count_report(df, [Check("null", c, F.col(f"`{c}`").isNull(), _passed) for c in names])
     return report.withColumn("null_rate", F.try_divide(F.col("n_bad"), F.col("n_rows")))
 
 
@@ -188,7 +214,7 @@ def schema_difference(df: DataFrame, expected: T.StructType) -> DataFrame:
     """Expected against actual columns, and the nulls found in columns declared without them."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     wanted = {f.name: f for f in expected.fields}
-    lines, bad = {}, {}
+    checks, types = [], []
     for name in [*wanted, *[n for n in actual if n not in wanted]]:
         want = wanted[name].dataType.simpleString() if name in wanted else None
         have = actual.get(name)
@@ -200,16 +226,15 @@ def schema_difference(df: DataFrame, expected: T.StructType) -> DataFrame:
             status = "type differs"
         else:
             status = "same"
-        lines[name] = (want, have, status)
         must = name in wanted and have is not None and not wanted[name].nullable
-        bad[name] = F.col(f"`{name}`").isNull() if must else F.lit(False)
+        bad = F.col(f"`{name}`").isNull() if must else F.lit(False)
+        checks.append(Check("schema", name, bad, lambda _, status=status: F.lit(status)))
+        types.append((name, want, have))
 
-    def pick(i: int) -> Column:
-        cases = [F.when(F.col("column") == n, F.lit(v[i]).cast("string")) for n, v in lines.items()]
-        return F.coalesce(*cases)
+    def type_of(i: int) -> Column:
+        return F.coalesce(*[F.when(F.col("column") == t[0], F.lit(t[i]).cast("string")) for t in types])
 
-    report = _count_report(df, "schema", bad, pick(2))
-    return report.select(
-        "column", pick(0).alias("expected"), pick(1).alias("actual"), "status", "n_rows",
+    return _count_report(df, checks).select(
+        "column", type_of(1).alias("expected"), type_of(2).alias("actual"), "status", "n_rows",
         F.col("n_bad").alias("n_null_violations"),
     )

@@ -114,6 +114,18 @@ PARTITIONS = {
     "device_channel": ("environment",),
     "kyc_questionnaire": ("dt",),
     "complaints": ("dt",),
+    "product": ("dt",),
+    "vendor": ("dt",),
+    "marketplace": ("dt",),
     "calendar": ("year", "month"),
     "orders": ("year", "month"),
 }
+
+# Catalogue name of each marketplace folder.
+MARKETPLACE_CATALOGUE = {
+    "product": "products",
+    "vendor": "vendors",
+    "marketplace": "marketplaces",
+    "calendar": "calendar",
+    "orders": "orders_fact",
+}

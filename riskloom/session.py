@@ -15,6 +15,8 @@ RUNTIME_SETTINGS = {
     # extra shuffle afterwards (for example a join followed by a group-by on the key).
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Copies of one row compress well, so a hot partition looks smaller than it is.
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3.0",
     # Sessions of a stream are merged in every task before they are shuffled by key.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }

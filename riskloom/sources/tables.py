@@ -103,3 +103,13 @@ def register_external(
     if partitions:
         spark.sql(f"MSCK REPAIR TABLE {name}")
     return spark.table(name)
+
+
+def register_marketplace(spark: SparkSession, root: str, prefix: str = "") -> dict[str, DataFrame]:
+    """Declare the five marketplace folders below ``root`` as catalogue tables."""
+    return {
+        name: register_external(
+            spark, f"{prefix}{table}", schemas.MARKETPLACE[name], f"{root.rstrip('/')}/{name}", schemas.PARTITIONS[name]
+        )
+        for name, table in schemas.MARKETPLACE_CATALOGUE.items()
+    }

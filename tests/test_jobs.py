@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom import schemas
-from riskloom.plans import jobs
-from riskloom.sources.tables import read_csv
+from riskloom.plans import jobs, marketplace
+from riskloom.sources.tables import read_csv, register_marketplace
 
 DAY = dt.date(2025, 3, 1)
 
@@ -64,6 +64,12 @@ def test_marketplace_job(spark, tmp_path):
     }
     tables = {n: spark.createDataFrame(rows, schemas.MARKETPLACE[n]) for n, rows in data.items()}
     jobs.ingest(tables, source, schemas.PARTITIONS)
+    jobs.ingest({"calendar": marketplace.calendar(spark)}, source, schemas.PARTITIONS)
+    catalogue = register_marketplace(spark, source, prefix="shop_")
+    assert {n: t.count() for n, t in catalogue.items()} == {
+        "product": 1, "vendor": 1, "marketplace": 1, "calendar": 1095, "orders": 3,
+    }
+    assert spark.sql("SELECT count(*) AS n FROM shop_calendar WHERE year = 2020 AND is_weekend").first().n == 104
     for _ in range(2):
         assert {r.weekday for r in jobs.marketplace_job(spark, source, target).collect()} == {"Saturday"}
     assert len(read_csv(spark, f"{target}/enriched").columns) == 13
