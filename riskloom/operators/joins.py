@@ -171,18 +171,18 @@ def asof_join(
 
 
 def with_row_copies(df: DataFrame, copies: Column, step: int = 65536) -> DataFrame:
-    """Repeat every row ``copies`` times, in two steps so that no array grows beyond a bound."""
-    return (
+    """Repeat every row ``copies`` times.
+
+    A row becomes blocks of at most ``step`` copies, and the blocks are spread over all
+    tasks before they are opened, so one row with very many copies is many tasks' work.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    one = F.lit(1).cast("long")
+    blocks = (
         df.withColumn("_copies", copies)
         .filter(F.col("_copies") > 0)
-        .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / step))))
-        .withColumn(
-            "_one",
-            F.explode(
-                F.sequence(
-                    F.lit(1).cast("long"), F.least(F.lit(step).cast("long"), F.col("_copies") - F.col("_block") * step)
-                )
-            ),
-        )
-        .drop("_copies", "_block", "_one")
+        .withColumn("_block", F.explode(F.sequence(one - 1, F.floor((F.col("_copies") - 1) / step))))
+        .withColumn("_size", F.least(one * step, F.col("_copies") - F.col("_block") * step))
+        .repartition(tasks)
     )
+    return blocks.withColumn("_one", F.explode(F.sequence(one, "_size"))).drop("_copies", "_block", "_size", "_one")

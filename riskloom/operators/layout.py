@@ -68,7 +68,7 @@ def upsert(
 def compact(spark: SparkSession, path: str, into: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Rewrite a table with many small files as few even ones, in a new folder."""
     source = spark.read.parquet(path)
-    write_table(source.hint("rebalance"), into, partition_by=partition_by)
+    write_table(source if partition_by else rebalance(source), into, partition_by=partition_by)
     return spark.read.schema(source.schema).parquet(into)
 
 
@@ -92,18 +92,18 @@ def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, *keys: st
 def write_clustered(df: DataFrame, path: str, *columns: str) -> DataFrame:
     """Range-partitioned and sorted files: filters on the columns skip files by their min and max.
 
-    The remaining columns follow in the range order, so one value of ``columns`` that
+    Rows with equal values are told apart by the task that reads them, so a value that
     holds a large share of the rows is cut into several files.
     """
-    fields = {f.name: f.dataType.typeName() for f in df.schema.fields}
-    rest = [c for c in df.columns if c not in columns and fields[c] not in ("map", "variant")]
     (
-        df.repartitionByRange(*columns, *rest)
+        df.withColumn("_reader", F.spark_partition_id())
+        .repartitionByRange(*columns, "_reader")
+        .drop("_reader")
         .sortWithinPartitions(*columns)
         .write.mode("overwrite")
         .parquet(path)
     )
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return read_table(df.sparkSession, path, df.schema)
 
 
 @contextmanager

@@ -145,14 +145,7 @@ def expand(index: DataFrame) -> DataFrame:
     return with_row_copies(index, F.col("copies")).drop("copies")
 
 
-def entity_index(
-    index: DataFrame, key: str = "customer_id", entity_type: str = "CUSTOMER", flat: bool = False
-) -> DataFrame:
-    """Average score, rule hits and last flag time of every entity.
-
-    An index with ``copies`` gives the average over all copies. ``reasons`` holds the
-    distinct hit lists, sorted; ``flat=True`` gives the distinct rule names.
-    """
+def _entity_measures(index: DataFrame, flat: bool) -> list[Column]:
     if "copies" in index.columns:
         counted = F.when(F.col("suspicion_score").isNotNull(), F.col("copies"))
         score = F.sum(F.col("suspicion_score") * F.col("copies")) / F.sum(counted)
@@ -161,22 +154,42 @@ def entity_index(
     reasons = F.array_sort(F.collect_set("rule_hits"))
     if flat:
         reasons = F.array_sort(F.array_distinct(F.flatten(F.collect_set("rule_hits"))))
+    return [
+        score.alias("aggregated_score"),
+        reasons.alias("reasons"),
+        F.max("flagged_time").alias("last_updated"),
+    ]
+
+
+def entity_index(
+    index: DataFrame, key: str = "customer_id", entity_type: str = "CUSTOMER", flat: bool = False
+) -> DataFrame:
+    """Average score, rule hits and last flag time of every entity.
+
+    An index with ``copies`` gives the average over all copies. ``reasons`` holds the
+    distinct hit lists, sorted; ``flat=True`` gives the distinct rule names.
+    """
     return (
         index.groupBy(key)
-        .agg(
-            score.alias("aggregated_score"),
-            reasons.alias("reasons"),
-            F.max("flagged_time").alias("last_updated"),
-        )
+        .agg(*_entity_measures(index, flat))
         .withColumnRenamed(key, "entity_id")
         .withColumn("entity_type", F.lit(entity_type))
     )
 
 
 def all_entities(index: DataFrame, flat: bool = False) -> DataFrame:
-    """Customers and merchants in one index; ``index`` must carry ``merchant_id``."""
-    return entity_index(index, "customer_id", "CUSTOMER", flat).unionByName(
-        entity_index(index, "merchant_id", "MERCHANT", flat)
+    """Customers and merchants in one index, from one pass; ``index`` must carry ``merchant_id``."""
+    is_customer = F.col("_without_merchant") == 1
+    return (
+        index.groupingSets([["customer_id"], ["merchant_id"]], "customer_id", "merchant_id")
+        .agg(*_entity_measures(index, flat), F.grouping("merchant_id").alias("_without_merchant"))
+        .select(
+            F.when(is_customer, F.col("customer_id")).otherwise(F.col("merchant_id")).alias("entity_id"),
+            "aggregated_score",
+            "reasons",
+            "last_updated",
+            F.when(is_customer, "CUSTOMER").otherwise("MERCHANT").alias("entity_type"),
+        )
     )
 
 
