@@ -9,12 +9,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _has_map(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.MapType):
+        return True
+    if isinstance(data_type, T.ArrayType):
+        return _has_map(data_type.elementType)
+    return isinstance(data_type, T.StructType) and any(_has_map(f.dataType) for f in data_type.fields)
+
+
 def _orderable(field: T.StructField) -> Column:
-    """The column in a form Spark can compare; maps become sorted entry lists."""
+    """The column in a form Spark can compare: maps as sorted entries, maps further inside as JSON."""
     column = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, T.MapType):
+    if isinstance(field.dataType, T.MapType) and not _has_map(field.dataType.valueType):
         return F.array_sort(F.map_entries(column))
-    return column
+    return F.to_json(column) if _has_map(field.dataType) else column
 
 
 def latest_per_key(
@@ -28,7 +36,12 @@ def latest_per_key(
     names = [keys] if isinstance(keys, str) else list(keys)
     fields = {f.name: f for f in df.schema.fields}
     rest = sorted(set(fields) - set(names) - set(newest_by))
-    rank = F.struct(*[_orderable(fields[c]) for c in [*newest_by, *rest]])
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in names])
-    picked = df.groupBy(*names).agg(F.max_by(row, rank).alias("_row"))
+    ordered = [fields[c] for c in [*newest_by, *rest]]
+    rank = F.struct(*[_orderable(f) for f in ordered])
+    if any(_has_map(f.dataType) for f in ordered):
+        newest = F.max_by(F.struct(*[F.col(f"`{f.name}`") for f in ordered]), rank)
+    else:
+        # The columns that are compared are the row itself.
+        newest = F.max(rank)
+    picked = df.groupBy(*names).agg(newest.alias("_row"))
     return picked.select(*names, "_row.*").select(*df.columns)
