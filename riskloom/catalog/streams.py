@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from riskloom.catalog import views as v
 from riskloom.catalog.registry import query
 from riskloom.operators.layout import key_bucket
+from riskloom.plans import payment
 from riskloom.plans.aml import transaction_limit
 from riskloom.session import scratch_path
 from riskloom.sources.tables import aml_rules
@@ -52,6 +53,19 @@ def stream_score(spark, sf):
     return _finish(spark, scored, "stream-score").withColumn("rule_hits", F.array_join("rule_hits", "|"))
 
 
+@query(v.sql_with(
+    "SELECT transaction_id, merchant_name, norm_country, is_allowed, amount, fraud_score, risk_flag FROM idx", "idx"))
+def stream_risk_flag(spark, sf):
+    """The payment index as a stream: the batch functions over streamed transactions and static tables."""
+    streamed = v.transactions(spark, sf, _stream(spark, sf, "lineitem"))
+    index = payment.final_index(
+        payment.enrich(streamed, v.locations(spark, sf), v.RESTRICTED),
+        v.users(spark, sf), v.merchants(spark, sf), v.cards(spark, sf), v.ml_signals(spark, sf),
+    )
+    columns = ["transaction_id", "merchant_name", "norm_country", "is_allowed", "amount", "fraud_score", "risk_flag"]
+    return _finish(spark, index.select(*columns), "stream-index")
+
+
 _WINDOW_ROWS = """
     SELECT user_id, window_start, window_start + INTERVAL 1 DAY AS window_end,
            CAST(count(*) AS BIGINT) AS n_events, round(sum(value), 4) AS total

@@ -35,8 +35,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # ---------------------------------------------------------------- payment
 
-def transactions(spark: SparkSession, sf: str) -> DataFrame:
-    lines, orders, customer = (read(spark, sf, n) for n in ("lineitem", "orders", "customer"))
+def transactions(spark: SparkSession, sf: str, lines: DataFrame | None = None) -> DataFrame:
+    """``lines`` may be the line items as a stream."""
+    lines = read(spark, sf, "lineitem") if lines is None else lines
+    orders, customer = read(spark, sf, "orders"), read(spark, sf, "customer")
     return (
         lines.join(orders, lines.l_orderkey == orders.o_orderkey)
         .join(customer, orders.o_custkey == customer.c_custkey)
