@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from riskloom.llm import packing
+from riskloom.llm import packing, warc
 from riskloom.llm.registry import ORACLES, QUERIES, query
 from riskloom.llm.tables import read
 
@@ -14,6 +14,18 @@ __all__ = ["ORACLES", "QUERIES"]
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("""
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first_page THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first_page THEN first_page END AS refers_to
+FROM (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+             min(page_id) OVER (PARTITION BY sha256(coalesce(html, ''))) AS first_page
+      FROM pages)
+""")
+def op1_warc_archive(spark, sf_dir):
+    return warc.page_records(read(spark, sf_dir, "pages")).drop("url")
+
+
 @query()
 def op8_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(read(spark, sf_dir, "documents"), TOKENIZER)
