@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from riskloom.llm import packing, warc
+from riskloom.llm import likelihood, packing, warc
 from riskloom.llm.registry import ORACLES, QUERIES, query
 from riskloom.llm.tables import read
 
@@ -26,6 +26,11 @@ def op1_warc_archive(spark, sf_dir):
     return warc.page_records(read(spark, sf_dir, "pages")).drop("url")
 
 
+@query()
+def op2_quality_likelihood(spark, sf_dir):
+    return likelihood.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query()
 def op8_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(read(spark, sf_dir, "documents"), TOKENIZER)
