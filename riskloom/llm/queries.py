@@ -5,12 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from riskloom.llm import likelihood, packing, warc
+from riskloom.llm import jaccard, likelihood, packing, secrets, warc
 from riskloom.llm.registry import ORACLES, QUERIES, query
 from riskloom.llm.tables import read
 
 __all__ = ["ORACLES", "QUERIES"]
 
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -31,6 +32,16 @@ def op2_quality_likelihood(spark, sf_dir):
     return likelihood.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query()
+def op6_jaccard_join(spark, sf_dir):
+    return jaccard.groups(read(spark, sf_dir, "documents"))
+
+
 @query()
 def op8_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(read(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@query()
+def op9_secret_scan(spark, sf_dir):
+    return secrets.digest(secrets.scan(read(spark, sf_dir, "documents"), RANKS))
