@@ -252,7 +252,7 @@ def in_blocks(nodes: DataFrame, candidates: DataFrame, most: int) -> DataFrame:
     return rows.select("doc_id", "node", F.col("label").alias("block"), pair.alias("other"))
 
 
-def groups(docs: DataFrame, width: int = 5, percent: int = 80, most: int = 4_000_000) -> DataFrame:
+def groups(docs: DataFrame, width: int = 5, percent: int = 80, most: int = 1_000_000) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document: the smallest doc_id that links reach."""
     sets, sketch = described(docs, width)
     hot = 4096 + 8 * int(sketch.mean())

@@ -66,7 +66,7 @@ def test_sample(spark, sample):
     assert found(QUERIES["op6_jaccard_join"](spark, sample)) == brute(docs)
 
 
-@pytest.mark.parametrize("most", [4_000_000, 700])
+@pytest.mark.parametrize("most", [1_000_000, 700])
 def test_near_copies_and_small_blocks(spark, make_docs, most):
     rows = list(enumerate(near_copies(3, 25, 12)))
     assert found(jaccard.groups(make_docs(rows), most=most)) == brute(rows)
