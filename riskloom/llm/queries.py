@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from riskloom.llm import jaccard, likelihood, packing, secrets, warc
+from riskloom.llm import jaccard, leaks, likelihood, packing, secrets, warc
 from riskloom.llm.registry import ORACLES, QUERIES, query
 from riskloom.llm.tables import read
 
@@ -45,3 +45,8 @@ def op8_best_fit_packing(spark, sf_dir):
 @query()
 def op9_secret_scan(spark, sf_dir):
     return secrets.digest(secrets.scan(read(spark, sf_dir, "documents"), RANKS))
+
+
+@query()
+def op10_benchmark_decontamination(spark, sf_dir):
+    return leaks.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
