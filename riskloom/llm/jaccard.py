@@ -1,7 +1,7 @@
 """Documents whose sets of word shingles have a Jaccard similarity of at least `percent` %: an exact T-occurrence join.
 
 1. Equal sets are one *node* (a 64-bit hash of the sorted set), so copies are never compared with each other.
-2. A sketch of fixed size counts the shingles of the whole corpus. It orders shingles, rare ones first; any order gives
+2. A sketch of bounded size counts the shingles of the whole corpus. It orders shingles, rare ones first; any order gives
    right results, this one keeps what many documents share out of the index.
 3. Two similar sets share one of their first `n - ceil(t n) + 1` shingles. These go into inverted lists, spread by shingle;
    a list is cut into bands of size, since similar sets are of similar size, and every band is tied together by edges to
@@ -37,8 +37,9 @@ from riskloom.llm.tables import set_down, texts
 from riskloom.llm.wordarrays import distinct_shingles, mix, powers, slices
 from riskloom.operators.joins import own_shuffle
 
-SKETCH_BITS = 20  # 2**20 counters of 4 bytes, whatever the corpus
+SKETCH_BITS = (16, 24)  # one-byte counters, about one for every eight words: 64 KB to 16 MB, whatever the corpus
 CHUNK = 1 << 14
+FULL = 255  # where counters stop
 MU = 0.0085  # share of a list's cost that a binary search saves, as usual for DivideSkip
 
 
@@ -48,23 +49,36 @@ def set_hash(shingles: np.ndarray) -> int:
     return int(mix(np.array([value], np.uint64)).view(np.int64)[0])
 
 
+def sketch_bits(docs: DataFrame) -> int:
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(max(math.ceil(math.log2(1 + size / 48)), SKETCH_BITS[0]), SKETCH_BITS[1])
+
+
+def bucket(shingles: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(65 - len(sketch).bit_length())).astype(np.int64)
+
+
 def described(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
     """(doc_id, n_shingles, node) of every document, and the sketch of all sets."""
+    bits = sketch_bits(texts(docs))
 
     def describe(batches) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(1 << SKETCH_BITS, np.int32)
+        counters = np.zeros(1 << bits, np.uint8)
         names = ["doc_id", "n_shingles", "node", "chunk", "counters"]
         for batch in slices(batches):
             sets = distinct_shingles(batch.column("text"), width)
-            counters += np.bincount((np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counters)).astype(np.int32)
+            met, times = np.unique(bucket(np.concatenate(sets), counters), return_counts=True)
+            counters[met] = np.minimum(counters[met] + times, FULL)
             n = len(sets)
             nodes = pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())
             sizes = pa.array([len(s) for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sizes, nodes, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
-        chunks = [k for k in range(len(counters) // CHUNK) if counters[k * CHUNK : (k + 1) * CHUNK].any()]
-        n = len(chunks)
-        parts = [counters[k * CHUNK : (k + 1) * CHUNK].tobytes() for k in chunks]
-        yield pa.RecordBatch.from_arrays([*(pa.nulls(n, pa.int64()) for _ in range(3)), pa.array(chunks, pa.int32()), pa.array(parts, pa.binary())], names)
+        for k in range(len(counters) // CHUNK):
+            part = counters[k * CHUNK : (k + 1) * CHUNK]
+            if part.any():
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.nulls(1, pa.int64()) for _ in range(3)), pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], names
+                )
 
     schema = "doc_id long, n_shingles long, node long, chunk int, counters binary"
     out = set_down(texts(docs).mapInArrow(describe, schema), "sets")
@@ -73,14 +87,15 @@ def described(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, raw in zip(batch.column("chunk").to_pylist(), batch.column("counters").to_pylist(), strict=True):
-                sums[k] = sums.get(k, 0) + np.frombuffer(raw, np.int32).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["chunk", "counters"])
+                sums[k] = np.minimum(sums.get(k, 0) + np.frombuffer(raw, np.uint8).astype(np.int32), FULL)
+        counters = [v.astype(np.uint8).tobytes() for v in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(counters, pa.binary())], ["chunk", "counters"])
 
     parts = out.where("chunk is not null").select("chunk", "counters").repartition("chunk").mapInArrow(add, "chunk int, counters binary")
-    sketch = np.zeros(1 << SKETCH_BITS, np.int64)
-    for r in parts.collect():  # at most 2**SKETCH_BITS counters
-        sketch[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] += np.frombuffer(r["counters"], np.int64)
-    return out.where("chunk is null").select("doc_id", "n_shingles", "node"), np.minimum(sketch, 2**31 - 1).astype(np.int32)
+    sketch = np.zeros(1 << bits, np.uint8)
+    for r in parts.toLocalIterator():  # 2**bits bytes in all
+        sketch[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counters"], np.uint8)
+    return out.where("chunk is null").select("doc_id", "n_shingles", "node"), sketch
 
 
 def least_overlap(n: int, percent: int) -> int:
@@ -88,7 +103,7 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def postings(docs: DataFrame, width: int, percent: int, sketch: np.ndarray, hot: int) -> DataFrame:
+def postings(docs: DataFrame, width: int, percent: int, sketch: np.ndarray, hot: int = FULL - 1) -> DataFrame:
     """(token, salt, node, size): the first shingles of every set; `salt` is 0 unless the list may be longer than `hot`."""
     names = ["token", "salt", "node", "size"]
 
@@ -101,7 +116,7 @@ def postings(docs: DataFrame, width: int, percent: int, sketch: np.ndarray, hot:
                 if not n or (node := set_hash(shingles)) in seen:
                     continue
                 seen.add(node)
-                count = sketch[(shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                count = sketch[bucket(shingles, sketch)]
                 first = np.lexsort((shingles, count))[: n - least_overlap(n, percent) + 1]
                 tokens.append(shingles[first].view(np.int64))
                 salts.append(np.where(count[first] > hot, 1 + node % 64, 0).astype(np.int32))
@@ -255,8 +270,7 @@ def in_blocks(nodes: DataFrame, candidates: DataFrame, most: int) -> DataFrame:
 def groups(docs: DataFrame, width: int = 5, percent: int = 80, most: int = 1_000_000) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document: the smallest doc_id that links reach."""
     sets, sketch = described(docs, width)
-    hot = 4096 + 8 * int(sketch.mean())
-    candidates = candidate_edges(postings(docs, width, percent, sketch, hot), percent)
+    candidates = candidate_edges(postings(docs, width, percent, sketch), percent)
     nodes = sets.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"))
     found = components(links(docs, in_blocks(nodes, candidates, most), width, percent))
     labelled = nodes.join(own_shuffle(found, "node"), "node", "left").select("node", "doc_id", F.coalesce("label", "node").alias("label"))
