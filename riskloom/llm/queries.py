@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from riskloom.llm import jaccard, leaks, likelihood, packing, secrets, warc
+from riskloom.llm import jaccard, leaks, likelihood, ordinal, packing, secrets, toxicity, warc
 from riskloom.llm.registry import ORACLES, QUERIES, query
 from riskloom.llm.tables import read
 
@@ -32,11 +32,21 @@ def op2_quality_likelihood(spark, sf_dir):
     return likelihood.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query()
+def op5_ordinal_quality(spark, sf_dir):
+    return ordinal.classified(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query()
 def op6_jaccard_join(spark, sf_dir):
     return jaccard.groups(read(spark, sf_dir, "documents"))
 
 
+@query()
+def op7_subword_toxicity(spark, sf_dir):
+    return toxicity.classified(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query()
 def op8_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(read(spark, sf_dir, "documents"), TOKENIZER)
