@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.components import components
-from riskloom.llm.tables import set_down, texts
+from riskloom.llm.tables import DOCUMENT_COLUMNS, set_down, texts
 from riskloom.llm.wordarrays import distinct_shingles, mix, powers, slices
 from riskloom.operators.joins import own_shuffle
 
@@ -279,3 +279,14 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, most: int = 1_000
     with_set = sets.join(own_shuffle(by_node, "node"), "node", "left")
     alone = F.coalesce("component_id", F.when(F.col("node").isNull(), F.col("doc_id")))
     return with_set.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), alone).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The document with the smallest doc_id of every group, with the columns of `documents`.
+
+    Of rows equal in doc_id and text one stays; rows with a null id all stay.
+    """
+    docs = docs.select(DOCUMENT_COLUMNS)
+    gone = groups(docs, width, percent).where("doc_id <> component_id").select("doc_id").distinct()
+    known = docs.where("doc_id is not null").join(own_shuffle(set_down(gone, "near-copies"), "doc_id"), "doc_id", "left_anti")
+    return known.dropDuplicates(["doc_id", "text"]).select(DOCUMENT_COLUMNS).unionByName(docs.where("doc_id is null"))
