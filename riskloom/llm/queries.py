@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from riskloom.llm import jaccard, leaks, likelihood, ordinal, packing, pii, secrets, toxicity, warc
+from riskloom.llm import jaccard, leaks, likelihood, ordinal, packing, pii, repeats, secrets, toxicity, warc
 from riskloom.llm.registry import ORACLES, QUERIES, query
 from riskloom.llm.tables import read
 
@@ -32,6 +32,11 @@ def op2_quality_likelihood(spark, sf_dir):
     return likelihood.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query()
+def op3_suffix_dedup(spark, sf_dir):
+    return repeats.without_repeats(read(spark, sf_dir, "documents"))
+
+
 @query()
 def op4_personal_data(spark, sf_dir):
     return pii.digest(pii.found(read(spark, sf_dir, "documents")))
