@@ -50,9 +50,9 @@ def subwords(data: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.nda
     marked[at[:-1]], marked[at[1:] - 1] = 0x02, 0x03  # marks for the ends of a word
     marked[ragged(at[:-1] + 1, size)] = _LOWER[data[ragged(start, size)]]
     parts = [byte_grams(marked, at, n) for n in GRAMS]
-    row = np.concatenate([np.arange(len(start)), *(r for r, _ in parts)])
-    bucket = np.concatenate([mix(value), *(h for _, h in parts)]) >> np.uint64(64 - BITS)
-    return row, bucket.astype(np.int64)
+    row = np.concatenate([np.arange(len(start), dtype=np.int32), *(r for r, _ in parts)])
+    shift = np.uint64(64 - BITS)
+    return row, np.concatenate([(h >> shift).astype(np.int32) for h in (mix(value), *(h for _, h in parts))])
 
 
 class Bags(NamedTuple):
@@ -75,7 +75,7 @@ def bags(column: pa.Array) -> Bags:
     row, word = np.divmod(pair, max(1, len(unique)))
     of_word, bucket = subwords(data, found.start[where], found.end[where], unique)
     size = np.bincount(of_word, minlength=len(unique))
-    return Bags(n, row, word, count / np.diff(found.first)[row], of_word, bucket, 1 / size[of_word])
+    return Bags(n, row, word, count / np.diff(found.first)[row], of_word, bucket, (1 / np.maximum(size, 1)).astype(np.float32)[of_word])
 
 
 class Sums:
@@ -112,7 +112,7 @@ def fit(b: Bags, label: np.ndarray, width: int = 4, steps: int = 50, rate: float
     both = (met[0] + met[1]) / (size[0] + size[1])
     differs = np.abs(met[1] / size[1] - met[0] / size[0]) >= telling * np.sqrt(both * (1 / size[0] + 1 / size[1]))
     some = (differs & (both > 0))[b.bucket]
-    of_word, in_word = b.of_word[some], b.part[some].astype(np.float32)
+    of_word, in_word = b.of_word[some], b.part[some]
     used, bucket = np.unique(b.bucket[some], return_inverse=True)
     in_text = b.share.astype(np.float32)
     to_word, to_text = Sums(of_word, n_words), Sums(b.row, b.n)
@@ -150,7 +150,7 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
 
 
-def trained(docs: DataFrame, labels: DataFrame, most: int = 4_000, longest: int = 1 << 17) -> Model:
+def trained(docs: DataFrame, labels: DataFrame, most: int = 3_000, longest: int = 1 << 17) -> Model:
     """Fitted on at most `most` labelled documents, of at most `longest` code points, that are not held out."""
     ids = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = ids.where(~held_out() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
