@@ -60,13 +60,6 @@ def suspicious_tx_fanout(spark, sf):
     )
 
 
-@query(v.sql_with("SELECT transaction_id, customer_id, suspicion_score, rule_hits FROM fanned", "fanned"))
-def suspicious_tx_fanout_rows(spark, sf):
-    return _flat(aml.expand(_tx(spark, sf, grain="fanout"))).select(
-        "transaction_id", "customer_id", "suspicion_score", "rule_hits"
-    )
-
-
 def _entity_sql(source: str, key: str = "customer_id", kind: str = "CUSTOMER") -> str:
     return f"""
         SELECT {key} AS entity_id, round(avg(suspicion_score) + {v.NUDGE}, 6) AS aggregated_score,
@@ -93,11 +86,11 @@ def entity_index_all(spark, sf):
 
 @query(v.sql_with("""
     SELECT customer_id AS entity_id,
-           array_to_string(list_sort(list_distinct(flatten(list(string_split(rule_hits, '|'))))), ';') AS reasons
-    FROM scored WHERE rule_hits <> '' GROUP BY customer_id
+           array_to_string(list_sort(list_distinct(list_filter(flatten(list(string_split(rule_hits, '|'))), lambda x: x <> ''))), ';') AS reasons
+    FROM scored GROUP BY customer_id
 """, "scored"))
 def entity_flat_reasons(spark, sf):
-    entities = aml.entity_index(_tx(spark, sf, only_flagged=True), flat=True)
+    entities = aml.entity_index(_tx(spark, sf), flat=True)
     return entities.select("entity_id", F.array_join("reasons", ";").alias("reasons"))
 
 
@@ -242,7 +235,8 @@ def aml_child_details(spark, sf):
 
 def _star(spark, sf):
     index = _tx(spark, sf, keep=("account_id", "merchant_id", "txn_timestamp", "amount"))
-    return aml.star_schema(v.aml_feeds(spark, sf), index)
+    lacking = ("nationality", "kyc_status", "risk_level", "region", "status", "currency_code", "branch_id")
+    return aml.star_schema(v.aml_feeds(spark, sf), index, leave_out=lacking)
 
 
 def _sk(value: str) -> str:

@@ -41,12 +41,30 @@ def upsert_latest(spark, sf):
             ),
         }
     ).drop("o_orderpriority")
-    layout.upsert(spark, path, base, "o_orderkey", ["updated_at"], "bucket", "load")
-    layout.upsert(spark, path, changes, "o_orderkey", ["updated_at"], "bucket", "increment")
-    layout.upsert(spark, path, changes, "o_orderkey", ["updated_at"], "bucket", "increment")
+    layout.upsert(spark, path, base, "o_orderkey", ["updated_at"], "bucket", "load", key_gives_partition=True)
+    layout.upsert(spark, path, changes, "o_orderkey", ["updated_at"], "bucket", "increment", key_gives_partition=True)
+    layout.upsert(spark, path, changes, "o_orderkey", ["updated_at"], "bucket", "increment", key_gives_partition=True)
     return spark.read.schema(base.schema).parquet(path).drop("bucket")
 
 
+@query("""
+    SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END AS part,
+           CASE WHEN o_orderkey % 7 = 0 THEN -1.0 ELSE o_totalprice END AS price
+    FROM orders
+""")
+def upsert_null_partition(spark, sf):
+    """Orders partitioned by a value that is null for a third of them; an increment touches some of each."""
+    path = scratch_path(spark, "null-partition")
+    orders = v.read(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus")).alias("part"),
+        F.col("o_totalprice").cast("double").alias("price"), F.lit(1).alias("version"),
+    )
+    changes = orders.filter("o_orderkey % 7 = 0").withColumns({"price": F.lit(-1.0), "version": F.lit(2)})
+    layout.upsert(spark, path, orders, "o_orderkey", ["version"], "part", "load")
+    layout.upsert(spark, path, changes, "o_orderkey", ["version"], "part", "increment")
+    return spark.read.schema(orders.schema).parquet(path).select("o_orderkey", "part", "price")
+
+
 @query("""
     SELECT o_orderkey, o_orderdate FROM orders
     WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '1998-07-01')

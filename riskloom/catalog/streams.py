@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from riskloom.catalog import views as v
 from riskloom.catalog.registry import query
-from riskloom.operators.layout import key_bucket
 from riskloom.plans import payment
 from riskloom.plans.aml import transaction_limit
 from riskloom.session import scratch_path
@@ -136,12 +135,11 @@ def stream_late(spark, sf):
 def stream_upsert(spark, sf):
     """Update mode into a batch table: all windows, the open ones too."""
     events = _events(_stream(spark, sf, "events"))
-    windows = speed.velocity(events, "user_id", "ts", "value", "1 day", "1 hour").withColumn(
-        "bucket", key_bucket(["user_id"], 8)
-    )
+    # The day follows from the key, and a batch touches few days.
+    windows = speed.velocity(events, "user_id", "ts", "value", "1 day", "1 hour").withColumn("day", F.to_date("window_start"))
     path = scratch_path(spark, "velocity")
     speed.refresh_table(
         windows, path, scratch_path(spark, "velocity-checkpoint"), ["user_id", "window_start"], ["n_events"],
-        "bucket", "update",
+        "day", "update", key_gives_partition=True,
     ).awaitTermination()
-    return _plain(spark.read.schema(windows.schema).parquet(path).drop("bucket"))
+    return _plain(spark.read.schema(windows.schema).parquet(path).drop("day"))

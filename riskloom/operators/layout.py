@@ -10,9 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators.dedup import latest_per_key
-from riskloom.operators.joins import small_side
 from riskloom.sources.sinks import is_done, rebalance, run_once, write_table
-from riskloom.sources.tables import path_exists, read_table
+from riskloom.sources.tables import path_exists, read_table, remove_path
 
 
 def changed_since(df: DataFrame, column: str, target: DataFrame) -> DataFrame:
@@ -33,6 +32,14 @@ def key_bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+def _refuse_moves(base: DataFrame, changes: DataFrame, keys: Sequence[str], partition_by: str) -> None:
+    """Raise if a key of the changes lies in another partition of the table; only keys and partition are read."""
+    held = base.select(*keys, F.col(partition_by).alias("_held"))
+    moved = changes.select(*keys, partition_by).join(held, list(keys)).filter(~F.col("_held").eqNullSafe(F.col(partition_by)))
+    if not moved.isEmpty():
+        raise ValueError(f"a key of the increment is in another {partition_by} already: derive {partition_by} from the key")
+
+
 def upsert(
     spark: SparkSession,
     path: str,
@@ -41,28 +48,42 @@ def upsert(
     newest_by: Sequence[str],
     partition_by: str,
     run_id: str,
+    key_gives_partition: bool = False,
 ) -> None:
-    """Merge changes into a partitioned table, rewriting only the partitions they touch.
-
-    ``partition_by`` must follow from the key. ``run_id`` names the increment: after a
-    failure the same call continues where it stopped, and repeating it changes nothing.
-    The merged partitions are complete in a folder of their own before the table's are replaced.
+    """Merge changes into a partitioned table, rewriting only the partitions they touch, the null one too.
+
+    A key must stay in its partition. Where ``partition_by`` is a key column, or the caller
+    says that it follows from the key, that is given; else the table's keys are compared and a
+    move raises. ``run_id`` names the increment: after a failure the same call continues where
+    it stopped, and repeating it changes nothing. The changes are written down first, so that
+    every step sees the same rows, and the merged partitions are complete in a folder of
+    their own before the table's are replaced. Both folders go once the increment is done.
     """
     root, schema = path.rstrip("/"), changes.schema
+    names = [keys] if isinstance(keys, str) else list(keys)
+    done, arrived, staged = (f"{root}.{step}/{run_id}" for step in ("done", "arrived", "staged"))
+    if is_done(spark, done):
+        return
+    increment = run_once(spark, arrived, lambda: changes, schema)
 
     def merged() -> DataFrame:
         if not path_exists(spark, path):
-            return latest_per_key(changes, keys, newest_by)
+            return latest_per_key(increment, keys, newest_by)
         base = read_table(spark, path, schema)
-        # A table has few partition values; beyond the bound both sides are shuffled.
-        touched = small_side(changes.select(partition_by).distinct(), 100_000)
-        return merge_latest(base.join(touched, partition_by, "left_semi"), changes, keys, newest_by)
-
-    done = f"{root}.done/{run_id}"
-    if not is_done(spark, done):
-        staged = run_once(spark, f"{root}.staged/{run_id}", merged, schema, partition_by=[partition_by])
-        write_table(staged, path, partition_by=[partition_by], dynamic=True)
-        write_table(spark.range(0), done)
+        if not key_gives_partition and partition_by not in names:
+            _refuse_moves(base, increment, names, partition_by)
+        touched = increment.select(partition_by).distinct()
+        rows = base.join(touched, partition_by, "left_semi")
+        if not touched.filter(F.col(partition_by).isNull()).isEmpty():
+            # Equality never finds the null partition, but writing it replaces all of it.
+            rows = rows.unionByName(base.filter(F.col(partition_by).isNull()))
+        return merge_latest(rows, increment, keys, newest_by)
+
+    ready = run_once(spark, staged, merged, schema, partition_by=[partition_by])
+    write_table(ready, path, partition_by=[partition_by], dynamic=True)
+    write_table(spark.range(0), done)
+    remove_path(spark, staged)
+    remove_path(spark, arrived)
 
 
 def compact(spark: SparkSession, path: str, into: str, partition_by: Sequence[str] = ()) -> DataFrame:

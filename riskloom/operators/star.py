@@ -21,7 +21,8 @@ def dimension(rows: DataFrame, name: str, natural: Sequence[str], attributes: Se
     A key that comes with several sets of attributes keeps one of them: the largest,
     compared in the order given.
     """
-    attributes = [c for c in attributes if c in rows.columns]
+    if missing := [c for c in attributes if c not in rows.columns]:
+        raise ValueError(f"dimension {name} has no {', '.join(missing)}")
     # Equal rows go first, in a hash aggregate; few are left to choose from.
     one = rows.select(*natural, *attributes).distinct()
     if attributes:

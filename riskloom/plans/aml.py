@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +18,7 @@ from riskloom.operators.joins import own_shuffle, with_row_copies
 from riskloom.operators.layout import reused
 from riskloom.operators.star import dimension, fact
 from riskloom.plans.marketplace import calendar_over
-from riskloom.sources.sinks import write_table
+from riskloom.sources.sinks import is_done, run_once
 
 # Fixed values of the output tables.
 TX_STATUS = "OPEN"
@@ -37,17 +37,17 @@ CHILDREN = {
 }
 
 
-def transaction_limit(rules_table: DataFrame) -> Column:
-    """The limit of the newest rule, as a scalar subquery: nothing is fetched.
+def transaction_limit(rules_table: DataFrame, as_of: Column | dt.datetime | None = None) -> Column:
+    """The limit of the newest rule in force that sets one, as a scalar subquery: nothing is fetched.
 
-    The rules keep it as text. It is read once, in the subquery; a text that is not a
+    Rules that begin after ``as_of`` (default: now) and rules without a transaction limit do not
+    count. The rules keep it as text. It is read once, in the subquery; a text that is not a
     number, or no rule at all, gives the default.
     """
-    newest = F.max_by(
-        F.try_element_at("threshold_params", F.lit("transaction_limit")),
-        F.struct("effective_date", "rule_id"),
-    )
-    return rules_table.select(rules.number_or(newest, rules.DEFAULT_TRANSACTION_LIMIT)).scalar()
+    text = F.try_element_at("threshold_params", F.lit("transaction_limit"))
+    newest = F.max_by(text, F.struct("effective_date", "rule_id"))
+    in_force = (F.col("effective_date").isNull() | (F.col("effective_date") <= instant(as_of).cast("date"))) & text.isNotNull()
+    return rules_table.filter(in_force).select(rules.number_or(newest, rules.DEFAULT_TRANSACTION_LIMIT)).scalar()
 
 
 def _scored(
@@ -76,15 +76,23 @@ def _by_key(names: list[str]) -> dict[str, list[str]]:
     return groups
 
 
-def _child_counts(feeds: Mapping[str, DataFrame], columns: list[str]) -> list[tuple[str, DataFrame]]:
+def _children(feeds: Mapping[str, DataFrame], leave_out: Collection[str]) -> list[str]:
+    """The child feeds to use; one that is absent must be left out by name."""
+    wanted = [name for name in CHILDREN if name not in leave_out]
+    if missing := [name for name in wanted if name not in feeds]:
+        raise ValueError(f"child feeds are missing: {', '.join(missing)}; name them in leave_out to go without")
+    return wanted
+
+
+def _child_counts(feeds: Mapping[str, DataFrame], columns: list[str], leave_out: Collection[str]) -> list[tuple[str, DataFrame]]:
     """For each transaction key, the rows of all its child feeds in one aggregate.
 
     ``_copies_<key>`` is the product of their counts, a feed without rows counting as one.
     """
     found = []
-    for own_key, names in _by_key(list(feeds)).items():
+    for own_key, names in _by_key(_children(feeds, leave_out)).items():
         if own_key not in columns:
-            continue
+            raise ValueError(f"transactions have no {own_key} to join {', '.join(names)} by; name them in leave_out to go without")
         rows = reduce(
             DataFrame.unionByName,
             [feeds[n].select(F.col(CHILDREN[n][0]).alias(own_key), F.lit(n).alias("_feed")) for n in names],
@@ -105,6 +113,7 @@ def tx_index(
     grain: str = "transaction",
     only_flagged: bool = False,
     keep: tuple[str, ...] = (),
+    leave_out: Collection[str] = (),
 ) -> DataFrame:
     """Every transaction with score, rule hits and status.
 
@@ -116,12 +125,12 @@ def tx_index(
     copies are equal and stand in ``copies`` as a number: the product of the child counts.
     ``expand`` turns the number back into rows. No pair of children is ever built.
 
-    ``keep`` names further transaction columns to carry.
+    ``keep`` names further transaction columns to carry, ``leave_out`` child feeds to do without.
     """
     if grain not in ("transaction", "fanout"):
         raise ValueError("grain is 'transaction' or 'fanout'")
     transactions, customers = feeds["transactions"], feeds["customer_profile"]
-    limit = transaction_limit(rules_table)
+    limit = transaction_limit(rules_table, as_of)
     if grain == "transaction":
         customers = latest_per_key(
             customers.select("customer_id", "risk_score", "updated_at"), "customer_id", ["updated_at"]
@@ -129,7 +138,7 @@ def tx_index(
         customers = own_shuffle(customers, "customer_id")
         scored = _scored(transactions, customers, limit, as_of, keep)
     else:
-        children = _child_counts(feeds, transactions.columns)
+        children = _child_counts(feeds, transactions.columns, leave_out)
         counted = reduce(lambda df, c: df.join(c[1], c[0], "left"), children, transactions)
         copies = reduce(
             lambda product, c: product * F.coalesce(F.col(f"_copies_{c[0]}"), F.lit(1)),
@@ -212,7 +221,7 @@ def write_outputs(
     spark: SparkSession, index: DataFrame, root: str, as_of: Column | dt.datetime | None = None,
     reuse: str = "table",
 ) -> dict[str, str]:
-    """Write the three AML tables from one evaluation of the joins.
+    """Write the three AML tables from one evaluation of the joins; a table that is complete is not made again.
 
     ``reuse="table"`` reads the written index back for the two that follow from it;
     ``reuse="persist"`` keeps it on the executors instead.
@@ -221,18 +230,17 @@ def write_outputs(
     paths = {n: f"{root}/{n}" for n in ("suspicious_tx_index", "suspicious_entity_index", "aml_case")}
 
     def write_from(tx: DataFrame) -> None:
-        entities = entity_index(tx)
-        write_table(entities, paths["suspicious_entity_index"])
-        stored = spark.read.schema(entities.schema).parquet(paths["suspicious_entity_index"])
-        write_table(cases(stored, as_of), paths["aml_case"])
+        made = entity_index(tx)
+        entities = run_once(spark, paths["suspicious_entity_index"], lambda: made, made.schema)
+        opened = cases(entities, as_of)
+        run_once(spark, paths["aml_case"], lambda: opened, opened.schema)
 
-    if reuse == "persist":
+    if reuse == "persist" and not is_done(spark, paths["suspicious_tx_index"]):
         with reused(index) as kept:
-            write_table(kept, paths["suspicious_tx_index"])
+            run_once(spark, paths["suspicious_tx_index"], lambda: kept, index.schema)
             write_from(kept)
     else:
-        write_table(index, paths["suspicious_tx_index"])
-        write_from(spark.read.schema(index.schema).parquet(paths["suspicious_tx_index"]))
+        write_from(run_once(spark, paths["suspicious_tx_index"], lambda: index, index.schema))
     return paths
 
 
@@ -243,7 +251,7 @@ def customer_accounts(customers: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def wide(
-    feeds: Mapping[str, DataFrame], summaries: Mapping[str, Mapping[str, Column]]
+    feeds: Mapping[str, DataFrame], summaries: Mapping[str, Mapping[str, Column]], leave_out: Collection[str] = ()
 ) -> DataFrame:
     """Transactions with customer, account, merchant and a summary of each child feed.
 
@@ -259,10 +267,13 @@ def wide(
         ("account_rel", "account_id", "last_updated"),
         ("customer_profile", "customer_id", "updated_at"),
     ):
-        if name in feeds:
-            one = latest_per_key(feeds[name], key, [newest_by])
-            attributes = F.struct(*[F.col(c) for c in one.columns if c != key]).alias(name)
-            joins.append((key, one.select(key, attributes)))
+        if name in leave_out:
+            continue
+        if name not in feeds:
+            raise ValueError(f"feed {name} is missing; name it in leave_out to go without")
+        one = latest_per_key(feeds[name], key, [newest_by])
+        attributes = F.struct(*[F.col(c) for c in one.columns if c != key]).alias(name)
+        joins.append((key, one.select(key, attributes)))
     for name, aggregates in summaries.items():
         child_key, own_key = CHILDREN[name]
         summary = (
@@ -280,8 +291,9 @@ def wide(
     )
 
 
-def details(feeds: Mapping[str, DataFrame]) -> DataFrame:
+def details(feeds: Mapping[str, DataFrame], leave_out: Collection[str] = ()) -> DataFrame:
     """All child rows as ``(feed, key, detail)``, where ``detail`` is the row as JSON."""
+    wanted = _children(feeds, leave_out)
     parts = [
         feeds[name].select(
             F.lit(name).alias("feed"),
@@ -289,7 +301,7 @@ def details(feeds: Mapping[str, DataFrame]) -> DataFrame:
             F.to_json(F.struct(*[F.col(c) for c in feeds[name].columns])).alias("detail"),
         )
         for name, (child_key, _) in CHILDREN.items()
-        if name in feeds
+        if name in wanted
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -303,14 +315,19 @@ STAR = {
 ADDRESS = ("country", "city", "postal_code")
 
 
-def star_schema(feeds: Mapping[str, DataFrame], index: DataFrame) -> dict[str, DataFrame]:
+def star_schema(
+    feeds: Mapping[str, DataFrame], index: DataFrame, leave_out: Collection[str] = ()
+) -> dict[str, DataFrame]:
     """``fact_transactions`` with customer, merchant, account and date dimensions.
 
     ``index`` is the scored index at transaction grain and must keep ``account_id``,
     ``merchant_id``, ``txn_timestamp`` and ``amount``. Where profiles hold an address,
-    ``dim_customer`` refers to ``dim_location``.
+    ``dim_customer`` refers to ``dim_location``. ``leave_out`` names attributes that the feeds lack.
     """
-    tables = {f"dim_{name}": dimension(feeds[feed], name, *parts) for name, (feed, *parts) in STAR.items()}
+    tables = {
+        f"dim_{name}": dimension(feeds[feed], name, natural, [a for a in attributes if a not in leave_out])
+        for name, (feed, natural, attributes) in STAR.items()
+    }
     dated = index.withColumn("date", F.col("txn_timestamp").cast("date"))
     tables["dim_date"] = calendar_over(dated, "date").select(star.key_of(["date"]).alias("sk_date"), "*")
     tables["fact_transactions"] = fact(

@@ -41,7 +41,8 @@ def payment_job(
     t = _read(spark, source, schemas.PAYMENT)
     target = target.rstrip("/")
     enriched = run_once(
-        spark, f"{target}/enriched_transactions", lambda: payment.enrich(t["transactions"], t["locations"], restricted)
+        spark, f"{target}/enriched_transactions", lambda: payment.enrich(t["transactions"], t["locations"], restricted),
+        partition_by=["transaction_date"],
     )
     index = run_once(
         spark,
@@ -62,7 +63,8 @@ def aml_job(
     grain: str = "transaction",
     newest_only: bool = False,
 ) -> dict[str, str]:
-    """The three AML tables. ``newest_only`` takes the newest partition of every dated feed."""
+    """The three AML tables, all with one instant. ``newest_only`` takes the newest partition of every dated feed."""
+    as_of = as_of or dt.datetime.now(dt.timezone.utc)
     require_inputs(spark, [f"{source.rstrip('/')}/{n}" for n in schemas.AML if n != "aml_compliance_rules"])
     feeds = read_aml_feeds(spark, source)
     if newest_only:
@@ -90,9 +92,17 @@ def main() -> None:
     parser.add_argument("job", choices=sorted(jobs))
     parser.add_argument("source")
     parser.add_argument("target")
+    parser.add_argument("--restricted", nargs="+", help="payment: restricted countries")
+    parser.add_argument("--as-of", type=dt.datetime.fromisoformat, help="aml: the instant of the run")
+    parser.add_argument("--grain", choices=["transaction", "fanout"], help="aml")
+    parser.add_argument("--newest-only", action="store_true", default=None, help="aml: newest partition of dated feeds")
     chosen = parser.parse_args()
+    own = {"payment": ["restricted"], "aml": ["as_of", "grain", "newest_only"], "marketplace": []}
+    options = {name: value for name, value in vars(chosen).items() if name not in ("job", "source", "target") and value is not None}
+    if strange := set(options) - set(own[chosen.job]):
+        parser.error(f"{chosen.job} takes no {', '.join(sorted(strange))}")
     spark = build_session(f"riskloom-{chosen.job}")
-    jobs[chosen.job](spark, chosen.source, chosen.target)
+    jobs[chosen.job](spark, chosen.source, chosen.target, **options)
     spark.stop()
 
 

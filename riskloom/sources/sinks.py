@@ -53,9 +53,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_report(report: DataFrame, path: str, mode: str = "overwrite") -> None:
     """A quality report as text, one line for each check."""
-    line = F.concat(
-        F.lit("Column '"), F.col("column"), F.lit("': "), F.col("check"), F.lit(" "), F.col("status")
-    )
+    # A required column is reported by its status alone.
+    check = F.when(F.col("check") == "required", "").otherwise(F.concat("check", F.lit(" ")))
+    line = F.concat(F.lit("Column '"), F.col("column"), F.lit("': "), check, F.col("status"))
     report.select(line.alias("value")).write.mode(mode).text(path)
 
 

@@ -78,6 +78,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder on the file system it belongs to; one that is gone is no error."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def require_inputs(spark: SparkSession, paths: Sequence[str]) -> None:
     """Raise when an input is absent instead of finishing quietly without work."""
     missing = [path for path in paths if not path_exists(spark, path)]

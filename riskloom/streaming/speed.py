@@ -15,7 +15,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.functions import rules
 from riskloom.operators.layout import upsert
-from riskloom.sources.sinks import run_once
 
 
 def read_files(
@@ -103,6 +102,7 @@ def refresh_table(
     newest_by: Sequence[str],
     partition_by: str,
     output_mode: str = "append",
+    key_gives_partition: bool = False,
 ) -> StreamingQuery:
     """Merge every batch of the stream into a batch table, each batch once.
 
@@ -111,12 +111,9 @@ def refresh_table(
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        # Written first: the merge reads the batch twice, and the stream must run it once.
-        name = f"batch-{number}"
-        arrived = run_once(
-            batch.sparkSession, f"{path.rstrip('/')}.arrived/{name}", lambda: batch, batch.schema
+        upsert(
+            batch.sparkSession, path, batch, list(keys), list(newest_by), partition_by, f"batch-{number}", key_gives_partition
         )
-        upsert(batch.sparkSession, path, arrived, list(keys), list(newest_by), partition_by, name)
 
     return (
         stream.writeStream.outputMode(output_mode)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom import schemas
+from riskloom.operators.star import dimension
 from riskloom.plans import aml
 from riskloom.sources.tables import aml_rules
 
@@ -135,6 +136,30 @@ def test_limit_of_the_newest_rule(spark):
     assert value(table()) == 10000.0
 
 
+def test_limit_is_one_in_force_that_sets_one(spark):
+    row = lambda i, params, day: (i, "d", params, day, "v", "o", T0)
+    limit = lambda n: {"transaction_limit": str(n)}
+    rows = [row("a", limit(5), dt.date(2024, 1, 1)), row("b", limit(7), DAY), row("c", {"other": "1"}, dt.date(2025, 3, 1)), row("d", limit(1), dt.date(2099, 1, 1))]
+    table = spark.createDataFrame(rows, schemas.AML["aml_compliance_rules"])
+    at = lambda day: spark.range(1).select(aml.transaction_limit(table, day).alias("x")).first().x
+    assert at(None) == 7.0 and at(dt.datetime(2024, 6, 1)) == 5.0 and at(dt.datetime(2099, 6, 1)) == 1.0
+
+
+def test_nothing_is_left_out_in_silence(spark, feeds):
+    few = {**feeds, "transactions": feeds["transactions"].drop("account_id")}
+    for bad in (few, {n: t for n, t in feeds.items() if n != "device_channel"}):
+        with pytest.raises(ValueError):
+            aml.tx_index(bad, aml_rules(spark), AS_OF, grain="fanout")
+    assert aml.tx_index(few, aml_rules(spark), AS_OF, grain="fanout", leave_out=["account_rel"]).count() > 0
+    without = {n: t for n, t in feeds.items() if n != "merchant_data"}
+    for build in (lambda f: aml.wide(f, {}), aml.details):
+        with pytest.raises(ValueError):
+            build(without)
+    assert aml.wide(without, {}, leave_out=["merchant_data"]).count() == 6
+    with pytest.raises(ValueError):
+        dimension(feeds["merchant_data"], "merchant", ("merchant_id",), ("no_such_column",))
+
+
 @pytest.mark.parametrize("reuse", ["table", "persist"])
 def test_outputs_agree(spark, feeds, tmp_path, reuse):
     paths = aml.write_outputs(spark, aml.tx_index(feeds, aml_rules(spark)), str(tmp_path), reuse=reuse)

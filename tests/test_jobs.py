@@ -49,7 +49,11 @@ def test_aml_job(spark, tmp_path):
     jobs.ingest(feeds, source, schemas.PARTITIONS)
     assert os.path.isdir(f"{source}/transactions/dt=2025-01-02/region=US")
     for newest_only, rows in ((False, 2), (True, 1)):
-        paths = jobs.aml_job(spark, source, target, dt.datetime(2025, 1, 4), newest_only=newest_only)
+        paths = jobs.aml_job(spark, source, f"{target}-{rows}", newest_only=newest_only)
+        times = [spark.read.parquet(paths[n]).select(c) for n, c in (("suspicious_tx_index", "flagged_time"), ("aml_case", "opened_date"), ("aml_case", "last_updated"))]
+        assert len({r[0] for t in times for r in t.collect()}) == 1
+        again = jobs.aml_job(spark, source, f"{target}-{rows}", dt.datetime(2030, 1, 1), newest_only=newest_only)
+        assert spark.read.parquet(again["aml_case"]).first().opened_date.year < 2030  # complete tables are not made again
         assert spark.read.parquet(paths["suspicious_tx_index"]).count() == rows
         assert [r.case_id for r in spark.read.parquet(paths["aml_case"]).collect()] == ["CASE-C"]
 

@@ -67,6 +67,24 @@ def test_upsert_leaves_other_partitions_alone(spark, tmp_path):
     assert untouched and untouched <= files()
 
 
+def test_upsert_keeps_the_null_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = lambda *r: spark.createDataFrame(list(r), "k int, part string, v string, t int")
+    layout.upsert(spark, path, rows((1, "a", "old", 1), (2, None, "old", 1), (3, None, "old", 1)), "k", ["t"], "part", "r1")
+    layout.upsert(spark, path, rows((2, None, "new", 2)), "k", ["t"], "part", "r2")
+    found = {r.k: r.v for r in read_table(spark, path, rows((1, "a", "x", 1)).schema).collect()}
+    assert found == {1: "old", 2: "new", 3: "old"}
+    assert not os.listdir(f"{path}.staged") and not os.listdir(f"{path}.arrived")
+
+
+def test_upsert_refuses_a_key_that_moves(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = lambda *r: spark.createDataFrame(list(r), "k int, part string, t int")
+    layout.upsert(spark, path, rows((1, "a", 1)), "k", ["t"], "part", "r1")
+    with pytest.raises(ValueError, match="another part"):
+        layout.upsert(spark, path, rows((1, "b", 2)), "k", ["t"], "part", "r2")
+
+
 def test_changed_since(spark):
     df = spark.createDataFrame([(1, 1), (2, 5), (3, 9)], "k int, t int")
     assert [r.k for r in layout.changed_since(df, "t", df.filter("t < 6")).collect()] == [3]
