@@ -13,6 +13,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class Dimension(NamedTuple):
@@ -87,6 +88,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
     )
 
 
+def _has_map(kind: T.DataType) -> bool:
+    """Whether a type holds a map, which has no hash."""
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType) or (isinstance(kind, T.ArrayType) and _has_map(kind.elementType))
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -108,11 +116,14 @@ def salted_join(
     # At most 1 / hot_share rows, whatever the size of the input.
     hot = F.broadcast(hot_keys(left, names, hot_share).withColumn("_hot", F.lit(True)))
     is_hot = F.col("_hot").isNotNull()
-    own_salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]) + F.spark_partition_id(), F.lit(salts))
+    hashed = [F.to_json(F.struct(f.name)) if _has_map(f.dataType) else F.col(f.name) for f in left.schema.fields]
+    own_salt = F.pmod(F.xxhash64(*hashed) + F.spark_partition_id(), F.lit(salts))
+    # A null key matches nothing, so its rows spread without any copies on the right.
+    is_null = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in names])
     salted_left = (
         left.withColumn("_own", own_salt.cast("int"))
         .join(hot, names, "left")
-        .withColumn("_salt", F.when(is_hot, F.col("_own")).otherwise(F.lit(0)))
+        .withColumn("_salt", F.when(is_hot | is_null, F.col("_own")).otherwise(F.lit(0)))
         .drop("_own", "_hot")
     )
     all_salts = F.sequence(F.lit(0), F.lit(salts - 1))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import rules
 from riskloom.operators.dedup import latest_per_key
-from riskloom.operators.joins import Dimension, left_join, own_shuffle, small_side, star_join
+from riskloom.operators.joins import Dimension, left_join, small_side, star_join
 from riskloom.operators.star import dimension, fact
 
 
@@ -55,9 +55,8 @@ def final_index(
     if broadcast_rows:
         dims = [small_side(dim, broadcast_rows) for dim in dims]
     if latest_signal:
-        ml_signals = own_shuffle(
-            latest_per_key(ml_signals, "transaction_id", ["created_date", "ml_signal_id"]), "transaction_id"
-        )
+        # Shuffled once, by the aggregate: a transaction occurs once by design, so no key is hot.
+        ml_signals = latest_per_key(ml_signals, "transaction_id", ["created_date", "ml_signal_id"])
     # The signals come first: their join may shuffle, and rows are narrow before the
     # dimensions add their texts.
     joined = star_join(

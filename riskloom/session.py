@@ -19,11 +19,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3.0",
     # Sessions of a stream are merged in every task before they are shuffled by key.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
-}
-
-
-# For clusters: the state of a stream may outgrow the memory of the executors.
-CLUSTER_SETTINGS = {
+    # The state of a stream may outgrow the memory of the executors; tests run the same provider.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -35,8 +31,7 @@ def is_local(spark: SparkSession) -> bool:
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
-    settings = RUNTIME_SETTINGS if is_local(spark) else {**RUNTIME_SETTINGS, **CLUSTER_SETTINGS}
-    for name, value in settings.items():
+    for name, value in RUNTIME_SETTINGS.items():
         spark.conf.set(name, value)
     return spark
 
