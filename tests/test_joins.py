@@ -45,6 +45,23 @@ def test_salted_join_with_null_keys(spark):
     assert rows(joins.salted_join(left, right, "k", hot_share=0.1)) == rows(left.join(right, "k", "left"))
 
 
+def test_salted_join_spreads_null_keys_and_takes_maps(spark):
+    left = spark.range(4000).select(
+        F.when(F.col("id") % 2 == 0, F.col("id") % 20).alias("k"), F.create_map(F.lit("a"), F.col("id")).alias("m"), F.struct(F.create_map(F.lit("b"), F.col("id")).alias("n")).alias("s")
+    )
+    right = spark.range(20).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    joined = joins.salted_join(left, right, "k", salts=16)
+    assert joined.count() == 4000 and joined.filter("k is null and w is not null").isEmpty()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spread = joins.salted_join(left, right, "k", salts=16).filter("k is null").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert max(r["count"] for r in spread) < 1500
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_null_keys(spark):
     left = spark.createDataFrame([(None, "a"), (1, "b"), (2, "c")], "k int, v string")
     right = spark.createDataFrame([(None, "none"), (1, "one")], "k int, n string")

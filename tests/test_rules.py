@@ -93,3 +93,13 @@ def test_vectorised_score_equals_native(spark):
     df = spark.createDataFrame([(None, 9.0), (5000.0, None), (12000.0, 1.0), (-5.0, 8.5)], "a double, r double")
     native, batch = rules.suspicion_score(F.col("a"), F.col("r")), suspicion_score_batch("a", "r")
     assert all(r.x == r.y for r in df.select(native.alias("x"), batch.alias("y")).collect())
+
+
+def test_arrow_score_equals_the_native_one(spark):
+    from riskloom.functions.vectorised import suspicion_score_batch
+
+    nan = float("nan")
+    pairs = [(a, r) for a in (None, nan, -50.0, 0.0, 9999.0, 10000.01, 20000.0) for r in (None, nan, 8.0, 8.01)]
+    df = spark.createDataFrame(pairs, "a double, r double")
+    both = df.select(rules.suspicion_score(F.col("a"), F.col("r")).alias("x"), suspicion_score_batch("a", "r").alias("y")).collect()
+    assert [(str(r.x), str(r.y)) for r in both if str(r.x) != str(r.y)] == []
