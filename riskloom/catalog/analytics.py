@@ -113,14 +113,14 @@ def dedup_latest(spark, sf):
 
 
 @query("""
-    SELECT l_orderkey, l_linenumber, l_suppkey, s_name FROM lineitem LEFT JOIN
-      (SELECT * FROM supplier WHERE s_acctbal > 1000) s ON l_suppkey = s_suppkey
+    SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag <> 'R' THEN l_suppkey END AS l_suppkey, s_name
+    FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey AND l_returnflag <> 'R'
 """)
 def salted_lookup(spark, sf):
-    lines = v.read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
-    suppliers = v.read(spark, sf, "supplier").filter(F.col("s_acctbal") > 1000).select(
-        F.col("s_suppkey").alias("l_suppkey"), "s_name"
-    )
+    """Lines that came back have no supplier: null keys spread like hot ones."""
+    supplier = F.when(F.col("l_returnflag") != "R", F.col("l_suppkey"))
+    lines = v.read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", supplier.alias("l_suppkey"))
+    suppliers = v.read(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
     return salted_join(lines, suppliers, "l_suppkey", salts=8, hot_share=0.01)
 
 

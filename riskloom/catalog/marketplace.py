@@ -97,12 +97,11 @@ def inner_txn_users(spark, sf):
 
 
 @query(v.sql_with("""
-    SELECT u.*, transaction_id, amount FROM users u LEFT JOIN (SELECT * FROM txn WHERE amount > 900) t
-      ON u.user_id = t.user_id
+    SELECT u.*, transaction_id, amount FROM users u LEFT JOIN txn t ON u.user_id = t.user_id
 """, "txn", "users"))
 def users_left_txns(spark, sf):
-    large = v.transactions(spark, sf).filter(F.col("amount") > 900).select("user_id", "transaction_id", "amount")
-    return marketplace.users_with_transactions(v.users(spark, sf), large)
+    txn = v.transactions(spark, sf).select("user_id", "transaction_id", "amount")
+    return marketplace.users_with_transactions(v.users(spark, sf), txn)
 
 
 @query(v.sql_with("""

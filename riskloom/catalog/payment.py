@@ -45,7 +45,7 @@ def unmatched_location_allowed(spark, sf):
 _NULL_KEYS = """
     , t AS (SELECT * REPLACE (CASE WHEN location_id >= 5 THEN location_id END AS location_id) FROM txn)
     , l AS (SELECT * REPLACE (CASE WHEN location_id > 0 THEN location_id END AS location_id)
-            FROM locations WHERE location_id = 0 OR location_id >= 5)
+            FROM locations)
     SELECT t.*, country, city, COALESCE(country NOT IN ('NATION_3', 'NATION_7'), TRUE) AS is_allowed,
            NULLIF(upper(trim(country)), '') AS norm_country
     FROM t LEFT JOIN l ON t.location_id IS NOT DISTINCT FROM l.location_id
@@ -57,9 +57,7 @@ def null_location_matches_null(spark, sf):
     """A null location of a transaction finds the location without an id."""
     place = F.col("location_id")
     txn = v.transactions(spark, sf).withColumn("location_id", F.when(place >= 5, place))
-    known = (
-        v.locations(spark, sf).filter((place == 0) | (place >= 5)).withColumn("location_id", F.when(place > 0, place))
-    )
+    known = v.locations(spark, sf).withColumn("location_id", F.when(place > 0, place))
     return payment.enrich(txn, known, v.RESTRICTED, null_safe=True)
 
 

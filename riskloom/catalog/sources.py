@@ -15,7 +15,10 @@ from riskloom.sources import profile as profiles
 from riskloom.sources.sinks import write_csv, write_table
 from riskloom.sources.tables import read_csv, register_external
 
-_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations",
+)
 
 
 @query("SELECT o_orderkey AS transaction_id, o_totalprice / 40 AS transaction_amount FROM orders "
