@@ -100,6 +100,9 @@ def settled(found: DataFrame) -> DataFrame:
 
     `twice`: its surroundings occur elsewhere too; `shown`: it stands for its kind of surroundings among several kinds.
     """
+    # Names that occur once go first, by narrow rows: few samples are left for the wider steps.
+    again = found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
+    found = set_down(found.join(own_shuffle(again, "name"), "name", "left_semi"), "shared-samples")
     kinds = found.groupBy("name", "around").agg(
         F.min(F.struct("t", "place")).alias("first"), F.max(F.struct("t", "place")).alias("last")
     )
