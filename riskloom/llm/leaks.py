@@ -5,8 +5,9 @@
    of the windows laid over the document at that stride equals one of the item's windows, which start at every word.
 2. A window is a 64-bit SimHash of its words. Fingerprints within `radius` bits agree in at least one of `radius + 1`
    blocks of bits, so looking up each block finds them all; the distance is then taken exactly.
-3. A pair of windows says where the item would lie in the document. That stretch, less words at its ends that the item
-   has not, is compared with the item: bags of shingles weighted by how often each occurs (sum of minima over sum of maxima).
+3. A pair of windows says near which words the item would lie in the document. All stretches there, of any start and end,
+   that are not too short or long for `percent` % are compared with the item: bags of shingles weighted by how often each
+   occurs (sum of minima over sum of maxima). The most similar one is reported, of equal ones the first.
 
 Documents are read once and never shuffled. Items come in blocks of `most` bytes, so what tasks receive is bounded.
 
@@ -17,7 +18,6 @@ other columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -66,9 +66,10 @@ def bit_sums(hashes: np.ndarray, largest: int) -> np.ndarray:
 
 class Item(NamedTuple):
     item_id: int
-    n: int
-    words: np.ndarray  # the distinct ones, sorted
-    shingles: Counter
+    width: int  # words of a shingle
+    m: int  # its shingles, of which `shingles` are the distinct ones, sorted, and `counts` how often each occurs
+    shingles: np.ndarray
+    counts: np.ndarray
 
 
 class Windows(NamedTuple):
@@ -124,13 +125,10 @@ class Benchmark:
             run = clean_run(n, percent, width) if n >= width else n
             size = max(s for s in SIZES if s <= max(1, 3 * run // 4)) if n >= width else n
             by_size.setdefault(size, []).append((len(self.items), run, hashes))
-            self.items.append(Item(item_id, n, np.unique(hashes), self.bag(hashes)))
+            own = grams(hashes, min(n, width))
+            self.items.append(Item(item_id, min(n, width), len(own), *np.unique(own, return_counts=True)))
         self.windows = [self._windows(size, group) for size, group in sorted(by_size.items())]
 
-    def bag(self, hashes: np.ndarray) -> Counter:
-        n = len(hashes)
-        return Counter(grams(hashes, min(n, self.width)).tolist()) if n else Counter()
-
     def _windows(self, size: int, group: list[tuple]) -> Windows:
         value, item, offset = [], [], []
         for number, _, hashes in group:
@@ -148,28 +146,39 @@ class Benchmark:
         stride = max(1, min(run for _, run, _ in group) - size + 1)
         return Windows(size, stride, value, np.concatenate(item), np.concatenate(offset), order, first)
 
-    def similarity(self, item: Item, hashes: np.ndarray) -> float:
-        other = self.bag(hashes)
-        if (len(hashes) < self.width) != (item.n < self.width):
-            return 0.0
-        both = sum((item.shingles & other).values())
-        return both / (sum(item.shingles.values()) + sum(other.values()) - both)
-
-    def _compare(self, item: Item, hashes: np.ndarray, start: int) -> tuple[float, int]:
-        """(similarity, first word) of the best stretch about as long as the item that begins near `start`.
-
-        Words more or fewer inside a passage shift one part of it against the other by as much as its similarity allows.
-        """
-        reach = 1 + (100 - self.percent) * item.n // 100
-        low, high = max(0, start - reach), min(len(hashes), start + item.n + reach)
-        own = np.isin(hashes[low:high], item.words)
+    def _longest(self, item: Item) -> int:
+        """Shingles that a stretch similar enough to the item has at most."""
+        return 100 * item.m // self.percent
+
+    def _compare(self, item: Item, shingles: np.ndarray) -> tuple[float, int]:
+        """(similarity, first shingle) of the stretch most similar to the item, over all first and last shingles."""
+        least, most = -(-self.percent * item.m // 100), self._longest(item)
+        kind = np.minimum(np.searchsorted(item.shingles, shingles), len(item.shingles) - 1)
+        place = np.flatnonzero(item.shingles[kind] == shingles)  # the best stretch begins and ends at one of these
+        end = np.searchsorted(place, place + most)
+        starts = np.flatnonzero(end - np.arange(len(place)) >= least)
+        if not len(starts):
+            return 0.0, 0
+        # A shingle counts unless the stretch holds as many equal ones before it as the item has: it begins after `back`.
+        kind = kind[place]
+        order = np.argsort(kind, kind="stable")
+        allowed = item.counts[kind[order]]
+        over = np.flatnonzero(np.arange(len(order)) - np.searchsorted(kind[order], kind[order]) >= allowed)
+        back = np.full(len(place), -1)
+        back[order[over]] = order[over - allowed[over]]
         best = (0.0, 0)
-        for shift in sorted(range(-reach, reach + 1, max(1, reach // 12)), key=abs):
-            a, b = max(0, start + shift), min(len(hashes), start + shift + item.n)
-            places = np.flatnonzero(own[max(0, a - low) : max(0, b - low)])
-            if len(places):
-                a, b = a + places[0], a + places[-1] + 1  # without strange words at the ends
-                best = max(best, (self.similarity(item, hashes[a:b]), a))
+        span = int((end - np.arange(len(place)))[starts].max())
+        rows = max(1, (1 << 18) // span)
+        for some in np.split(starts, range(rows, len(starts), rows)):
+            last = some[:, None] + np.arange(span)
+            within = last < end[some][:, None]
+            last = np.minimum(last, len(place) - 1)
+            both = np.cumsum(within & (back[last] < some[:, None]), axis=1)
+            like = np.where(within, both / (item.m + place[last] - place[some][:, None] + 1 - both), 0)
+            top = like.max(axis=1)
+            first = int(top.argmax())
+            if top[first] > best[0]:
+                best = (float(top[first]), int(place[some[first]]))
             if best[0] == 1:
                 break
         return best
@@ -182,6 +191,8 @@ class Benchmark:
             return {}
         sums = bit_sums(found.hash, max((w.size for w in self.windows), default=0))
         best: dict[tuple[int, int], tuple[float, int]] = {}
+        shingles: dict[int, np.ndarray] = {}  # of all texts, by words of a shingle
+        longest, widths = np.array([self._longest(i) for i in self.items]), np.array([i.width for i in self.items])
         for w in self.windows:
             # Windows start every `stride` words of their own text, and once more at its end.
             count = np.diff(found.first)
@@ -191,17 +202,28 @@ class Benchmark:
             if not len(start):
                 continue
             q, k = w.lookup(simhash(sums, start, w.size), self.radius)
-            row = found.row[start[q]]
-            begin = start[q] - w.offset[k]
             if not len(q):
                 continue
-            places, votes = np.unique(np.stack([row, w.item[k], begin]), axis=1, return_counts=True)
-            for r, number, s in places.T[np.argsort(-votes, kind="stable")].tolist():  # where most windows agree first
-                if best.get((r, number), (0.0, 0))[0] == 1:
+            # Shingles of any stretch that is short enough and holds the window; overlapping ones are searched as one.
+            row, number = found.row[start[q]], w.item[k]
+            most, width = longest[number], widths[number]
+            low = np.maximum(nth[start[q]] + w.size - most - width + 1, 0)
+            high = np.minimum(nth[start[q]] + most, count[row] - width + 1)
+            order = np.lexsort((low, number, row))
+            row, number, low, high = row[order], number[order], low[order], high[order]
+            new = np.ones(len(row), bool)
+            new[1:] = (np.diff(row) != 0) | (np.diff(number) != 0) | (low[1:] > high[:-1])
+            begin = np.flatnonzero(new)
+            ends = high[np.append(begin[1:], len(row)) - 1]
+            for r, i, a, b in zip(row[begin].tolist(), number[begin].tolist(), low[begin].tolist(), ends.tolist(), strict=True):
+                if best.get((r, i), (0.0, 0))[0] == 1:
                     continue
-                like, at = self._compare(self.items[number], found.hash[found.first[r] : found.first[r + 1]], s - found.first[r])
-                if 100 * like >= self.percent - 1e-9 and like > best.get((r, number), (0.0, 0))[0]:
-                    best[r, number] = (like, int(at))
+                item, at = self.items[i], int(found.first[r])
+                if item.width not in shingles:
+                    shingles[item.width] = grams(found.hash, item.width)
+                like, place = self._compare(item, shingles[item.width][at + a : at + b])
+                if 100 * like >= self.percent - 1e-9 and like > best.get((r, i), (0.0, 0))[0]:
+                    best[r, i] = (like, a + place)
         return best
 
 

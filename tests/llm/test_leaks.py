@@ -69,6 +69,48 @@ def make(seed, items=12, docs=60):
     return rows, bench
 
 
+def every_stretch(docs, items, percent=80):
+    """The best similarity of all stretches, of any first and last shingle, that begin with a shingle of the item."""
+    out = {}
+    for i, text in docs:
+        d = words(text)
+        for j, passage in items:
+            w = words(passage)
+            if not w or not d:
+                continue
+            n = min(5, len(w))
+            own, m = Counter(tuple(w[k : k + n]) for k in range(len(w) - n + 1)), len(w) - n + 1
+            shingles = [tuple(d[k : k + n]) for k in range(len(d) - n + 1)]
+            for a in (k for k, x in enumerate(shingles) if x in own):
+                seen, both = Counter(), 0
+                for b in range(a, min(len(shingles), a + 100 * m // percent + 1)):
+                    seen[shingles[b]] += 1
+                    both += seen[shingles[b]] <= own[shingles[b]]
+                    like = both / (m + b - a + 1 - both)
+                    if 100 * like >= percent - 1e-9:
+                        out[i, j] = max(like, out.get((i, j), 0))
+    return out
+
+
+def make_shared(seed, items=14, docs=60):
+    """Items and documents over one small vocabulary; passages with words put in, or cut at an end, at any length."""
+    rng = random.Random(seed)
+    vocabulary = [f"v{k}" for k in range(40)]
+    bench = [(j, " ".join(rng.choices(vocabulary, k=rng.choice([3, 6, 14, 30, 45, 60, 90])))) for j in range(items)]
+    rows = []
+    for i in range(docs):
+        text = rng.choices(vocabulary, k=rng.randrange(0, 60))
+        passage = rng.choice(bench)[1].split()
+        if i % 2:
+            k = rng.randrange(len(passage))
+            passage = passage[:k] + rng.choices(["new", *vocabulary], k=rng.randrange(1, 2 + len(passage) // 10)) + passage[k:]
+        else:
+            passage = passage[: len(passage) - rng.randrange(len(passage) // 5 + 1)]
+        at = rng.randrange(len(text) + 1)
+        rows.append((i, " ".join(text[:at] + passage + text[at:])))
+    return rows, bench
+
+
 def bench_table(spark, items):
     return spark.createDataFrame([(*x, "clash") for x in items], "item_id long, text string, doc_id string")
 
@@ -81,6 +123,21 @@ def test_changed_passages_against_every_place(spark, make_docs, seed):
     assert all(abs(got[k] - want[k]) < 0.25 and got[k] <= want[k] + 1e-9 for k in want)
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_longer_and_shorter_passages_against_every_stretch(spark, make_docs, seed):
+    rows, items = make_shared(seed)
+    got, want = found(leaks.leaks(make_docs(rows), bench_table(spark, items))), every_stretch(rows, items)
+    assert set(got) == set(want) and len(want) > 20
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_one_word_put_into_an_item(spark, make_docs):
+    item = [f"w{k % 43}" for k in range(45)]
+    docs = make_docs([" ".join(["start", *item[:k], "new", *item[k:], *item[:3], "end"]) for k in range(46)])
+    got = found(leaks.leaks(docs, bench_table(spark, [(0, " ".join(item))])))
+    assert len(got) == 46 and min(got.values()) == pytest.approx(37 / 46)
+
+
 def test_sample(spark, sample):
     docs = [(r.doc_id, r.text) for r in read(spark, sample, "documents").collect()]
     items = [(r.item_id, r.text) for r in read(spark, sample, "benchmark").collect()]
