@@ -1,8 +1,8 @@
 """Secrets in text: three fixed formats, and random strings shown up by a token-efficiency test.
 
 A byte-pair vocabulary spends few tokens on what people write and many on random characters. So a string of key
-characters with few characters per token is taken for a secret of kind `random`, unless it is a known digest or
-identifier (see `known`) or touches a span of a fixed format. Candidates and hexadecimal runs are found on the byte
+characters, be they letters only, with few characters per token is taken for a secret of kind `random`, unless it is a
+known digest or identifier (see `known`) or touches a span of a fixed format. Candidates and hexadecimal runs are found on the byte
 arrays; only texts with a keyword meet the other two patterns.
 
 Defined cases: a null or empty text has no spans; repeated rows and null ids are reported row by row; spans count code
@@ -34,10 +34,10 @@ DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 IDENTIFIERS = [
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),  # UUID
     re.compile(r"[0-9T:Z+/_=-]+"),  # numbers, dates and times
-    re.compile(r"[A-Za-z]+"),  # a word, or words run together
-    re.compile(r"([a-z]+|[A-Z]+|[A-Z][a-z]+|[0-9]+)([_/+=-]+([a-z]+|[A-Z]+|[A-Z][a-z]+|[0-9]+))*[_/+=-]*"),  # words and numbers
     re.compile(r"(\W|_)*(\w)\2*(\W|_)*"),  # rules made of one character
 ]
+# Words and numbers between separators: here the words alone decide, as numbers and separators take many tokens.
+NAMES = re.compile(r"([a-z]+|[A-Z]+|[A-Z][a-z]+|[0-9]+)([_/+=-]+([a-z]+|[A-Z]+|[A-Z][a-z]+|[0-9]+))*[_/+=-]*")
 
 
 def _table(characters: str) -> np.ndarray:
@@ -67,7 +67,7 @@ def known(text: str) -> bool:
     """A digest or an identifier, which may look random and is none of our business."""
     if len(text) in DIGEST_LENGTHS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text):
         return True
-    return any(p.fullmatch(text) for p in IDENTIFIERS)
+    return text.lower() in _SMALL or any(p.fullmatch(text) for p in IDENTIFIERS)
 
 
 class Scanner:
@@ -84,9 +84,11 @@ class Scanner:
 
     def random(self, text: str) -> bool:
         text = text.strip("=/_-+")
-        if len(text) < self.shortest or not re.search("[0-9]", text) or not re.search("[A-Za-z]", text) or known(text):
+        if len(text) < self.shortest or known(text):
             return False
-        return len(text) < self.chars_per_token * len(self.encoding.encode_ordinary(text))
+        parts = re.findall("[A-Za-z]{3,}", text) if NAMES.fullmatch(text) else [text]
+        size = sum(map(len, parts))
+        return self.shortest <= size < self.chars_per_token * sum(len(self.encoding.encode_ordinary(p)) for p in parts)
 
     def spans(self, column: pa.Array) -> list[list[tuple[int, int, int]]]:
         """Of each text, (start, number of kind, end) in order of start and kind."""

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -59,6 +60,28 @@ def test_token_efficiency(text, random):
     assert secrets.Scanner(RANKS).random(text) is random
 
 
+# Words run together, names and rules beside keys of letters only (the rest drawn at random once).
+READABLE = [
+    "thequickbrownfoxjumpsoverthelazydog", "AbstractSingletonProxyFactoryBean", "Donaudampfschifffahrtsgesellschaft",
+    "anticonstitutionnellement", "MAX_CONNECTION_POOL_SIZE", "INTERNATIONALIZATION", "nightly-build-logs-of-the-server",
+    "eauaitionouierelleaux", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "usr/local/share/documents/2024/report", "x" * 40,
+]
+LETTERS = ["QxvTkLwzRbNfGhJpMcYd", "qzxvkjwphtgfbdnmrcly", "XKQZJVWPBTNMRWQZKXJVHGFD", "nmrwqzkxjv-xkqzjvwpbt-42"]
+
+
+def test_keys_of_letters_only(spark, make_docs):
+    docs = make_docs([f"see {x} here" for x in READABLE + LETTERS])
+    got = {r.doc_id: r.spans for r in secrets.digest(secrets.scan(docs, RANKS)).collect()}
+    assert [k for k in got if got[k]] == list(range(len(READABLE), len(READABLE + LETTERS)))
+    assert all(got[k] == f"random:4:{4 + len(x)}" for k, x in enumerate(LETTERS, len(READABLE)))
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"])
+def test_share_of_random_letters(letters):
+    rng, scanner = random.Random(1), secrets.Scanner(RANKS)
+    assert sum(scanner.random("".join(rng.choices(letters, k=32))) for _ in range(300)) >= 280
+
+
 def test_redaction(spark, make_docs):
     docs = make_docs([*enumerate(TEXTS[:3]), (9, None), (10, "clean")])
     out = secrets.redact(docs, RANKS)
