@@ -2,7 +2,8 @@
 
 A byte-pair vocabulary spends few tokens on what people write and many on random characters. So a string of key
 characters, be they letters only, with few characters per token is taken for a secret of kind `random`, unless it is a
-known digest or identifier (see `known`) or touches a span of a fixed format. Candidates and hexadecimal runs are found on the byte
+known digest or identifier (see `known`) or touches a span of a fixed format. In a readable run the parts between
+separators are tested, alone and joined (see `Scanner.stretches`). Candidates and hexadecimal runs are found on the byte
 arrays; only texts with a keyword meet the other two patterns.
 
 Defined cases: a null or empty text has no spans; repeated rows and null ids are reported row by row; spans count code
@@ -38,6 +39,7 @@ IDENTIFIERS = [
 ]
 # Words and numbers between separators: here the words alone decide, as numbers and separators take many tokens.
 NAMES = re.compile(r"([a-z]+|[A-Z]+|[A-Z][a-z]+|[0-9]+)([_/+=-]+([a-z]+|[A-Z]+|[A-Z][a-z]+|[0-9]+))*[_/+=-]*")
+PART = re.compile("[A-Za-z0-9]+")
 
 
 def _table(characters: str) -> np.ndarray:
@@ -90,6 +92,73 @@ class Scanner:
         size = sum(map(len, parts))
         return self.shortest <= size < self.chars_per_token * sum(len(self.encoding.encode_ordinary(p)) for p in parts)
 
+    def _excess(self, text: str) -> float:
+        """How much shorter a string is than a readable one of its tokens; below zero it is readable."""
+        return self.chars_per_token * len(self.encoding.encode_ordinary(text)) - len(text)
+
+    def _readable(self, part: str) -> bool:
+        return len(part) > 3 and self._excess(part) <= 0  # fewer characters tell nothing
+
+    def stretches(self, text: str) -> list[tuple[int, int]]:
+        """Where random strings lie in a run of key characters: the whole of it, or stretches of neighbouring parts.
+
+        Readable parts lift the mean of the whole run, so the parts between separators are tested too, alone and joined to
+        their neighbours. Of two long enough pieces of a random stretch one is random, so a stretch need not go on when it
+        has twice the shortest length without its last part. Stretches that overlap become one, lose readable parts at
+        their ends and take in neighbours that look random (a readable piece of a few characters does not end that).
+        """
+        if known(text.strip("=/_-+")):
+            return []
+        if self.random(text):
+            return [(0, len(text))]
+        parts = [m.span() for m in PART.finditer(text)]
+        inside = {at for m in IDENTIFIERS[0].finditer(text) for at in range(*m.span())}
+        seen = {piece: known(piece) and not piece.isdigit() for piece in {text[a:b] for a, b in parts}}
+        barred = [start in inside or seen[text[start:end]] for start, end in parts]
+        # Tokens end where parts end, so sums over parts tell which stretches need the whole test.
+        memo: dict[str, tuple[int, bool]] = {}
+        for piece in {text[a:b] for a, b in parts}:
+            memo[piece] = len(self.encoding.encode_ordinary(piece)), bool(NAMES.fullmatch(piece))
+        told = [memo[text[a:b]] for a, b in parts]
+        groups: list[list[int]] = []  # first and last part
+        for i, (start, _) in enumerate(parts):
+            tokens, letters, letter_tokens, names = 0, 0, 0, True
+            for k in range(i, len(parts)):
+                if barred[k] or (k > i and parts[k - 1][1] - start >= 2 * self.shortest):
+                    break
+                a, end = parts[k]
+                tokens += told[k][0] + (a - parts[k - 1][1] if k > i else 0)  # at most a token for a separator
+                names = names and told[k][1]
+                if end - a > 2 and text[a].isalpha():
+                    letters, letter_tokens = letters + end - a, letter_tokens + told[k][0]
+                length, cost = (letters, letter_tokens) if names else (end - start, tokens)
+                if self.shortest <= length < self.chars_per_token * cost and self.random(text[start:end]):
+                    if groups and i <= groups[-1][1]:
+                        groups[-1][1] = max(k, groups[-1][1])
+                    else:
+                        groups.append([i, k])
+        out: list[tuple[int, int]] = []
+        for i, k in groups:
+            while i < k and self._readable(text[slice(*parts[i])]) and self.random(text[parts[i + 1][0] : parts[k][1]]):
+                i += 1
+            while i < k and self._readable(text[slice(*parts[k])]) and self.random(text[parts[i][0] : parts[k - 1][1]]):
+                k -= 1
+            first, last = (self._reach(text, parts, barred, at, step) for at, step in ((i, -1), (k, 1)))
+            start, end = parts[first][0], parts[last][1]
+            if out and start <= out[-1][1]:
+                start = min(start, out.pop()[0])
+            out.append((start, end))
+        return out
+
+    def _reach(self, text: str, parts: list[tuple[int, int]], barred: list[bool], at: int, step: int) -> int:
+        """The last part from `at` on, in one direction, up to which the neighbours look random."""
+        best, total, most = at, 0.0, 0.0
+        while 0 <= (at := at + step) < len(parts) and not barred[at] and total >= most - 4:
+            total += self._excess(text[slice(*parts[at])])
+            if total > most:
+                best, most = at, total
+        return best
+
     def spans(self, column: pa.Array) -> list[list[tuple[int, int, int]]]:
         """Of each text, (start, number of kind, end) in order of start and kind."""
         data, at = utf8(column)
@@ -100,8 +169,10 @@ class Scanner:
             row = np.searchsorted(at, start, side="right") - 1
             base = points[at[row]]
             for r, a, b, byte_a, byte_b in zip(row, points[start] - base, points[end] - base, start, end, strict=True):
-                if kind == 2 or self.random(data[byte_a:byte_b].tobytes().decode()):
+                if kind == 2:
                     found[r].append((int(a), kind, int(b)))
+                else:
+                    found[r] += [(int(a) + x, kind, int(a) + y) for x, y in self.stretches(data[byte_a:byte_b].tobytes().decode())]
         for r, text in enumerate(column.to_pylist()):
             if not text:
                 continue

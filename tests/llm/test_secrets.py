@@ -82,6 +82,37 @@ def test_share_of_random_letters(letters):
     assert sum(scanner.random("".join(rng.choices(letters, k=32))) for _ in range(300)) >= 280
 
 
+BEFORE = ["production/service/account/credentials/", "session-identifier-for-service=", "authorization_header=", "https/hooks/services/2024/"]
+BASE64 = "aZ3/kQ9xVb+T7mLw2RsYc/P0d8NfJ4hGu6+KtE1o"
+PLAIN = ["production/service/account/credentials/internationalization", "/users/550e8400-e29b-41d4-a716-446655440000/production/settings/credentials", "documents/2024/01/02/production-service-settings-123456789"]
+
+
+def test_secrets_joined_to_readable_text(spark, make_docs):
+    keys = [RANDOM[:20], RANDOM, BASE64]
+    cases = [(pre, key, post) for pre in BEFORE for key in keys for post in ("", "/production/settings/of/the/service")]
+    docs = make_docs([f"see {pre}{key}{post} here" for pre, key, post in cases] + PLAIN)
+    got = {r.doc_id: r.spans for r in secrets.scan(docs, RANKS).collect()}
+    for k, (pre, key, _) in enumerate(cases):
+        at = 4 + len(pre)
+        assert any(s.start <= at and s.end >= at + len(key) for s in got[k]), (pre, key)
+    assert not any(got[k] for k in range(len(cases), len(cases) + len(PLAIN)))
+
+
+def test_readable_text_beside_a_secret_stays():
+    scanner, pre = secrets.Scanner(RANKS), "production/service/account/credentials/"
+    for key in (RANDOM, BASE64):
+        assert scanner.stretches(f"{pre}{key}/{pre}") == [(len(pre), len(pre) + len(key))]
+    two = f"{pre}{RANDOM}/{pre * 3}{BASE64}"
+    assert scanner.stretches(two) == [(len(pre), len(pre) + len(RANDOM)), (len(two) - len(BASE64), len(two))]
+
+
+def test_long_runs_of_short_parts():
+    scanner = secrets.Scanner(RANKS)
+    for piece in ("ab/", "a1/", "settings/"):
+        run = f"production/{piece * 20_000}"
+        assert all(b - a >= 20 for a, b in scanner.stretches(run))
+
+
 def test_redaction(spark, make_docs):
     docs = make_docs([*enumerate(TEXTS[:3]), (9, None), (10, "clean")])
     out = secrets.redact(docs, RANKS)
