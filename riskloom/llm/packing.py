@@ -4,8 +4,9 @@
    first, so that all other pieces of such a document are full. (Arrow batches; only lengths and checksums leave the task.)
 2. How many pieces there are of each length is all that packing needs: at most `capacity` counts reach the driver,
    whatever the number of documents. Equal bins are one *pattern* with a multiplicity, so the plan is as small.
-3. A best-fit start is improved by local search over underfull patterns: move one piece, exchange one for one, or one for
-   two, always so that the sum of squared fills grows, until bins run empty or nothing helps.
+3. A best-fit start is improved by local search over underfull patterns: move one piece or two, exchange one for one, one
+   for two or two for one, always so that the sum of squared fills grows, until no step helps or the bins are as few as
+   the tokens allow.
 4. The k-th piece of a length takes the k-th place that the plan has for that length. Ranks come from salted windows, so
    that a length held by a third of all pieces is still shared out over many tasks.
 
@@ -211,9 +212,10 @@ def best_fit(counts: dict[int, int], capacity: int) -> Plan:
 
 
 def _options(pattern: tuple) -> list[tuple[int, tuple]]:
-    """Nothing, one piece or two pieces of a pattern, with their length together."""
-    pairs = set(itertools.combinations(pattern, 2)) if len(pattern) <= 64 else set()
-    return [(0, ()), *((x, (x,)) for x in set(pattern)), *((x + y, (x, y)) for x, y in pairs)]
+    """Nothing, one piece or two pieces of a pattern, with their length together, each choice of lengths once."""
+    held = Counter(pattern)
+    pairs = [*itertools.combinations(held, 2), *((x, x) for x, n in held.items() if n > 1)]
+    return [(0, ()), *((x, (x,)) for x in held), *((x + y, (x, y)) for x, y in pairs)]
 
 
 def _best_step(low: tuple, highs: list[tuple], capacity: int) -> tuple[tuple, tuple, tuple] | None:
@@ -245,17 +247,12 @@ def _without(pattern: tuple, gone: tuple) -> list[int]:
     return out
 
 
-def local_search(plan: Plan, capacity: int, steps: int = 3_000) -> Plan:
-    """Shift pieces from emptier bins to fuller ones until the emptiest run empty or no step helps.
-
-    A step moves a piece, exchanges one for one, or one for two. The receiving bin is at least as full as the giving
-    one, so every step raises the sum of squared fills, and the search ends. `steps` bounds the driver's time only.
-    """
-    plan = Counter(plan)
+def improve(plan: Plan, capacity: int, least: int) -> int:
+    """One pass over the underfull patterns, emptiest first, in place; the number of steps made."""
+    steps, bins = 0, sum(plan.values())
     heap = [(sum(p), p) for p in plan if sum(p) < capacity]
     heapq.heapify(heap)
-    while heap and steps > 0:
-        steps -= 1
+    while heap and bins > least:
         fill, low = heapq.heappop(heap)
         if not plan.get(low):
             continue
@@ -263,6 +260,7 @@ def local_search(plan: Plan, capacity: int, steps: int = 3_000) -> Plan:
         found = _best_step(low, highs, capacity) if highs else None
         if not found:
             continue
+        steps += 1
         high, taken, given = found
         times = min(plan[low], plan[high]) if high != low else plan[low] // 2
         for old in (low, high):
@@ -274,9 +272,25 @@ def local_search(plan: Plan, capacity: int, steps: int = 3_000) -> Plan:
         for new in changed:
             if new:
                 plan[new] += times
-        for p in {*changed, low}:
-            if plan.get(p) and sum(p) < capacity:
+            else:
+                bins -= times
+        for p in {*changed, low, high}:
+            if p and plan.get(p) and sum(p) < capacity:
                 heapq.heappush(heap, (sum(p), p))
+    return steps
+
+
+def local_search(plan: Plan, capacity: int) -> Plan:
+    """Shift pieces from emptier bins to fuller ones until no step helps, or no fewer bins can hold the tokens.
+
+    A step moves a piece, exchanges one for one, one for two or two for one. The receiving bin is at least as full as the
+    giving one, so every step raises the sum of squared fills, and the search ends. A pattern without a step may get
+    one by the changes of others, so passes are repeated until one makes no step.
+    """
+    plan = Counter(plan)
+    least = -(-sum(sum(p) * n for p, n in plan.items()) // capacity)
+    while improve(plan, capacity, least):
+        pass
     return plan
 
 

@@ -76,6 +76,31 @@ def test_local_search_empties_bins():
     assert sum(two.values()) == 2
 
 
+def test_local_search_ends_where_no_step_is_left():
+    random = np.random.default_rng(3)
+    for _ in range(300):
+        capacity = int(random.integers(10, 60))
+        start = Counter()
+        for _ in range(int(random.integers(2, 12))):
+            pieces, room = [], capacity
+            while room and random.random() < 0.7:
+                pieces.append(int(random.integers(1, room + 1)))
+                room -= pieces[-1]
+            if pieces:
+                start[tuple(sorted(pieces, reverse=True))] += int(random.integers(1, 5))
+        found = packing.local_search(start, capacity)
+        held = lambda plan: sum((Counter({x: n * p.count(x) for x in set(p)}) for p, n in plan.items()), Counter())
+        assert held(found) == held(start)
+        least = -(-sum(sum(p) * n for p, n in start.items()) // capacity)
+        assert least <= sum(found.values()) <= sum(start.values())
+        assert packing.improve(Counter(found), capacity, least) == 0
+
+
+def test_pieces_of_many_lengths_take_part_in_exchanges():
+    many = tuple([3] * 80 + [1] * 5)  # more than 64 pieces, few lengths
+    assert {n for n, _ in packing._options(many)} == {0, 1, 2, 3, 4, 6}
+
+
 def test_plan_keeps_every_piece():
     random = np.random.default_rng(1)
     counts = Counter(random.integers(1, 1025, 5_000).tolist())
