@@ -59,12 +59,12 @@ def bucket(shingles: np.ndarray, sketch: np.ndarray) -> np.ndarray:
 
 
 def described(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n_shingles, node) of every document, and the sketch of all sets."""
+    """(doc_id, text_hash, n_shingles, node) of every document, and the sketch of all sets."""
     bits = sketch_bits(texts(docs))
 
     def describe(batches) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(1 << bits, np.uint8)
-        names = ["doc_id", "n_shingles", "node", "chunk", "counters"]
+        names = ["doc_id", "text_hash", "n_shingles", "node", "chunk", "counters"]
         for batch in slices(batches):
             sets = distinct_shingles(batch.column("text"), width)
             met, times = np.unique(bucket(np.concatenate(sets), counters), return_counts=True)
@@ -72,16 +72,16 @@ def described(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
             n = len(sets)
             nodes = pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())
             sizes = pa.array([len(s) for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sizes, nodes, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), sizes, nodes, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
         for k in range(len(counters) // CHUNK):
             part = counters[k * CHUNK : (k + 1) * CHUNK]
             if part.any():
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.nulls(1, pa.int64()) for _ in range(3)), pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], names
+                    [*(pa.nulls(1, pa.int64()) for _ in range(4)), pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], names
                 )
 
-    schema = "doc_id long, n_shingles long, node long, chunk int, counters binary"
-    out = set_down(texts(docs).mapInArrow(describe, schema), "sets")
+    schema = "doc_id long, text_hash long, n_shingles long, node long, chunk int, counters binary"
+    out = set_down(texts(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(describe, schema), "sets")
 
     def add(batches) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -95,7 +95,7 @@ def described(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
     sketch = np.zeros(1 << bits, np.uint8)
     for r in parts.toLocalIterator():  # 2**bits bytes in all
         sketch[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counters"], np.uint8)
-    return out.where("chunk is null").select("doc_id", "n_shingles", "node"), sketch
+    return out.where("chunk is null").select("doc_id", "text_hash", "n_shingles", "node"), sketch
 
 
 def least_overlap(n: int, percent: int) -> int:
@@ -267,26 +267,39 @@ def in_blocks(nodes: DataFrame, candidates: DataFrame, most: int) -> DataFrame:
     return rows.select("doc_id", "node", F.col("label").alias("block"), pair.alias("other"))
 
 
-def groups(docs: DataFrame, width: int = 5, percent: int = 80, most: int = 1_000_000) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document: the smallest doc_id that links reach."""
+def labelled_sets(docs: DataFrame, width: int, percent: int, most: int) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, label, component_id) of every document; no label without a set or an id."""
     sets, sketch = described(docs, width)
     candidates = candidate_edges(postings(docs, width, percent, sketch), percent)
     nodes = sets.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"))
     found = components(links(docs, in_blocks(nodes, candidates, most), width, percent))
     labelled = nodes.join(own_shuffle(found, "node"), "node", "left").select("node", "doc_id", F.coalesce("label", "node").alias("label"))
     smallest = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    by_node = labelled.join(own_shuffle(smallest, "label"), "label").select("node", "component_id")
+    by_node = labelled.join(own_shuffle(smallest, "label"), "label").select("node", "label", "component_id")
     with_set = sets.join(own_shuffle(by_node, "node"), "node", "left")
+    known = F.col("doc_id").isNotNull()
     alone = F.coalesce("component_id", F.when(F.col("node").isNull(), F.col("doc_id")))
-    return with_set.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), alone).alias("component_id"))
+    return with_set.select(
+        "doc_id", "text_hash", "n_shingles", F.when(known, F.col("label")).alias("label"), F.when(known, alone).alias("component_id")
+    )
+
+
+def groups(docs: DataFrame, width: int = 5, percent: int = 80, most: int = 1_000_000) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document: the smallest doc_id that links reach."""
+    return labelled_sets(docs, width, percent, most).select("doc_id", "n_shingles", "component_id")
 
 
-def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The document with the smallest doc_id of every group, with the columns of `documents`.
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, most: int = 1_000_000) -> DataFrame:
+    """One document of every group, with the columns of `documents`: the smallest doc_id, of its texts the smallest hash.
 
-    Of rows equal in doc_id and text one stays; rows with a null id all stay.
+    A document is an id with a text: of an id with two texts each belongs to the group of its own. Of rows equal in
+    doc_id and text one stays; rows with a null id all stay.
     """
     docs = docs.select(DOCUMENT_COLUMNS)
-    gone = groups(docs, width, percent).where("doc_id <> component_id").select("doc_id").distinct()
-    known = docs.where("doc_id is not null").join(own_shuffle(set_down(gone, "near-copies"), "doc_id"), "doc_id", "left_anti")
+    grouped = set_down(labelled_sets(docs, width, percent, most).where("label is not null").select("label", "doc_id", "text_hash"), "near-copies")
+    kept = grouped.groupBy("label").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    gone = grouped.join(own_shuffle(kept, "label"), "label").where(F.struct("doc_id", "text_hash") != F.col("first"))
+    gone = gone.select("doc_id", "text_hash").distinct()
+    known = docs.where("doc_id is not null").withColumn("text_hash", F.xxhash64(F.col("text").cast("string")))
+    known = known.join(own_shuffle(gone, ["doc_id", "text_hash"]), ["doc_id", "text_hash"], "left_anti")
     return known.dropDuplicates(["doc_id", "text"]).select(DOCUMENT_COLUMNS).unionByName(docs.where("doc_id is null"))

@@ -116,3 +116,11 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 140)] + [(200, 200), (7, 3)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {k: 0 for k in range(41)} | {k: 100 for k in range(100, 140)}
+
+
+def test_one_of_each_keeps_the_other_text_of_an_id(spark, make_docs):
+    a, b = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    rows = [(1, a), (2, a + " more"), (2, b), (3, b), (4, a), (1, a + " again"), (5, "")]
+    left = sorted((r.doc_id, r.text) for r in jaccard.one_of_each(make_docs(rows)).collect())
+    # Of the group of a one of the two texts of document 1 stays; of the group of b document 2's text.
+    assert len(left) == 3 and left[0][0] == 1 and left[0][1].startswith(a) and left[1:] == [(2, b), (5, "")]
