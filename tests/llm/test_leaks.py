@@ -117,10 +117,12 @@ def bench_table(spark, items):
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_changed_passages_against_every_place(spark, make_docs, seed):
+    """Stretches of the item's own length are a lower bound: the operator tries other lengths too."""
     rows, items = make(seed)
     got, want = found(leaks.leaks(make_docs(rows), bench_table(spark, items))), brute(rows, items)
-    assert set(got) == set(want) and len(want) > 20
-    assert all(abs(got[k] - want[k]) < 0.25 and got[k] <= want[k] + 1e-9 for k in want)
+    assert set(want) <= set(got) and len(want) > 20
+    assert all(got[k] >= want[k] - 1e-9 for k in want)
+    assert set(got) <= set(want) | set(every_stretch(rows, items))
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
