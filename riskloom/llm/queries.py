@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from riskloom.llm import jaccard, leaks, likelihood, ordinal, packing, pii, repeats, secrets, toxicity, warc
+from riskloom.llm import jaccard, leaks, likelihood, ordinal, packing, pii, repeats, secrets, toxicity, vectors, warc
 from riskloom.llm.registry import ORACLES, QUERIES, query
 from riskloom.llm.tables import read
 
@@ -70,3 +70,32 @@ def op9_secret_scan(spark, sf_dir):
 @query()
 def op10_benchmark_decontamination(spark, sf_dir):
     return leaks.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def _codes_sql(rounds: int = 2) -> str:
+    near = """
+        near{k} AS (SELECT n, vec_id, label, p, part, min(struct_pack(far := far, entry := entry)) AS best
+                    FROM (SELECT t.*, b.entry, list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(t.part, b.part)])::BIGINT AS far
+                          FROM parts t JOIN book{k} b USING (p)) GROUP BY ALL)"""
+    book = """
+        book{k} AS (SELECT b.p, b.entry, coalesce(m.part, b.part) AS part FROM book{j} b LEFT JOIN (
+            SELECT p, entry, list(x ORDER BY pos) AS part FROM (
+                SELECT p, best.entry AS entry, pos, CAST(floor(sum(part[pos]) / count(*)) AS BIGINT) AS x
+                FROM near{j}, (SELECT unnest(generate_series(1, (SELECT max(len(part)) FROM parts))) AS pos) GROUP BY ALL) GROUP BY ALL
+            ) m USING (p, entry))"""
+    steps = ", ".join(near.format(k=k) + "," + book.format(k=k + 1, j=k) for k in range(rounds))
+    return f"""
+        WITH kept AS (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS n, [CAST(floor(256 * x::DOUBLE) AS BIGINT) for x in embedding] AS v
+                      FROM embeddings WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+        parts AS (SELECT n, vec_id, label, p, v[p * (len(v) // 16) + 1 : (p + 1) * (len(v) // 16)] AS part FROM kept, range(16) r(p)),
+        book0 AS (SELECT p, n AS entry, part FROM parts WHERE n < 64), {steps}, {near.format(k=rounds)},
+        coded AS (SELECT vec_id, label, string_agg(format('{{:02x}}', best.entry), '' ORDER BY p) AS code, sum(best.far)::BIGINT AS error
+                  FROM near{rounds} GROUP BY n, vec_id, label)
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+               (SELECT sha256(string_agg(array_to_string(part, ','), ',' ORDER BY p, entry)) FROM book{rounds}) AS codebooks_sha256 FROM coded
+    """
+
+
+@query(_codes_sql())
+def op12_vector_codes(spark, sf_dir):
+    return vectors.coded(read(spark, sf_dir, "embeddings"))
