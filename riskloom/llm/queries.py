@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from riskloom.llm import jaccard, leaks, likelihood, ordinal, packing, pii, repeats, secrets, toxicity, vectors, warc
+from riskloom.llm import divergence, jaccard, languages, leaks, likelihood, ordinal, packing, pii, repeats, secrets, toxicity, vectors, warc
 from riskloom.llm.registry import ORACLES, QUERIES, query
 from riskloom.llm.tables import read
 
@@ -72,6 +72,11 @@ def op10_benchmark_decontamination(spark, sf_dir):
     return leaks.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query()
+def op11_language_filter(spark, sf_dir):
+    return languages.predicted(read(spark, sf_dir, "documents"))
+
+
 def _codes_sql(rounds: int = 2) -> str:
     near = """
         near{k} AS (SELECT n, vec_id, label, p, part, min(struct_pack(far := far, entry := entry)) AS best
@@ -99,3 +104,27 @@ def _codes_sql(rounds: int = 2) -> str:
 @query(_codes_sql())
 def op12_vector_codes(spark, sf_dir):
     return vectors.coded(read(spark, sf_dir, "embeddings"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query(f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+w AS (SELECT r, lang, source, unnest(words) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM w GROUP BY ALL),
+k AS (SELECT lang, term, sum(n)::BIGINT AS total FROM c GROUP BY ALL HAVING sum(docs) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(total)::BIGINT AS n FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+s AS (SELECT lang, source, term, coalesce(c.n, 0) AS n, total FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT lang, source, term, s.n, 1 + (1000000000 * (s.n + 5)) // ((sum(s.n) OVER (PARTITION BY lang, source))::BIGINT + 5 * v.v) AS p,
+             1 + (1000000000 * (total + 5)) // (v.n + 5 * v.v) AS q FROM s JOIN v USING (lang)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+items AS (FROM pairs UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM items QUALIFY part = 'pair' OR rank <= 50
+""")
+def op13_source_divergence(spark, sf_dir):
+    return divergence.audit(read(spark, sf_dir, "documents"))

@@ -92,10 +92,10 @@ def range_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
 
 
-def words(data: np.ndarray, at: np.ndarray, lower: bool = False) -> Words:
-    """The words of texts laid one after the other; `lower` folds A-Z before hashing."""
+def words(data: np.ndarray, at: np.ndarray, lower: bool = False, outside: np.ndarray = _SPACE) -> Words:
+    """The words of texts laid one after the other; `lower` folds A-Z before hashing; `outside`: bytes between words."""
     inside = np.zeros(len(data) + 2, np.int8)
-    inside[1:-1] = ~_SPACE[data]
+    inside[1:-1] = ~outside[data]
     begins, ends = inside[1:-1] > inside[:-2], inside[1:-1] > inside[2:]
     edge = at[(at > 0) & (at < len(data))]  # a word ends with its text
     begins[edge] |= inside[1:-1][edge] > 0
