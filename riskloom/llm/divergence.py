@@ -5,7 +5,7 @@
 2. Smoothed shares are whole numbers, p = 1 + floor(10**9 (count + 5) / (N + 5 V)). A group has few distinct terms among all
    kept ones, so its row is sparse over a *baseline*: the share of a term it never uses.
 3. The distance of two sources is summed by row accumulation (Gustavson): the postings of a language are dealt by term into
-   blocks of about `most` postings, each a term-major index. For one group after the other, its terms are scattered through
+   blocks, each a term-major index of about as many postings as there are pairs of groups, but `least` to `most`. For one group after the other, its terms are scattered through
    the index into a dense array with one number for each peer; no pair of postings is ever made into a row. A
    block passes on one number for each pair of its groups and peers, and Spark adds the blocks up.
 4. Where one of two groups lacks a term its baseline stands in. For group g and peer s the sum over all kept terms is
@@ -121,10 +121,12 @@ def scattered(left: pa.Table, right: pa.Table) -> pa.Table:
     )
 
 
-def distances(postings: DataFrame, groups: DataFrame, most: int, rows: int) -> DataFrame:
+def distances(postings: DataFrame, groups: DataFrame, least: int, most: int, rows: int) -> DataFrame:
     """(lang, a, b, value) for a before b, without the baselines of terms that neither has."""
     langs = groups.where("V > 0").groupBy("lang").agg(
-        F.ceil(F.sum("size") / most).cast("int").alias("blocks"), F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("parts")
+        # A block gives a number for each pair of groups: it holds as many postings, within bounds.
+        F.ceil(F.sum("size") / F.least(F.lit(most), F.greatest(F.lit(least), F.pow(F.count(F.lit(1)), 2)))).cast("int").alias("blocks"),
+        F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("parts"),
     )
     dealt = postings.select(*GROUP, F.xxhash64("term").alias("term"), "p").join(own_shuffle(langs, "lang"), "lang")
     spread = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
@@ -142,7 +144,7 @@ def distances(postings: DataFrame, groups: DataFrame, most: int, rows: int) -> D
 
 
 def audit(
-    docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP_TERMS, most: int = 1 << 20, rows: int = 1000
+    docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP_TERMS, least: int = 1 << 15, most: int = 1 << 20, rows: int = 1000
 ) -> DataFrame:
     """(lang, source, part, item, value, rank): distances to all other sources, and the `top` terms above the language's share."""
     docs = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", *GROUP)))
@@ -158,7 +160,7 @@ def audit(
     shares = used.join(own_shuffle(groups.drop("size", "base"), GROUP), GROUP)
     shares = set_down(shares.select(*GROUP, "term", share("n", "words").alias("p"), share("total", "words_lang").alias("q")), "shares")
 
-    summed = distances(shares, groups, most, rows)
+    summed = distances(shares, groups, least, most, rows)
     one = groups.select("lang", F.col("source").alias("a"), "V", F.col("size").alias("size_a"), F.col("base").alias("base_a"))
     two = groups.select("lang", F.col("source").alias("b"), F.col("size").alias("size_b"), F.col("base").alias("base_b"))
     both = one.join(two, "lang").where("a < b").join(own_shuffle(summed, ["lang", "a", "b"]), ["lang", "a", "b"], "left")
