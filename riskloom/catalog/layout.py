@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from riskloom.catalog import views as v
 from riskloom.catalog.registry import query
-from riskloom.operators import layout
+from riskloom.operators import changes, layout
 from riskloom.session import scratch_path
 from riskloom.sources.sinks import write_observed, write_table
 from riskloom.sources.tables import rows_to_table
@@ -65,6 +66,37 @@ def upsert_null_partition(spark, sf):
     return spark.read.schema(orders.schema).parquet(path).select("o_orderkey", "part", "price")
 
 
+# Each order is inserted, then changed, deleted and inserted again where its key says so.
+_STEPS = {1: ("I", "TRUE", 1), 2: ("U", "o_orderkey % 3 = 0", 2), 3: ("D", "o_orderkey % 5 = 0", 0), 4: ("I", "o_orderkey % 20 = 0", 4)}
+
+
+def _change_log(spark, sf):
+    orders = v.read(spark, sf, "orders")
+    steps = [
+        orders.filter(which).select(
+            "o_orderkey", F.year("o_orderdate").alias("year"), F.lit(op).alias("op"), F.lit(number).alias("seq"),
+            (F.when(F.lit(op) != "D", F.col("o_totalprice")) * factor).alias("price"),
+        )
+        for number, (op, which, factor) in _STEPS.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), steps)
+
+
+@query("""
+    SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year,
+           CAST(CASE WHEN o_orderkey % 20 = 0 THEN 4 WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS INTEGER) AS seq,
+           o_totalprice * CASE WHEN o_orderkey % 20 = 0 THEN 4 WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS price
+    FROM orders WHERE o_orderkey % 5 <> 0 OR o_orderkey % 20 = 0
+""")
+def cdc_apply(spark, sf):
+    """A change log in three shuffled increments: changes come before their inserts and after their deletes."""
+    log, path = _change_log(spark, sf), scratch_path(spark, "changed-orders")
+    for run in range(3):
+        part = log.filter(F.pmod(F.xxhash64("o_orderkey", "seq"), F.lit(3)) == run)
+        changes.apply_changes(spark, path, part, "o_orderkey", "seq", "op", "year", f"run-{run}", key_gives_partition=True)
+    return changes.current(spark, path, log.schema, "op")
+
+
 @query("""
     SELECT o_orderkey, o_orderdate FROM orders
     WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '1998-07-01')

@@ -10,7 +10,7 @@ from riskloom.plans import payment
 from riskloom.plans.aml import transaction_limit
 from riskloom.session import scratch_path
 from riskloom.sources.tables import aml_rules
-from riskloom.streaming import speed
+from riskloom.streaming import sessions, speed
 
 
 def _stream(spark, sf, name):
@@ -143,3 +143,80 @@ def stream_upsert(spark, sf):
         "day", "update", key_gives_partition=True,
     ).awaitTermination()
     return _plain(spark.read.schema(windows.schema).parquet(path).drop("day"))
+
+
+# Orders and signals on their lines arrive in four runs, by time; some come a run later than they should.
+_TXN = """
+    txn AS (SELECT o_orderkey AS transaction_id, o_totalprice / 40 AS amount, o_orderdate + to_minutes(o_orderkey % 1440) AS ts,
+                   (date_diff('month', TIMESTAMP '1995-01-01', o_orderdate) // 20) + CASE WHEN o_orderkey % 25 = 0 THEN 1 ELSE 0 END AS run
+            FROM orders),
+    sig AS (SELECT o_orderkey AS transaction_id, l_partkey AS ml_signal_id, l_discount * 10 AS fraud_score,
+                   o_orderdate + to_days(CAST(l_partkey % 13 - 3 AS INTEGER)) + to_minutes(l_suppkey % 1440) AS signal_ts, l_linenumber
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
+def _signal_arrivals(spark, sf):
+    """(transactions, signals) with the run in which each row arrives."""
+    orders = v.read(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    period = lambda c: F.floor(((F.year(c) - 1995) * 12 + F.month(c) - 1) / 20)
+    transactions = orders.select(
+        F.col("o_orderkey").alias("transaction_id"), (F.col("o_totalprice") / 40).alias("amount"),
+        F.expr("o_orderdate + make_interval(0, 0, 0, 0, 0, o_orderkey % 1440)").alias("ts"),
+        (period("o_orderdate") + F.when(F.col("o_orderkey") % 25 == 0, 1).otherwise(0)).alias("run"),
+    )
+    lines = v.read(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    signals = lines.select(
+        F.col("o_orderkey").alias("transaction_id"), F.col("l_partkey").alias("ml_signal_id"), (F.col("l_discount") * 10).alias("fraud_score"),
+        F.expr("o_orderdate + make_interval(0, 0, 0, l_partkey % 13 - 3, 0, l_suppkey % 1440)").alias("signal_ts"), "l_linenumber",
+    )
+    late = F.when(F.col("l_linenumber") == 7, 1).otherwise(0)
+    return transactions, signals.withColumn("run", period("signal_ts") + late).drop("l_linenumber")
+
+
+@query("WITH" + _TXN + """,
+    s AS (SELECT *, (date_diff('month', TIMESTAMP '1995-01-01', date_trunc('month', signal_ts)) // 20)
+                    + CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END AS run FROM sig),
+    runs AS (SELECT unnest(range(-1, 6)) AS run),
+    marks AS (SELECT run, least((SELECT max(ts) FROM txn WHERE txn.run <= runs.run), (SELECT max(signal_ts) FROM s WHERE s.run <= runs.run))
+                          - INTERVAL 10 DAY AS mark FROM runs),
+    t AS (SELECT txn.* FROM txn JOIN marks ON marks.run = txn.run - 1 WHERE mark IS NULL OR ts > mark),
+    u AS (SELECT s.* FROM s JOIN marks ON marks.run = s.run - 1 WHERE mark IS NULL OR signal_ts > mark),
+    both_ AS (SELECT t.transaction_id, amount, ts, ml_signal_id, fraud_score, signal_ts FROM t JOIN u ON t.transaction_id = u.transaction_id
+              AND signal_ts >= ts - INTERVAL 1 DAY AND signal_ts <= ts + INTERVAL 7 DAY)
+    SELECT * FROM both_ UNION ALL
+    SELECT transaction_id, amount, ts, NULL, NULL, NULL FROM t WHERE transaction_id NOT IN (SELECT transaction_id FROM both_)
+      AND ts + INTERVAL 7 DAY < (SELECT mark FROM marks WHERE run = 5)
+""")
+def stream_signal_join(spark, sf):
+    """Both sides stream in, in six runs: signals before, after and far from their transaction, and rows too late."""
+    tables = _signal_arrivals(spark, sf)
+    arrivals = [scratch_path(spark, name) for name in ("transactions", "signals")]
+    path, checkpoint = scratch_path(spark, "with-signals"), scratch_path(spark, "with-signals-checkpoint")
+    for run in range(6):
+        for table, folder in zip(tables, arrivals, strict=True):
+            table.filter(F.col("run") == run).drop("run").write.mode("append").parquet(folder)
+        left, right = (speed.read_files(spark, f, t.drop("run").schema) for f, t in zip(arrivals, tables, strict=True))
+        joined = speed.with_signals(left, right, "transaction_id", "ts", "signal_ts", "1 DAY", "7 DAYS", "10 days")
+        speed.write_files(joined, path, checkpoint).awaitTermination()
+    found = spark.read.schema(joined.schema).parquet(path)
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("ts", "signal_ts")})
+
+
+@query("""
+    WITH marked AS (SELECT *, CASE WHEN ts < lag(ts) OVER w + INTERVAL 2 HOUR THEN 0 ELSE 1 END AS opens FROM events
+                    WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+    numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM marked)
+    SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL 2 HOUR AS window_end,
+           CAST(count(*) AS BIGINT) AS n_events, round(sum(value), 4) AS total
+    FROM numbered GROUP BY user_id, session
+""")
+def stream_session_table(spark, sf):
+    """All sessions, open ones too, after four batches that each hold events of every day, so that sessions fuse."""
+    events = _events(v.read(spark, sf, "events"))
+    arrivals, path, checkpoint = (scratch_path(spark, n) for n in ("session-events", "session-table", "session-checkpoint"))
+    for run in range(4):
+        events.filter(F.pmod(F.xxhash64("event_id"), F.lit(4)) == run).write.mode("append").parquet(arrivals)
+        stream = speed.read_files(spark, arrivals, events.schema)
+        sessions.session_table(stream, path, checkpoint, "user_id", "ts", "value", "2 hours").awaitTermination()
+    table = spark.read.schema(sessions.table_schema("user_id", "bigint")).parquet(path)
+    return _plain(table.drop(sessions.DAY))

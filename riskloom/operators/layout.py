@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
+from functools import cache, reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.operators.dedup import latest_per_key
 from riskloom.sources.sinks import is_done, rebalance, run_once, write_table
-from riskloom.sources.tables import path_exists, read_table, remove_path
+from riskloom.sources.tables import move_folders, partition_folder, path_exists, read_table, remove_path
 
 
 def changed_since(df: DataFrame, column: str, target: DataFrame) -> DataFrame:
@@ -32,14 +34,76 @@ def key_bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def _refuse_moves(base: DataFrame, changes: DataFrame, keys: Sequence[str], partition_by: str) -> None:
-    """Raise if a key of the changes lies in another partition of the table; only keys and partition are read."""
-    held = base.select(*keys, F.col(partition_by).alias("_held"))
-    moved = changes.select(*keys, partition_by).join(held, list(keys)).filter(~F.col("_held").eqNullSafe(F.col(partition_by)))
+def _same(left: str, right: str, names: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{n}").eqNullSafe(F.col(f"{right}.{n}")) for n in names])
+
+
+def _refuse_moves(base: DataFrame, rows: DataFrame, changes: DataFrame, keys: Sequence[str], partition_by: str) -> None:
+    """Raise if a key of the changes lies in another partition of the table.
+
+    A key found in ``rows``, its own partition, is nowhere else. Only if others are left are the table's keys read.
+    """
+    new = changes.alias("c").join(rows.alias("r"), _same("c", "r", [*keys, partition_by]), "left_anti").select(*keys, partition_by)
+    if new.isEmpty():
+        return
+    moved = new.alias("c").join(base.alias("r"), _same("c", "r", keys), "left_semi")
     if not moved.isEmpty():
         raise ValueError(f"a key of the increment is in another {partition_by} already: derive {partition_by} from the key")
 
 
+def in_partitions(base: DataFrame, values: DataFrame, partition_by: str) -> DataFrame:
+    """The table's rows in the partitions that ``values`` names, the null one too."""
+    rows = base.join(values, partition_by, "left_semi")
+    if not values.filter(F.col(partition_by).isNull()).isEmpty():
+        # Equality never finds the null partition, but writing it replaces all of it.
+        rows = rows.unionByName(base.filter(F.col(partition_by).isNull()))
+    return rows
+
+
+Merge = Callable[[DataFrame, DataFrame | None], tuple[DataFrame, DataFrame | None]]
+
+
+def apply_increment(
+    spark: SparkSession,
+    path: str,
+    increment: DataFrame,
+    schema: T.StructType,
+    partition_by: str,
+    run_id: str,
+    merge: Merge,
+    may_empty: bool = False,
+) -> None:
+    """Replace the partitions of a table that an increment touches, and no others.
+
+    ``merge`` takes the increment and the table (``None`` before the first) and gives all rows of the partitions
+    to be replaced and, with ``may_empty``, a table of their values: those left without rows are removed.
+    The increment is written down first, so that every step sees the same rows; the merged partitions are complete
+    in a folder of their own before they are moved over the table's. ``run_id`` names the increment: after a
+    failure the same call continues where it stopped, and repeating it changes nothing. Scratch folders go once
+    the increment is done.
+    """
+    root = path.rstrip("/")
+    done, arrived, staged, emptied = (f"{root}.{step}/{run_id}" for step in ("done", "arrived", "staged", "emptied"))
+    if not is_done(spark, done):
+        rows = run_once(spark, arrived, lambda: increment, increment.schema)
+
+        @cache
+        def merged() -> tuple[DataFrame, DataFrame | None]:
+            return merge(rows, read_table(spark, path, schema) if path_exists(spark, path) else None)
+
+        ready = run_once(spark, staged, lambda: merged()[0].select(*schema.names), schema, partition_by=[partition_by])
+        if may_empty:
+            if not is_done(spark, emptied):  # nothing is moved before this is written
+                gone = merged()[1].select(partition_by).distinct().subtract(ready.select(partition_by).distinct())
+                write_table(gone.select(F.col(partition_by).cast("string").alias("value")), emptied)
+            for row in read_table(spark, emptied, T.StructType().add("value", "string")).toLocalIterator():
+                remove_path(spark, partition_folder(spark, root, partition_by, row["value"]))
+        move_folders(spark, staged, path)
+        write_table(spark.range(0), done)
+    for folder in (staged, emptied, arrived):
+        remove_path(spark, folder)
+
+
 def upsert(
     spark: SparkSession,
     path: str,
@@ -54,36 +118,19 @@ def upsert(
 
     A key must stay in its partition. Where ``partition_by`` is a key column, or the caller
     says that it follows from the key, that is given; else the table's keys are compared and a
-    move raises. ``run_id`` names the increment: after a failure the same call continues where
-    it stopped, and repeating it changes nothing. The changes are written down first, so that
-    every step sees the same rows, and the merged partitions are complete in a folder of
-    their own before the table's are replaced. Both folders go once the increment is done.
+    move raises. ``run_id`` and what happens after a failure are those of ``apply_increment``.
     """
-    root, schema = path.rstrip("/"), changes.schema
     names = [keys] if isinstance(keys, str) else list(keys)
-    done, arrived, staged = (f"{root}.{step}/{run_id}" for step in ("done", "arrived", "staged"))
-    if is_done(spark, done):
-        return
-    increment = run_once(spark, arrived, lambda: changes, schema)
 
-    def merged() -> DataFrame:
-        if not path_exists(spark, path):
-            return latest_per_key(increment, keys, newest_by)
-        base = read_table(spark, path, schema)
+    def merge(increment: DataFrame, base: DataFrame | None) -> tuple[DataFrame, None]:
+        if base is None:
+            return latest_per_key(increment, names, newest_by), None
+        rows = in_partitions(base, increment.select(partition_by).distinct(), partition_by)
         if not key_gives_partition and partition_by not in names:
-            _refuse_moves(base, increment, names, partition_by)
-        touched = increment.select(partition_by).distinct()
-        rows = base.join(touched, partition_by, "left_semi")
-        if not touched.filter(F.col(partition_by).isNull()).isEmpty():
-            # Equality never finds the null partition, but writing it replaces all of it.
-            rows = rows.unionByName(base.filter(F.col(partition_by).isNull()))
-        return merge_latest(rows, increment, keys, newest_by)
-
-    ready = run_once(spark, staged, merged, schema, partition_by=[partition_by])
-    write_table(ready, path, partition_by=[partition_by], dynamic=True)
-    write_table(spark.range(0), done)
-    remove_path(spark, staged)
-    remove_path(spark, arrived)
+            _refuse_moves(base, rows, increment, names, partition_by)
+        return merge_latest(rows, increment, names, newest_by), None
+
+    apply_increment(spark, path, changes, changes.schema, partition_by, run_id, merge)
 
 
 def compact(spark: SparkSession, path: str, into: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -84,6 +84,28 @@ def remove_path(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def move_folders(spark: SparkSession, source: str, target: str) -> None:
+    """Move every folder below ``source`` to the same name below ``target``, over the one that is there.
+
+    A folder is complete in one place or the other at any time, so the call may be repeated after a failure.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(target))
+    for status in files.listStatus(path(source)):
+        if status.isDirectory():
+            into = path(target, status.getPath().getName())
+            files.delete(into, True)
+            if not files.rename(status.getPath(), into):
+                raise OSError(f"cannot move {status.getPath()} to {into}")
+
+
+def partition_folder(spark: SparkSession, path: str, column: str, value: str | None) -> str:
+    """The folder of a partition value as Spark names it."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return f"{path.rstrip('/')}/{names.getPartitionPathString(column, value)}"
+
+
 def require_inputs(spark: SparkSession, paths: Sequence[str]) -> None:
     """Raise when an input is absent instead of finishing quietly without work."""
     missing = [path for path in paths if not path_exists(spark, path)]

@@ -39,6 +39,32 @@ def score(transactions: DataFrame, customers: DataFrame, limit: Column) -> DataF
     )
 
 
+def with_signals(
+    transactions: DataFrame,
+    signals: DataFrame,
+    key: str,
+    time: str,
+    signal_time: str,
+    before: str,
+    after: str,
+    lateness: str,
+    signal_lateness: str | None = None,
+) -> DataFrame:
+    """Streamed transactions with the streamed signals from ``before`` to ``after`` their time.
+
+    Left outer: a transaction without a signal comes out, with nulls, once the watermark says that none can follow.
+    The time bound lets both sides be evicted: a transaction ``after`` past its time, a signal ``before`` past its own.
+    Rows that come later than their stream's lateness are dropped.
+    """
+    left = transactions.withWatermark(time, lateness).alias("t")
+    right = signals.withWatermark(signal_time, signal_lateness or lateness).alias("s")
+    bound = F.expr(
+        f"t.{key} = s.{key} AND s.{signal_time} >= t.{time} - INTERVAL {before} AND s.{signal_time} <= t.{time} + INTERVAL {after}"
+    )
+    columns = [F.col(f"t.{c}") for c in transactions.columns] + [F.col(f"s.{c}") for c in signals.columns if c != key]
+    return left.join(right, bound, "left_outer").select(*columns)
+
+
 def _totals(value: str) -> list[Column]:
     return [F.count(F.lit(1)).alias("n_events"), F.sum(value).alias("total")]
 
@@ -59,7 +85,7 @@ def velocity(
 
 
 def sessions(events: DataFrame, key: str, time: str, value: str, gap: str, lateness: str) -> DataFrame:
-    """Count and sum for each run of events less than ``gap`` apart."""
+    """Count and sum for each run of events at most ``gap`` apart."""
     grouped = events.withWatermark(time, lateness).groupBy(
         F.session_window(time, gap).alias("window"), key
     )

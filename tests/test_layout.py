@@ -1,6 +1,7 @@
 """Upserts that survive failures, compaction, buckets and clustering."""
 
 import os
+import shutil
 import uuid
 
 import pytest
@@ -39,16 +40,17 @@ def test_upsert_continues_after_a_failure(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     base, later = keyed(spark, [(i, "old", 1) for i in range(20)]), keyed(spark, [(3, "new", 2)])
     layout.upsert(spark, path, base, "k", ["t"], "bucket", "r1")
-    write = layout.write_table
+    move = layout.move_folders
 
-    def fails(df, target, **options):
-        write(df.limit(0), target, partition_by=["bucket"])
+    def fails(session, source, target):
+        for name in os.listdir(target):
+            shutil.rmtree(f"{target}/{name}", ignore_errors=True)
         raise OSError("executor lost")
 
-    monkeypatch.setattr(layout, "write_table", fails)
+    monkeypatch.setattr(layout, "move_folders", fails)
     with pytest.raises(OSError):
         layout.upsert(spark, path, later, "k", ["t"], "bucket", "r2")
-    monkeypatch.setattr(layout, "write_table", write)
+    monkeypatch.setattr(layout, "move_folders", move)
     touched = later.first().bucket
     layout.upsert(spark, path, later, "k", ["t"], "bucket", "r2")
     found = read_table(spark, path, base.schema)
@@ -56,6 +58,18 @@ def test_upsert_continues_after_a_failure(spark, tmp_path, monkeypatch):
     assert {r.k: r.v for r in found.collect()} == {k: "new" if k == 3 else "old" for k in kept}
 
 
+def test_scratch_folders_go_even_if_the_job_ends_before(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    base, remove = keyed(spark, [(i, "old", 1) for i in range(20)]), layout.remove_path
+    monkeypatch.setattr(layout, "remove_path", lambda *_: (_ for _ in ()).throw(OSError("ended")))
+    with pytest.raises(OSError):
+        layout.upsert(spark, path, base, "k", ["t"], "bucket", "r1")
+    monkeypatch.setattr(layout, "remove_path", remove)
+    layout.upsert(spark, path, base, "k", ["t"], "bucket", "r1")
+    assert content(spark, path, base.schema) == {i: "old" for i in range(20)}
+    assert not os.listdir(f"{path}.staged") and not os.listdir(f"{path}.arrived")
+
+
 def test_upsert_leaves_other_partitions_alone(spark, tmp_path):
     path = str(tmp_path / "t")
     base, later = keyed(spark, [(i, "old", 1) for i in range(40)]), keyed(spark, [(3, "new", 2)])

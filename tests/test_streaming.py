@@ -1,6 +1,8 @@
 """Streams over several batches, restarts and late rows."""
 
 import datetime as dt
+import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.operators.layout import key_bucket
 from riskloom.plans.aml import transaction_limit
 from riskloom.sources.tables import aml_rules, read_table
-from riskloom.streaming import speed
+from riskloom.streaming import sessions, speed
 
 SCHEMA = "event_id long, user_id long, ts timestamp, value double"
 DAY0 = dt.datetime(2025, 1, 1)
@@ -114,3 +116,113 @@ def test_refresh_runs_each_batch_once(spark, events, folders):
     latest()
     found = {r.user_id: r.event_id for r in spark.read.parquet(folders["out"]).collect()}
     assert found == {0: 597, 1: 598, 2: 599}
+
+
+def at(hours):
+    return DAY0 + dt.timedelta(hours=hours)
+
+
+def joined_with_signals(runs, before=1, after=6, lateness=5):
+    """Rows that come out, by the rules of watermarks: (transaction, signal or None)."""
+    mark, seen_t, seen_s, kept_t, kept_s = None, [], [], [], []
+    for transactions, signals in runs:
+        kept_t += [t for t in transactions if mark is None or t[1] > mark]
+        kept_s += [s for s in signals if mark is None or s[1] > mark]
+        seen_t += [t[1] for t in transactions]
+        seen_s += [s[1] for s in signals]
+        now = min(max(seen_t), max(seen_s)) - lateness
+        mark = now if mark is None else max(mark, now)
+    out = []
+    for t in kept_t:
+        mine = [s for s in kept_s if s[0] == t[0] and t[1] - before <= s[1] <= t[1] + after]
+        out += [(*t, s[1]) for s in mine]
+        if not mine and t[1] + after < mark:
+            out.append((*t, None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_signals_join_transactions_over_batches(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    folders = {n: str(tmp_path / n) for n in ("t", "s", "out", "checkpoint")}
+    runs = []
+    for run in range(5):
+        base = 20 * run
+        transactions = [(k + 100 * run, base + rng.randrange(-18, 20) + k / 100) for k in range(20)]
+        signals = [(t[0] if rng.random() < 0.9 else 7, t[1] + rng.choice([-3, -0.6, 0.4, 3.3, 9, 30])) for t in transactions for _ in range(rng.randrange(3))]
+        runs.append((transactions, signals))
+    # Some signals arrive one or two runs later.
+    for run in range(4):
+        late = [s for s in runs[run][1] if rng.random() < 0.2]
+        runs[run] = (runs[run][0], [s for s in runs[run][1] if s not in late])
+        runs[min(4, run + rng.choice([1, 2]))][1].extend(late)
+    data_batches = 0
+    for transactions, signals in runs:
+        spark.createDataFrame([(k, at(h)) for k, h in transactions], "k long, ts timestamp").write.mode("append").parquet(folders["t"])
+        spark.createDataFrame([(k, at(h)) for k, h in signals], "k long, seen timestamp").write.mode("append").parquet(folders["s"])
+        left = speed.read_files(spark, folders["t"], spark.createDataFrame([], "k long, ts timestamp").schema)
+        right = speed.read_files(spark, folders["s"], spark.createDataFrame([], "k long, seen timestamp").schema)
+        query = speed.write_files(
+            speed.with_signals(left, right, "k", "ts", "seen", "1 HOUR", "6 HOURS", "5 hours"), folders["out"], folders["checkpoint"]
+        )
+        query.awaitTermination()
+        data_batches += sum(p["numInputRows"] > 0 for p in query.recentProgress)
+    assert data_batches == 5
+    rows = spark.read.parquet(folders["out"]).collect()
+    hours = lambda t: None if t is None else round((t - DAY0).total_seconds() / 3600, 6)
+    found = sorted(((r.k, hours(r.ts), hours(r.seen)) for r in rows), key=str)
+    wanted = [(k, round(t, 6), None if s is None else round(s, 6)) for k, t, s in joined_with_signals(runs)]
+    assert found == sorted(wanted, key=str) and any(s is None for _, _, s in found)
+    # Transactions and signals that can match nothing any more are gone from the state.
+    state = query.recentProgress[-1]["stateOperators"][0]
+    assert state["numRowsTotal"] < sum(len(t) + len(s) for t, s in runs)
+
+
+def plain_sessions(rows, gap):
+    out = []
+    for user in {u for u, _, _ in rows}:
+        runs = []
+        for _, t, x in sorted(((u, t, x) for u, t, x in rows if u == user), key=lambda r: r[1]):
+            if runs and t <= runs[-1][1]:
+                runs[-1] = [runs[-1][0], t + gap, runs[-1][2] + 1, runs[-1][3] + x]
+            else:
+                runs.append([t, t + gap, 1, x])
+        out += [(user, *r) for r in runs]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_session_table_after_each_batch(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    folders = {n: str(tmp_path / n) for n in ("in", "out", "checkpoint")}
+    gap, rows = dt.timedelta(hours=3), []
+    for run in range(4):
+        # Users with sessions over midnight, a user with most of the events, a null user; old days come back.
+        new = [(rng.choice([1, 1, 1, 2, 3, None]), at(rng.randrange(0, 24 * 60) / 4 - 30 * run), float(rng.randrange(9))) for _ in range(60)]
+        rows += new
+        spark.createDataFrame(new, "user_id long, ts timestamp, value double").write.mode("append").parquet(folders["in"])
+        for _ in range(2):
+            stream_ = speed.read_files(spark, folders["in"], spark.createDataFrame([], "user_id long, ts timestamp, value double").schema)
+            sessions.session_table(stream_, folders["out"], folders["checkpoint"], "user_id", "ts", "value", "3 hours").awaitTermination()
+        found = spark.read.schema(sessions.table_schema("user_id", "bigint")).parquet(folders["out"]).collect()
+        assert sorted(((r.user_id, r.window_start, r.window_end, r.n_events, r.total) for r in found), key=str) == plain_sessions(rows, gap)
+        assert all(r.last_day == r.window_end.date() for r in found)
+
+
+def test_session_table_leaves_other_days_alone(spark, tmp_path):
+    path = str(tmp_path / "out")
+    events = lambda *r: spark.createDataFrame([(1, at(h), 1.0) for h in r], "user_id long, ts timestamp, value double")
+    merge = lambda run, *r: sessions.merge_sessions(spark, path, sessions.sessions_of(events(*r), "user_id", "ts", "value", "2 hours"), "user_id", run)
+    merge("a", 1, 26, 49, 73)
+    files = lambda: {f"{d}/{f}" for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+    before = files()
+    merge("b", 50, 51, 74.5)
+    assert {f for f in before if "2025-01-01" in f or "2025-01-02" in f} <= files()
+    # One session reaches over midnight: it leaves the day it was under, and the folder goes with it.
+    merge("c", 20.5, 22, 23.5, 24.5)
+    folders = {d.rsplit("=", 1)[1] for d, _, fs in os.walk(path) if fs and "=" in d}
+    assert folders == {"2025-01-01", "2025-01-02", "2025-01-03", "2025-01-04"}
+    merge("d", 2.5, 4, 5.5, 7, 8.5, 10, 11.5, 13, 14.5, 16, 17.5, 19)
+    table = spark.read.schema(sessions.table_schema("user_id", "bigint")).parquet(path)
+    assert [(r.window_start, r.n_events) for r in table.orderBy("window_start").limit(1).collect()] == [(at(1), 18)]
+    assert not any("2025-01-01" in f for f in files())
