@@ -10,7 +10,7 @@ from riskloom.catalog import views as v
 from riskloom.catalog.registry import query
 from riskloom.functions import rules
 from riskloom.functions.vectorised import suspicion_score_batch
-from riskloom.operators.joins import asof_join
+from riskloom.operators.joins import asof_carry, asof_join
 from riskloom.operators.watchlist import match_exact, match_fuzzy
 from riskloom.plans import aml
 from riskloom.session import scratch_path
@@ -188,6 +188,26 @@ def rules_asof(spark, sf):
     )
 
 
+@query("""
+    WITH f AS (SELECT l_orderkey, l_linenumber, l_shipdate, CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE l_returnflag END AS k FROM lineitem),
+    r AS (SELECT k, start, count(*) AS n FROM (
+            SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'hot' WHEN o_orderkey % 5 < 3 THEN 'R' ELSE 'A' END AS k, o_orderdate AS start
+            FROM orders WHERE o_orderdate >= TIMESTAMP '1995-03-01') GROUP BY ALL)
+    SELECT l_orderkey, l_linenumber, l_shipdate, f.k, start, CAST(n AS BIGINT) AS n
+    FROM f ASOF LEFT JOIN r ON f.k = r.k AND f.l_shipdate >= r.start
+""")
+def rules_asof_history(spark, sf):
+    """A history with thousands of versions; one key holds a third of the facts, one has no version."""
+    lines, orders = v.read(spark, sf, "lineitem"), v.read(spark, sf, "orders")
+    facts = lines.select(
+        "l_orderkey", "l_linenumber", "l_shipdate", F.when(F.col("l_orderkey") % 3 == 0, "hot").otherwise(F.col("l_returnflag")).alias("k")
+    )
+    key = F.when(F.col("o_orderkey") % 2 == 0, "hot").when(F.col("o_orderkey") % 5 < 3, "R").otherwise("A")
+    recent = orders.filter(F.col("o_orderdate") >= F.lit("1995-03-01").cast("timestamp_ntz"))
+    versions = recent.groupBy(key.alias("k"), F.col("o_orderdate").alias("start")).agg(F.count(F.lit(1)).alias("n"))
+    return asof_carry(facts, versions, "k", "l_shipdate", "start", rows_per_chunk=20_000)
+
+
 @query(v.sql_with("""
     , d AS (SELECT customer_id, count(*) AS n, max(device_type) AS last_type FROM devices GROUP BY 1)
     , k AS (SELECT customer_id, count(*) AS n, max(updated_at) AS last_review FROM kyc GROUP BY 1)

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from riskloom.catalog import views as v
 from riskloom.catalog.payment import index
 from riskloom.catalog.registry import query
-from riskloom.operators import analytics
+from riskloom.operators import analytics, sketches
 from riskloom.operators.dedup import latest_per_key
 from riskloom.operators.joins import salted_join
+from riskloom.operators.quantiles import exact_quantiles
+from riskloom.session import scratch_path
 from riskloom.sources.tables import latest_partition
 
 
@@ -154,3 +156,81 @@ def position_windows(spark, sf):
 """)
 def value_at_risk(spark, sf):
     return analytics.value_at_risk(_positions(spark, sf), "user_id").withColumn("var", F.round("var", 4))
+
+
+@query("""
+    SELECT l_returnflag, CAST(count(*) AS BIGINT) AS n, quantile_disc(l_extendedprice, 0.25) AS q1,
+           quantile_disc(l_extendedprice, 0.5) AS median, quantile_disc(l_extendedprice, 0.999) AS top
+    FROM lineitem GROUP BY l_returnflag
+""")
+def exact_price_quantiles(spark, sf):
+    """Exact quantiles of groups that each hold a third of all rows."""
+    found = exact_quantiles(v.read(spark, sf, "lineitem"), ["l_returnflag"], "l_extendedprice", [0.25, 0.5, 0.999], bins=256, few=500)
+    return found.select("l_returnflag", "n", *[F.col("quantiles")[k].alias(c) for k, c in enumerate(("q1", "median", "top"))])
+
+
+_PNL = """
+    WITH t AS (SELECT l_suppkey % 20 AS book, l_partkey % 50 AS instrument, date_trunc('month', l_shipdate) AS period, l_shipdate,
+                      CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END AS q, l_extendedprice / l_quantity AS p FROM lineitem),
+    c AS (SELECT instrument, period, arg_max(p, (l_shipdate, p)) AS close FROM t GROUP BY ALL),
+    s AS (SELECT book, instrument, period, sum(q) AS q, sum(q * p) AS paid FROM t GROUP BY ALL),
+    v AS (SELECT s.*, close, sum(q) OVER (PARTITION BY book, instrument ORDER BY period ROWS UNBOUNDED PRECEDING) AS position
+          FROM s JOIN c USING (instrument, period)),
+    r AS (SELECT book, instrument, period, position, close,
+                 position * close - coalesce(lag(position * close) OVER (PARTITION BY book, instrument ORDER BY period), 0) - paid AS pnl FROM v)"""
+
+
+def _profits(spark, sf):
+    lines = v.read(spark, sf, "lineitem").select(
+        (F.col("l_suppkey") % 20).alias("book"), (F.col("l_partkey") % 50).alias("instrument"), "l_shipdate", "l_returnflag", "l_quantity", "l_extendedprice"
+    )
+    signed = F.when(F.col("l_returnflag") == "R", -F.col("l_quantity")).otherwise(F.col("l_quantity"))
+    return analytics.profit_and_loss(lines, "book", "instrument", "l_shipdate", signed, F.col("l_extendedprice") / F.col("l_quantity"), "month")
+
+
+@query(_PNL + f"""
+    SELECT book, instrument, CAST(period AS TIMESTAMP) AS period, round(position, 2) AS position,
+           round(close + {v.NUDGE}, 4) AS close, round(pnl + {v.NUDGE}, 2) AS pnl FROM r
+""")
+def profit_and_loss(spark, sf):
+    """Positions valued at closing prices: the profit holds price moves and trading gains."""
+    return _profits(spark, sf).select(
+        "book", "instrument", F.col("period").cast("timestamp_ntz").alias("period"), F.round("position", 2).alias("position"),
+        v.settle("close", 4).alias("close"), v.settle("pnl", 2).alias("pnl"),
+    )
+
+
+@query(_PNL + """
+    SELECT book, CAST(count(pnl) AS BIGINT) AS n_periods, round(quantile_cont(pnl, 0.05) + {nudge}, 2) AS var FROM r GROUP BY book
+""".format(nudge=v.NUDGE))
+def portfolio_value_at_risk(spark, sf):
+    """VaR of each book over all its instruments and months, by exact distributed quantiles."""
+    return analytics.portfolio_value_at_risk(_profits(spark, sf), ["book"]).withColumn("var", v.settle("var", 2))
+
+
+@query("""
+    SELECT l_suppkey % 25 AS merchant_id, CAST(count(*) AS BIGINT) AS n_rows, TRUE AS distinct_within, TRUE AS median_within
+    FROM lineitem WHERE l_shipdate BETWEEN TIMESTAMP '1996-02-01' AND TIMESTAMP '2000-09-30' GROUP BY ALL
+""")
+def sketch_rollup(spark, sf):
+    """Sketches by month and merchant, stored year by year, merged for a period and held against exact figures.
+
+    The distinct count within four standard errors (4 x 1.04 / 64), the median's rank within 0.03.
+    """
+    lines = v.read(spark, sf, "lineitem").withColumn("merchant_id", F.col("l_suppkey") % 25)
+    path, month = scratch_path(spark, "sketches"), F.trunc("l_shipdate", "month")
+    for early in (True, False):  # a later load adds months and leaves those before alone
+        some = lines.filter((F.year("l_shipdate") < 1998) == early)
+        found = sketches.sketched(some, ["merchant_id"], month, "l_orderkey", "l_extendedprice")
+        sketches.add_days(spark, path, found, f"early-{early}")
+    merged = sketches.merged(sketches.read_days(spark, path, found.schema, "1996-02-01", "2000-09-30"), ["merchant_id"])
+    period = lines.filter(month.between(F.lit("1996-02-01"), F.lit("2000-09-30"))).join(
+        F.broadcast(merged.select("merchant_id", F.col("quantiles")[0].alias("median"))), "merchant_id"
+    )
+    exact = period.groupBy("merchant_id").agg(
+        F.count_distinct("l_orderkey").alias("orders"), F.avg((F.col("l_extendedprice") <= F.col("median")).cast("int")).alias("rank")
+    )
+    near = F.abs(F.col("n_distinct") - F.col("orders")) <= F.col("orders") * (4 * 1.04 / 64)
+    return merged.join(exact, "merchant_id").select(
+        "merchant_id", "n_rows", near.alias("distinct_within"), F.col("rank").between(0.47, 0.53).alias("median_within")
+    )

@@ -12,7 +12,7 @@ from riskloom.catalog.registry import query
 from riskloom.operators import changes, layout
 from riskloom.session import scratch_path
 from riskloom.sources.sinks import write_observed, write_table
-from riskloom.sources.tables import rows_to_table
+from riskloom.sources.tables import newest_partition, rows_to_table
 
 
 def _versioned_orders(spark, sf):
@@ -159,3 +159,48 @@ def partitioned_roundtrip(spark, sf):
         partition_by=["o_orderpriority", "o_orderstatus"], dynamic=True,
     )
     return spark.read.schema(orders.schema).parquet(path).drop("o_orderstatus")
+
+
+def _orders_by_month(spark, sf):
+    """A folder of orders by month, and its schema."""
+    path = scratch_path(spark, "orders-by-month")
+    orders = v.read(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.trunc("o_orderdate", "month").alias("month"))
+    write_table(orders, path, partition_by=["month"])
+    return path, orders.schema
+
+
+@query("""
+    SELECT o_orderkey, o_totalprice, CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders
+    WHERE date_trunc('month', o_orderdate) = (SELECT date_trunc('month', max(o_orderdate)) FROM orders)
+""")
+def newest_partition_rows(spark, sf):
+    """The newest month, chosen from the folder names."""
+    path, schema = _orders_by_month(spark, sf)
+    return newest_partition(spark, path, "month", schema)
+
+
+@query("""
+    SELECT o_orderkey, o_totalprice, CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders
+    WHERE date_trunc('month', o_orderdate) IN (SELECT date_trunc('month', ts + INTERVAL '-25' YEAR) FROM events WHERE event_id % 2 = 0)
+""")
+def partitions_pruned_by_join(spark, sf):
+    """Months named by another table: its values choose the folders when the query runs."""
+    path, schema = _orders_by_month(spark, sf)
+    months = v.read(spark, sf, "events").filter("event_id % 2 = 0").select(F.trunc(F.add_months("ts", -300), "month").alias("month")).distinct()
+    return spark.read.schema(schema).parquet(path).join(months, "month", "left_semi").select(*schema.names)
+
+
+@query("SELECT * FROM lineitem")
+def zordered_layout(spark, sf):
+    return layout.write_zordered(v.read(spark, sf, "lineitem"), scratch_path(spark, "zordered"), "l_suppkey", "l_shipdate")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_extendedprice, l_returnflag FROM lineitem")
+def small_files_compacted(spark, sf):
+    """Large files of one load and the many small ones of later loads; only the small ones are rewritten."""
+    path = scratch_path(spark, "many-files")
+    lines = v.read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag")
+    write_table(lines.filter("l_orderkey % 3 > 0"), path, partition_by=["l_returnflag"])
+    lines.filter("l_orderkey % 3 = 0").repartition(16).write.mode("append").partitionBy("l_returnflag").parquet(path)
+    layout.compact_small_files(spark, path, "run", small=64 << 10, target=1 << 20, partition_by=["l_returnflag"])
+    return spark.read.schema(lines.schema).parquet(path)

@@ -10,7 +10,7 @@ from riskloom.plans import payment
 from riskloom.plans.aml import transaction_limit
 from riskloom.session import scratch_path
 from riskloom.sources.tables import aml_rules
-from riskloom.streaming import sessions, speed
+from riskloom.streaming import metrics, sessions, speed
 
 
 def _stream(spark, sf, name):
@@ -220,3 +220,24 @@ def stream_session_table(spark, sf):
         sessions.session_table(stream, path, checkpoint, "user_id", "ts", "value", "2 hours").awaitTermination()
     table = spark.read.schema(sessions.table_schema("user_id", "bigint")).parquet(path)
     return _plain(table.drop(sessions.DAY))
+
+
+@query(v.sql_with("""
+    SELECT o_orderkey % 4 AS batch, CAST(count(*) AS BIGINT) AS n_input, CAST(count(*) AS BIGINT) AS n_rows,
+           CAST(count(*) FILTER (WHERE rule_hits LIKE '%HIGH_VALUE%') AS BIGINT) AS high_value,
+           CAST(count(*) FILTER (WHERE rule_hits <> '') AS BIGINT) AS flagged, TRUE AS timed
+    FROM scored JOIN orders ON transaction_id = o_orderkey GROUP BY ALL
+""", "scored"))
+def stream_metrics(spark, sf):
+    """The table of batches that four runs of a scoring stream leave behind."""
+    transactions = v.aml_feeds(spark, sf)["transactions"].select("transaction_id", "customer_id", "amount")
+    customers = v.aml_feeds(spark, sf)["customer_profile"]
+    arrivals, out, checkpoint, path = (scratch_path(spark, n) for n in ("metric-input", "metric-scores", "metric-checkpoint", "metrics"))
+    counts = {"high_value": F.array_contains("rule_hits", "HIGH_VALUE"), "flagged": F.size("rule_hits") > 0}
+    for run in range(4):
+        transactions.filter(F.col("transaction_id") % 4 == run).write.mode("append").parquet(arrivals)
+        scored = speed.score(speed.read_files(spark, arrivals, transactions.schema), customers, transaction_limit(aml_rules(spark)))
+        stream = metrics.watched(scored, counts)
+        metrics.run_with_metrics(spark, lambda s=stream: speed.write_files(s, out, checkpoint), path, counts)
+    timed = (F.col("rows_per_second") > 0) & (F.col("batch_ms") > 0)
+    return spark.read.schema(metrics.metrics_schema(counts)).parquet(path).select("batch", "n_input", "n_rows", *counts, timed.alias("timed"))

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.joins import own_shuffle
+from riskloom.operators.quantiles import exact_quantiles
+from riskloom.sources.sinks import set_down
 
 
 def _measures() -> list[Column]:
@@ -103,3 +105,31 @@ def value_at_risk(position_rows: DataFrame, account: str, level: float = 0.05) -
     return position_rows.groupBy(account).agg(
         F.count("pnl").alias("n_periods"), F.percentile("pnl", level).alias("var")
     )
+
+
+def profit_and_loss(
+    trades: DataFrame, account: str, instrument: str, time: str, quantity: Column, price: Column, period: str
+) -> DataFrame:
+    """Per account, instrument and period with trades: position, closing price and the profit since the period before.
+
+    The position is valued at the instrument's closing price, the price of its last trade in the period by any account (of trades at
+    the same time the highest). Profit is the change of that value less what was paid for the period's trades, so it
+    holds both the price moves of what was held and the gain on what was traded, and adds up to the whole.
+    """
+    own = trades.select(account, instrument, F.date_trunc(period, time).alias("period"), F.col(time).alias("_at"), quantity.alias("_q"), price.alias("_p"))
+    closing = own.groupBy(instrument, "period").agg(F.max(F.struct("_at", "_p")).alias("_last")).select(instrument, "period", F.col("_last._p").alias("close"))
+    traded = own.groupBy(account, instrument, "period").agg(F.sum("_q").alias("quantity"), F.sum(F.col("_q") * F.col("_p")).alias("paid"))
+    history = Window.partitionBy(account, instrument).orderBy("period")
+    valued = traded.join(own_shuffle(closing, [instrument, "period"]), [instrument, "period"]).withColumn(
+        "position", F.sum("quantity").over(history.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    value = F.col("position") * F.col("close")
+    profit = value - F.coalesce(F.lag(value).over(history), F.lit(0.0)) - F.col("paid")
+    return valued.select(account, instrument, "period", "position", "close", profit.alias("pnl"))
+
+
+def portfolio_value_at_risk(rows: DataFrame, groups: Sequence[str], level: float = 0.05) -> DataFrame:
+    """The ``level`` quantile of ``pnl`` over all rows of each group, exact and interpolated for any number of rows."""
+    # The values are read several times: what they come from is worked out once.
+    found = exact_quantiles(set_down(rows.select(*groups, "pnl"), "profits"), groups, "pnl", [level], interpolate=True)
+    return found.select(*groups, F.col("n").alias("n_periods"), F.col("quantiles")[0].alias("var"))

@@ -7,6 +7,7 @@ Which side is broadcast is left to Spark, which compares its size estimate with
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
@@ -15,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.functions.ranges import placed
+
 
 class Dimension(NamedTuple):
     """A table looked up by key."""
@@ -27,13 +30,21 @@ def _names(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def small_side(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast if the table has at most ``max_rows`` rows; else return it as it is.
+def fits(df: DataFrame, max_rows: int, max_bytes: int, keys: Sequence[str] = (), max_per_key: int = 0) -> bool:
+    """Whether a table has at most so many rows, bytes as text and, with ``keys``, rows of a key.
 
-    The count stops at ``max_rows + 1`` rows.
+    Looking stops at ``max_rows + 1`` rows.
     """
-    fits = df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if fits else df
+    size = F.octet_length(F.to_json(F.struct(*df.columns)))
+    by_key = df.limit(max_rows + 1).withColumn("_n", size).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.sum("_n").alias("_bytes"))
+    found = by_key.agg(F.sum("_rows").alias("rows"), F.sum("_bytes").alias("bytes"), F.max("_rows").alias("most")).first()
+    sound = (found["rows"] or 0) <= max_rows and (found["bytes"] or 0) <= max_bytes
+    return sound and (not keys or (found["most"] or 0) <= max_per_key)
+
+
+def small_side(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20) -> DataFrame:
+    """Hint a broadcast if the table has at most ``max_rows`` rows and ``max_bytes``; else return it as it is."""
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
 
 
 def left_join(
@@ -147,38 +158,87 @@ def asof_join(
     keys: str | Sequence[str],
     fact_time: str,
     rule_start: str,
+    few_versions: int = 64,
+    max_bytes: int = 8 << 20,
 ) -> DataFrame:
     """Give every fact the rule version in force at its time; null before the first one.
 
-    ``rules`` holds one row for each key and start. Every version is repeated for the
-    months it covers, so key and month together are an equi-join key and a fact meets
-    only the versions of its own month, not the whole history of its key.
+    ``rules`` holds one row for each key and start. Versions that are few for each key and small in bytes are broadcast with
+    the time at which they end, and the facts stay where they are. Longer histories are carried along the facts'
+    order (``asof_carry``): there a fact never meets more than one version.
     """
     names = _names(keys)
-    months = facts.select(
-        F.min(F.trunc(fact_time, "month")).alias("low"), F.max(F.trunc(fact_time, "month")).alias("high")
-    )
-    low, high = months.select("low").scalar(), months.select("high").scalar()
-    versions = valid_intervals(rules, names, rule_start)
-    # Starts before the first fact and open ends are clipped to the months that hold facts.
-    first = F.greatest(F.trunc(rule_start, "month"), low)
-    last = F.least(F.coalesce(F.trunc("_valid_to", "month"), high), high)
-    by_month = versions.withColumn("_first", first).withColumn("_last", last)
-    by_month = by_month.filter(F.col("_first") <= F.col("_last")).withColumn(
-        "_month", F.explode(F.sequence("_first", "_last", F.expr("interval 1 month")))
-    )
-    by_month = by_month.drop("_first", "_last").withColumnsRenamed({n: f"_rule_{n}" for n in names})
+    rules = rules.dropna(subset=[*names, rule_start])
+    if not fits(rules, 100_000, max_bytes, names, few_versions):
+        return asof_carry(facts, rules, names, fact_time, rule_start)
+    versions = valid_intervals(rules, names, rule_start).withColumnsRenamed({n: f"_rule_{n}" for n in names})
     in_force = reduce(
         lambda a, b: a & b,
         [
             *[F.col(n) == F.col(f"_rule_{n}") for n in names],
-            F.trunc(fact_time, "month") == F.col("_month"),
             F.col(fact_time) >= F.col(rule_start),
             F.col("_valid_to").isNull() | (F.col(fact_time) < F.col("_valid_to")),
         ],
     )
-    extra: list[str] = [f"_rule_{n}" for n in names] + ["_month", "_valid_to"]
-    return facts.join(by_month, in_force, "left").drop(*extra)
+    return facts.join(F.broadcast(versions), in_force, "left").drop(*[f"_rule_{n}" for n in names], "_valid_to")
+
+
+def time_chunks(facts: DataFrame, time: str, rows_per_chunk: int, grid: int = 1_000) -> list[float]:
+    """Ascending points in time, in microseconds, between which lie about ``rows_per_chunk`` facts: at most ``grid``."""
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    found = facts.agg(
+        F.count(time).alias("n"), F.percentile_approx(micros, [k / grid for k in range(1, grid)], 10 * grid).alias("at")
+    ).first()
+    chunks = min(grid, -(-found["n"] // rows_per_chunk))
+    at = found["at"] or []
+    return sorted({float(at[k * grid // chunks - 1]) for k in range(1, chunks)})
+
+
+def asof_carry(
+    facts: DataFrame,
+    versions: DataFrame,
+    keys: str | Sequence[str],
+    fact_time: str,
+    rule_start: str,
+    rows_per_chunk: int = 1_000_000,
+) -> DataFrame:
+    """As-of join by one common order of facts and versions, along which the last version is carried.
+
+    Time is cut into chunks with equal numbers of facts, so a key that holds most facts is spread over as many tasks.
+    Facts and versions are shuffled once, by key and chunk, and the last version before a fact is a running window. What is
+    in force at the start of a chunk comes from a table with one row for each key and chunk, which is carried along
+    in the same way. Versions are not repeated, however long they last, and a history may be of any length.
+    """
+    names = _names(keys)
+    versions = versions.dropna(subset=[*names, rule_start])
+    added = [c for c in versions.columns if c not in names]
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    points = time_chunks(facts, fact_time, rows_per_chunk)
+
+    def chunked(df: DataFrame, time: str) -> DataFrame:
+        timed = df.withColumn("_time", micros(time)).withColumn("_at", F.coalesce(F.col("_time").cast("double"), F.lit(-math.inf)))
+        return placed(timed, "_at", points, "_chunk").drop("_at")
+
+    own, held = chunked(facts, fact_time), chunked(versions, rule_start)
+    fact, version = F.struct(*facts.columns), F.struct(*added)
+    kinds = {"_fact": own.select(fact).schema[0].dataType, "_version": held.select(version).schema[0].dataType}
+    rows = own.select(*names, "_chunk", "_time", F.lit(1).alias("_kind"), fact.alias("_fact"), F.lit(None).cast(kinds["_version"]).alias("_version"))
+    rows = rows.unionByName(
+        held.select(*names, "_chunk", "_time", F.lit(0).alias("_kind"), F.lit(None).cast(kinds["_fact"]).alias("_fact"), version.alias("_version"))
+    )
+    so_far = Window.partitionBy(*names, "_chunk").orderBy("_time", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    # A fact without a time sorts first and finds nothing.
+    inside = rows.withColumn("_inside", F.last("_version", ignorenulls=True).over(so_far)).filter("_kind = 1")
+
+    before = Window.partitionBy(*names).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    ends = held.groupBy(*names, "_chunk").agg(F.max_by(version, "_time").alias("_last"))
+    starts = own.dropna(subset=[*names, fact_time]).groupBy(*names, "_chunk").agg(F.lit(None).cast(kinds["_version"]).alias("_last"))
+    edges = ends.unionByName(starts).groupBy(*names, "_chunk").agg(F.first("_last", ignorenulls=True).alias("_last"))
+    edges = edges.withColumn("_carried", F.last("_last", ignorenulls=True).over(before)).filter("_carried is not null").drop("_last")
+
+    joined = inside.join(edges, [*names, "_chunk"], "left")
+    found = F.when(F.col("_time").isNotNull(), F.coalesce("_inside", "_carried"))
+    return joined.select("_fact.*", found.alias("_found")).select(*facts.columns, *[F.col("_found")[c].alias(c) for c in added])
 
 
 def with_row_copies(df: DataFrame, copies: Column, step: int = 65536) -> DataFrame:

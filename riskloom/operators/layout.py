@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 from functools import cache, reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.functions.ranges import placed
 from riskloom.operators.dedup import latest_per_key
 from riskloom.sources.sinks import is_done, rebalance, run_once, write_table
-from riskloom.sources.tables import move_folders, partition_folder, path_exists, read_table, remove_path
+from riskloom.sources.tables import move_files, move_folders, partition_folder, path_exists, read_table, remove_path, remove_uri
 
 
 def changed_since(df: DataFrame, column: str, target: DataFrame) -> DataFrame:
@@ -174,6 +176,94 @@ def write_clustered(df: DataFrame, path: str, *columns: str) -> DataFrame:
     return read_table(df.sparkSession, path, df.schema)
 
 
+def _as_number(field: T.StructField) -> Column:
+    """A column as a double that sorts alike; of a text its first six bytes."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        return F.conv(F.hex(F.rpad(F.substring(F.to_binary(column, F.lit("utf-8")), 1, 6), 6, F.lit(b"\0"))), 16, 10).cast("double")
+    if isinstance(field.dataType, T.DateType | T.TimestampType | T.TimestampNTZType):
+        return F.unix_micros(column.cast("timestamp")).cast("double")
+    return column.cast("double")
+
+
+def z_value(ranks: Sequence[Column], bits: int) -> Column:
+    """The bits of several ranks interleaved, the highest first."""
+    n = len(ranks)
+    places = [F.shiftleft(F.shiftright(r, b).bitwiseAND(1), b * n + n - 1 - i) for i, r in enumerate(ranks) for b in range(bits)]
+    return reduce(lambda a, b: a.bitwiseOR(b), places)
+
+
+def write_zordered(df: DataFrame, path: str, *columns: str, bits: int = 8) -> DataFrame:
+    """Files in Z-order: filters on any one of the columns skip files by their min and max.
+
+    Every column becomes a rank among 2**bits equal shares of the rows (null is the first), so skewed and unlike values count alike.
+    The files are ranges of the ranks' interleaved bits; a range that holds very many rows is cut by the
+    task that reads them.
+    """
+    if len(columns) * bits > 62:
+        raise ValueError("columns times bits must fit in 62 bits")
+    fields = [df.schema[c] for c in columns]
+    numbers = {f"_n{i}": F.coalesce(F.when(~F.isnan(x), x), F.lit(-math.inf)) for i, x in enumerate(map(_as_number, fields))}
+    shares = [k / (1 << bits) for k in range(1, 1 << bits)]
+    marked = df.withColumns(numbers)
+    found = marked.agg(*[F.percentile_approx(n, shares, 100 << bits).alias(n) for n in numbers]).first()
+    for n in numbers:
+        marked = placed(marked, n, sorted({x for x in found[n] or [] if math.isfinite(x)}), f"{n}r")
+    ranks = [F.col(f"{n}r").cast("long") for n in numbers]
+    (
+        marked.withColumn("_z", z_value(ranks, bits)).withColumn("_reader", F.spark_partition_id())
+        .repartitionByRange("_z", "_reader")
+        .sortWithinPartitions("_z", *columns)
+        .select(*df.columns)
+        .write.mode("overwrite")
+        .parquet(path)
+    )
+    return read_table(df.sparkSession, path, df.schema)
+
+
+def small_files(table: DataFrame, small: int, target: int) -> DataFrame:
+    """(folder, file, size, bin): files below ``small`` bytes, those of a folder in bins of about ``target`` bytes.
+
+    Sizes come from the file metadata; a file that would be alone in its bin is left out.
+    """
+    files = table.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).distinct()
+    files = files.filter(F.col("size") < small).withColumn("folder", F.regexp_extract("file", "^(.*)/[^/]*$", 1))
+    upto = F.sum("size").over(Window.partitionBy("folder").orderBy("size", "file").rowsBetween(Window.unboundedPreceding, -1))
+    binned = files.withColumn("bin", F.floor(F.coalesce(upto, F.lit(0)) / target))
+    alone = F.count(F.lit(1)).over(Window.partitionBy("folder", "bin")) == 1
+    return binned.withColumn("_alone", alone).filter(~F.col("_alone")).select("folder", "file", "size", "bin")
+
+
+def compact_small_files(
+    spark: SparkSession, path: str, run_id: str, small: int = 32 << 20, target: int = 256 << 20, partition_by: Sequence[str] = ()
+) -> None:
+    """Replace small files of a table by files of about ``target`` bytes, folder by folder; other files are not touched.
+
+    A bin is at most ``small + target`` bytes and is written by one task. The list of old files and the new files are complete before
+    the new ones are moved in and the old ones removed; after a failure the same call goes on. While it runs
+    a reader may see rows twice, so it belongs where nobody reads.
+    """
+    root = path.rstrip("/")
+    done, listed, staged, moved = (f"{root}.{step}/{run_id}" for step in ("compacted", "small", "packed", "moved"))
+    if is_done(spark, done):
+        return
+    table = spark.read.parquet(path)
+    kinds = T.StructType.fromDDL("folder string, file string, size bigint, bin bigint")
+    chosen = run_once(spark, listed, lambda: small_files(table, small, target), kinds)
+    if not is_done(spark, staged) and not is_done(spark, moved):
+        rows = table.withColumn("_file", F.col("_metadata.file_path")).join(chosen.select(F.col("file").alias("_file"), "folder", "bin"), "_file")
+        packed = rows.repartition("folder", "bin").drop("_file", "folder").withColumnRenamed("bin", "_bin")
+        packed.write.mode("overwrite").partitionBy(*partition_by, "_bin").parquet(staged)
+    if not is_done(spark, moved):
+        move_files(spark, staged, path, "_bin=")
+        write_table(spark.range(0), moved)
+    for row in chosen.select("file").toLocalIterator():
+        remove_uri(spark, row["file"])
+    write_table(spark.range(0), done)
+    for folder in (staged, listed, moved):
+        remove_path(spark, folder)
+
+
 @contextmanager
 def reused(df: DataFrame):
     """Keep a result for the length of a block; blocks lost with an executor are recomputed."""

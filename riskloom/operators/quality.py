@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.operators.quantiles import exact_quantiles
+
 # The columns a payment index must have, and the numeric ones among them.
 REQUIRED_COLUMNS = (
     "transaction_id", "user_id", "merchant_id", "card_id", "amount", "fraud_score", "is_allowed",
@@ -125,16 +127,14 @@ def null_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     return report.withColumn("null_rate", F.try_divide(F.col("n_bad"), F.col("n_rows")))
 
 
-def quartile_fence(df: DataFrame, column: str, width: float = 1.5, accuracy: int = 100_000) -> DataFrame:
-    """Counts numbers further than ``width`` quartile distances outside the middle half.
+def quartile_fence(df: DataFrame, column: str, width: float = 1.5) -> DataFrame:
+    """Counts numbers further than ``width`` quartile distances outside the middle half. NaN is left out.
 
-    The quartiles are approximate beyond ``accuracy`` rows, with a relative rank error
-    of ``1 / accuracy``; the counts against them are exact. NaN is left out.
+    The quartiles are exact for any number of rows.
     """
-    value = F.col(column).cast("double")
-    clean = df.select(value.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    quartiles = clean.agg(F.percentile_approx("v", [0.25, 0.75], accuracy).alias("q"))
-    q1, q3 = quartiles.select(F.col("q")[0]).scalar(), quartiles.select(F.col("q")[1]).scalar()
+    clean = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    found = exact_quantiles(clean, [], "v", [0.25, 0.75]).first()  # two numbers
+    q1, q3 = (F.lit(x).cast("double") for x in (found["quantiles"] if found else (None, None)))
     fence = (q3 - q1) * F.lit(width)
     outside = (F.col("v") < q1 - fence) | (F.col("v") > q3 + fence)
     return clean.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(outside).alias("n_bad")).select(

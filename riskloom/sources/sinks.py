@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.session import scratch_path
 from riskloom.sources.tables import path_exists, read_table
 
 
@@ -59,6 +60,13 @@ def write_report(report: DataFrame, path: str, mode: str = "overwrite") -> None:
     report.select(line.alias("value")).write.mode(mode).text(path)
 
 
+def set_down(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared scratch folder and read it back: its lineage ends there."""
+    path = scratch_path(df.sparkSession, label)
+    write_table(df, path)
+    return read_table(df.sparkSession, path, df.schema)
+
+
 def is_done(spark: SparkSession, path: str) -> bool:
     """Whether an earlier write of this folder was committed."""
     return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")

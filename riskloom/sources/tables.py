@@ -72,6 +72,42 @@ def latest_partition(df: DataFrame, column: str = "dt") -> DataFrame:
     return df.filter(F.col(column) == df.select(F.max(column)).scalar())
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str | None]:
+    """The values of a partition column, from the names of the table's folders: no file is opened."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    pairs = [s.getPath().getName().split("=", 1) for s in found if s.isDirectory()]
+    own = [names.unescapePathName(p[1]) for p in pairs if len(p) == 2 and names.unescapePathName(p[0]) == column]
+    return [None if value == names.DEFAULT_PARTITION_NAME() else value for value in own]
+
+
+def _newest(spark: SparkSession, values: Sequence[str | None], kind: T.DataType):
+    """The largest value, compared as the column's type; the null partition is never the newest."""
+    rows = spark.createDataFrame([(value,) for value in values], "value string")
+    return rows.select(F.max(F.col("value").cast(kind))).first()[0]
+
+
+def newest_partition(spark: SparkSession, path: str, column: str = "dt", schema: T.StructType | None = None) -> DataFrame:
+    """Rows of the newest partition of a folder, chosen from the folder names, so only its files are opened.
+
+    ``column`` is the first partition column. A table without partitions has no newest one: no rows.
+    """
+    table = read_table(spark, path, schema)
+    newest = _newest(spark, partition_values(spark, path, column), table.schema[column].dataType)
+    return table.filter(F.col(column) == F.lit(newest))
+
+
+def newest_table_partition(spark: SparkSession, table: str, column: str = "dt") -> DataFrame:
+    """Rows of the newest partition of a catalogue table, chosen from the catalogue."""
+    rows = spark.table(table)
+    parts = [dict(p.split("=", 1) for p in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    values = [p[column] for p in parts if p[column] != names.DEFAULT_PARTITION_NAME()]
+    newest = _newest(spark, [names.unescapePathName(x) for x in values], rows.schema[column].dataType)
+    return rows.filter(F.col(column) == F.lit(newest))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Ask the file system the path belongs to, not the driver's local disk."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -84,6 +120,12 @@ def remove_path(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def remove_uri(spark: SparkSession, uri: str) -> None:
+    """Remove a file that is named as in the file metadata, where odd characters are escaped."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, False)
+
+
 def move_folders(spark: SparkSession, source: str, target: str) -> None:
     """Move every folder below ``source`` to the same name below ``target``, over the one that is there.
 
@@ -100,6 +142,27 @@ def move_folders(spark: SparkSession, source: str, target: str) -> None:
                 raise OSError(f"cannot move {status.getPath()} to {into}")
 
 
+def move_files(spark: SparkSession, source: str, target: str, leave_out: str) -> None:
+    """Move every file below ``source`` to the same folder below ``target``; path parts that begin with ``leave_out`` go into its name.
+
+    A file is in one place or the other at any time, so the call may be repeated after a failure.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    base = files.makeQualified(path(source)).toString().rstrip("/")
+    found = files.listFiles(path(source), True)
+    while found.hasNext():
+        file = found.next().getPath()
+        parts = file.toString().removeprefix(base).strip("/").split("/")
+        if parts[-1].startswith(("_", ".")):
+            continue
+        name = "-".join([*(p.removeprefix(leave_out) for p in parts[:-1] if p.startswith(leave_out)), parts[-1]])
+        into = path("/".join([target.rstrip("/"), *(p for p in parts[:-1] if not p.startswith(leave_out)), name]))
+        files.mkdirs(into.getParent())
+        if not files.rename(file, into):
+            raise OSError(f"cannot move {file} to {into}")
+
+
 def partition_folder(spark: SparkSession, path: str, column: str, value: str | None) -> str:
     """The folder of a partition value as Spark names it."""
     names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from collections import Counter
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -109,6 +110,51 @@ def test_asof_join_equals_brute_force(spark):
     assert "Cartesian" not in plan(found) and "NestedLoop" not in plan(found)
 
 
+@pytest.mark.parametrize("rows_per_chunk", [15, 10_000])
+def test_asof_carry_equals_brute_force(spark, rows_per_chunk):
+    """Long histories, a key with most of the facts, keys without versions or with late ones, equal times, nulls."""
+    rng = random.Random(rows_per_chunk)
+    minute = lambda: dt.datetime(2020, 1, 1) + dt.timedelta(minutes=rng.randrange(3000))
+    starts = {(k, minute()) for k, n in (("hot", 300), ("b", 3), ("c", 40)) for _ in range(n)} | {("late", dt.datetime(2030, 1, 1))}
+    versions = [(k, t, i, "x") for i, (k, t) in enumerate(sorted(starts))] + [(None, minute(), -1, "x"), ("b", None, -2, "x")]
+    facts = [(i, rng.choice(["hot", "hot", "hot", "b", "c", "late", "none", None]), minute()) for i in range(500)]
+    facts += [(1000 + i, k, t) for i, (k, t, _, _) in enumerate(versions)] + [(5000, "hot", None), (5001, "hot", minute()), (5001, "hot", minute())]
+    expected = Counter()
+    for i, k, at in facts:
+        past = [(t, n) for kk, t, n, _ in versions if kk == k is not None and None not in (at, t) and t <= at]
+        expected[i, max(past) if past else (None, None)] += 1
+    found = joins.asof_carry(
+        spark.createDataFrame(facts, "i int, k string, at timestamp"),
+        spark.createDataFrame(versions, "k string, start timestamp, n int, other string"), "k", "at", "start", rows_per_chunk,
+    )
+    assert found.columns == ["i", "k", "at", "start", "n", "other"]
+    assert Counter((r.i, (r.start, r.n)) for r in found.collect()) == expected
+
+
+def test_asof_plans(spark, tmp_path):
+    """Few versions are broadcast and facts stay; long histories shuffle facts once, spread over chunks of time."""
+    hot = spark.range(40_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.timestamp_seconds("id").alias("at"))
+    hot.write.parquet(str(tmp_path / "f"))
+    facts = spark.read.parquet(str(tmp_path / "f"))
+    few = spark.createDataFrame([("hot", dt.datetime(1970, 1, 1), 1)], "k string, start timestamp, n int")
+    small = plan(joins.asof_join(facts, few, "k", "at", "start"))
+    assert "Exchange" not in small.split("BroadcastHashJoin", 1)[1].split("FileScan")[0]
+    many = spark.range(3_000).select(F.lit("hot").alias("k"), F.timestamp_seconds(F.col("id") * 13).alias("start"), "id")
+    text = plan(joins.asof_join(facts, many, "k", "at", "start"))
+    assert "_chunk" in text and "NestedLoop" not in text and "Cartesian" not in text
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # The window's shuffle by key and chunk serves the join as well.
+        carried = plan(joins.asof_carry(facts, many, "k", "at", "start", rows_per_chunk=2_000))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    facts_side = carried.split("SortMergeJoin", 1)[1].split("FileScan")[0]
+    assert facts_side.count("Exchange hashpartitioning(k") == 1
+    points = joins.time_chunks(facts, "at", 2_000)
+    assert len(points) == 19 and max(b - a for a, b in zip(points, points[1:], strict=False)) < 1.2 * 2_000 * 1e6
+
+
 def test_row_copies(spark):
     df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 5), ("d", 4)], "k string, n long")
     found = joins.with_row_copies(df, F.col("n"), step=2).groupBy("k").count().collect()

@@ -153,3 +153,84 @@ def test_reused_result_is_released(spark):
     with layout.reused(df) as kept:
         assert kept.storageLevel.useMemory and kept.count() == 10
     assert not df.storageLevel.useMemory
+
+
+def touched_files(df, condition):
+    """Files whose min and max let a reader expect rows for the condition (column, low, high)."""
+    column, low, high = condition
+    ranges = df.groupBy(F.input_file_name().alias("f")).agg(F.min(column).alias("low"), F.max(column).alias("high")).collect()
+    return sum(r.low <= high and r.high >= low for r in ranges), len(ranges)
+
+
+def test_zorder_skips_files_for_either_column(spark, tmp_path):
+    text = F.format_string("n%04d", F.pmod(F.xxhash64("id"), F.lit(1000)).cast("int"))
+    # Skewed numbers: a third are 0, the others spread over magnitudes.
+    number = F.when(F.col("id") % 3 == 0, 0.0).otherwise(F.exp(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(3000)) / 100))
+    df = spark.range(64_000).select("id", number.alias("a"), text.alias("b"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        z = layout.write_zordered(df, str(tmp_path / "z"), "a", "b")
+        linear = layout.write_clustered(df, str(tmp_path / "l"), "a", "b")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert z.exceptAll(df).isEmpty() and z.count() == 64_000
+    for condition in (("a", 1e10, 3e10), ("b", "n0500", "n0520")):
+        hit, files = touched_files(z, condition)
+        assert files >= 40 and hit <= 0.4 * files
+    assert touched_files(linear, ("b", "n0500", "n0520"))[0] > 0.5 * touched_files(linear, ("b", "", ""))[1]
+
+
+def test_zorder_of_nulls_and_one_value(spark, tmp_path):
+    df = spark.createDataFrame([(None, None, True), (1.5, None, None), (float("nan"), "x", True)] * 3, "a double, b string, c boolean")
+    z = layout.write_zordered(df, str(tmp_path / "z"), "a", "b", "c")
+    assert sorted(map(str, z.collect())) == sorted(map(str, df.collect()))
+    assert layout.write_zordered(df.limit(0), str(tmp_path / "e"), "a").count() == 0
+
+
+def parquet_files(path):
+    return {f"{d}/{f}": os.path.getsize(f"{d}/{f}") for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+
+
+@pytest.mark.parametrize("partitioned", [True, False])
+def test_only_small_files_are_compacted(spark, tmp_path, partitioned):
+    path, by = str(tmp_path / "t"), ["g"] if partitioned else []
+    noise = F.sha2(F.col("id").cast("string"), 256)
+    big = spark.range(40_000).select("id", noise.alias("v"), F.lit("a b/%").alias("g"))
+    small = spark.range(600).select("id", noise.alias("v"), F.when(F.col("id") % 2 == 0, "a b/%").otherwise("c").alias("g"))
+    big.coalesce(1).write.partitionBy(*by).parquet(path)
+    small.repartition(30).write.mode("append").partitionBy(*by).parquet(path)
+    before = parquet_files(path)
+    rows = sorted(map(str, spark.read.parquet(path).collect()))
+    run = lambda: layout.compact_small_files(spark, path, "r", small=100_000, target=20_000, partition_by=by)
+    run()
+    after = parquet_files(path)
+    large = {f for f, n in before.items() if n >= 100_000}
+    assert large and large <= set(after) and not (set(before) - large) & set(after)
+    assert len(after) < len(before) / 2 and sorted(map(str, spark.read.parquet(path).collect())) == rows
+    assert all(n < 120_000 for f, n in after.items() if f not in large) and len(after) - len(large) > 2
+    run()
+    assert parquet_files(path) == after
+
+
+def test_compaction_goes_on_after_a_failure(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    df = spark.range(500).select("id", (F.col("id") % 2).alias("g"))
+    df.repartition(20).write.partitionBy("g").parquet(path)
+    run = lambda: layout.compact_small_files(spark, path, "r", small=100_000, target=50_000, partition_by=["g"])
+    for name, calls in (("move_files", 0), ("remove_uri", 3)):
+        real, count = getattr(layout, name), iter(range(calls))
+
+        def fails(*args, real=real, count=count):
+            if next(count, None) is None:
+                raise OSError("lost")
+            return real(*args)
+
+        monkeypatch.setattr(layout, name, fails)
+        with pytest.raises(OSError):
+            run()
+        monkeypatch.setattr(layout, name, real)
+    run()
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(500))
+    assert len(parquet_files(path)) == 2

@@ -6,6 +6,7 @@ import uuid
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom import schemas
 from riskloom.operators import quality
@@ -157,3 +158,39 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
 def test_session_is_reused(spark):
     assert build_session("other").sparkContext is spark.sparkContext
+
+
+def test_newest_partition_opens_only_its_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(1, "2025-01-09"), (2, "2025-01-10"), (3, "2024-12-31"), (4, None)]
+    df = spark.createDataFrame(rows, "id int, dt string").withColumn("dt", F.col("dt").cast("date"))
+    df.write.partitionBy("dt").parquet(path)
+    for found in (tables.newest_partition(spark, path), tables.newest_partition(spark, path, "dt", df.schema)):
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(dt" in text and [r.id for r in found.collect()] == [2]
+        assert {f.rsplit("/", 2)[1] for f in opened(found)} == {"dt=2025-01-10"}
+
+
+def opened(df):
+    return {r[0] for r in df.select(F.input_file_name()).collect()}
+
+
+def test_newest_partition_is_compared_by_type(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, 9), (2, 10), (3, None)], "id int, n int").write.partitionBy("n").parquet(path)
+    assert [r.id for r in tables.newest_partition(spark, path, "n").collect()] == [2]
+    name = f"newest_{uuid.uuid4().hex}"
+    tables.register_external(spark, name, T.StructType.fromDDL("id int, n int"), path, ["n"])
+    assert [r.id for r in tables.newest_table_partition(spark, name, "n").collect()] == [2]
+    odd = str(tmp_path / "odd")
+    spark.createDataFrame([(1, "a=b/c"), (2, "a:d e")], "id int, k string").write.partitionBy("k").parquet(odd)
+    assert sorted(tables.partition_values(spark, odd, "k")) == ["a:d e", "a=b/c"]
+    assert [r.id for r in tables.newest_partition(spark, odd, "k").collect()] == [1]
+
+
+def test_join_prunes_partitions_when_it_runs(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).select("id", (F.col("id") % 10).alias("n")).write.partitionBy("n").parquet(path)
+    chosen = spark.range(10).filter("id > 7").withColumnRenamed("id", "n")
+    found = spark.read.parquet(path).join(chosen, "n", "left_semi")
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString() and found.count() == 20

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.operators.layout import key_bucket
 from riskloom.plans.aml import transaction_limit
 from riskloom.sources.tables import aml_rules, read_table
-from riskloom.streaming import sessions, speed
+from riskloom.streaming import metrics, sessions, speed
 
 SCHEMA = "event_id long, user_id long, ts timestamp, value double"
 DAY0 = dt.datetime(2025, 1, 1)
@@ -226,3 +226,33 @@ def test_session_table_leaves_other_days_alone(spark, tmp_path):
     table = spark.read.schema(sessions.table_schema("user_id", "bigint")).parquet(path)
     assert [(r.window_start, r.n_events) for r in table.orderBy("window_start").limit(1).collect()] == [(at(1), 18)]
     assert not any("2025-01-01" in f for f in files())
+
+
+def test_table_of_batches(spark, events, folders, tmp_path):
+    """One row for each batch of a query, also of those with several, and of a run without input none."""
+    events.repartitionByRange(3, "ts").write.parquet(folders["in"])
+    counts = {"high": F.col("value") > 3, "of_one": F.col("user_id") == 1}
+    path = str(tmp_path / "metrics")
+
+    def run():
+        watched = metrics.watched(stream(spark, folders, events, files_per_batch=1), counts)
+        return metrics.run_with_metrics(spark, lambda: speed.write_files(watched, folders["out"], folders["checkpoint"]), path, counts)
+
+    query = run()
+    rows = spark.read.schema(metrics.metrics_schema(counts)).parquet(path).orderBy("batch").collect()
+    assert [r.batch for r in rows] == [p["batchId"] for p in query.recentProgress] and len(rows) >= 3
+    assert sum(r.n_rows for r in rows) == sum(r.n_input for r in rows) == 600
+    assert sum(r.high for r in rows) == events.filter("value > 3").count()
+    assert sum(r.of_one for r in rows) == events.filter("user_id = 1").count()
+    assert all(r.batch_ms > 0 and r.rows_per_second > 0 and r.started for r in rows if r.n_input)
+    events.limit(5).write.mode("append").parquet(folders["in"])
+    run()
+    again = spark.read.schema(metrics.metrics_schema(counts)).parquet(path).collect()
+    assert sum(r.n_rows for r in again) == 605 and len({r.run for r in again}) == 2
+
+
+def test_failure_of_a_watched_query_raises(spark, events, folders, tmp_path):
+    events.write.parquet(folders["in"])
+    bad = metrics.watched(stream(spark, folders, events).withColumn("x", F.raise_error(F.lit("no"))), {})
+    with pytest.raises(Exception, match="no"):
+        metrics.run_with_metrics(spark, lambda: speed.write_files(bad.select("x"), folders["out"], folders["checkpoint"]), str(tmp_path / "m"), {})
