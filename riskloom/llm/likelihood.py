@@ -1,8 +1,9 @@
 """Quality rules and a hashed n-gram likelihood ratio between trusted and raw text.
 
 Two multinomials over hashed word and byte n-grams are counted with partial sums in every task: the raw one over the
-whole corpus, the trusted one over documents labelled 1, of which the `most_trusted` with the smallest hash of their id
-are taken. So few ids can be broadcast, and no text is shuffled. A document's score is the mean log ratio of its n-grams, so
+whole corpus, the trusted one over all documents labelled 1. Documents and trusted ids are dealt into blocks by a hash of
+the id, a block for every `block` trusted ids or so; one block's ids after the other are broadcast to the tasks that count
+its documents. So the broadcast is bounded, every text is counted once, and no text is shuffled. A document's score is the mean log ratio of its n-grams, so
 that length does not matter. Every document is judged by the same threshold: the middle of the best cut between the
 labelled documents' scores. Nothing is drawn at random.
 
@@ -68,8 +69,15 @@ def repeated_words(found, n: int, width: int = 3) -> np.ndarray:
     return per_row(np.cumsum(cover[:-1]) > 0, found.first)
 
 
-def multinomials(docs: DataFrame, trusted: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def multinomials(docs: DataFrame, trusted: DataFrame, bits: int, blocks: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Counts of hashed n-grams over the trusted texts and over all texts; `trusted` holds their doc_id once each."""
+    of = F.pmod(F.xxhash64("doc_id"), F.lit(blocks))
+    found = (block_counts(docs.where(of == k), F.broadcast(trusted.where(of == k)), bits) for k in range(blocks))
+    return tuple(np.sum(x, axis=0) for x in zip(*found, strict=True))
+
+
+def block_counts(docs: DataFrame, trusted: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(trusted, raw) counts of one block."""
 
     def count(batches) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
@@ -134,12 +142,12 @@ def best_cut(bins: list[tuple[float, int, int]], default: float) -> float:
 
 
 def judged(
-    docs: DataFrame, labels: DataFrame, bits: int = 16, default: float = -0.2, digits: int = 3, most_trusted: int = 20_000
+    docs: DataFrame, labels: DataFrame, bits: int = 16, default: float = -0.2, digits: int = 3, block: int = 2_000_000
 ) -> DataFrame:
     """Every document with its counts, score, `base_failed` and `kept`."""
     known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
-    trusted = known.where("quality = 1").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_trusted)
-    target, raw = multinomials(docs, F.broadcast(trusted), bits)
+    trusted = known.where("quality = 1").select("doc_id")
+    target, raw = multinomials(texts(docs), trusted, bits, max(1, -(-trusted.count() // block)))
     scored = set_down(measured(docs, log_ratio(target, raw), bits), "likelihood")
     passed = scored.where(~F.col("base_failed")).join(known, "doc_id")
     good = F.sum((F.col("quality") == 1).cast("long"))

@@ -32,6 +32,23 @@ def op2_quality_likelihood(spark, sf_dir):
     return likelihood.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query(r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+s AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+             [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM d),
+p AS (SELECT r, unnest(range(1, len(words) - 1)) AS pos, words FROM s WHERE len(words) >= 3),
+t AS (SELECT r, pos, count(*) OVER (PARTITION BY r, words[pos], words[pos + 1], words[pos + 2]) AS n FROM p),
+c AS (SELECT r, count(DISTINCT pos + k) AS n FROM t, range(3) o(k) WHERE t.n > 1 GROUP BY r),
+f AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+             length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+             (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words FROM s LEFT JOIN c USING (r))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f
+""")
+def quality_rules(spark, sf_dir):
+    """The columns of op2 that follow from a text alone."""
+    return op2_quality_likelihood(spark, sf_dir).drop("score", "kept")
+
+
 @query()
 def op3_suffix_dedup(spark, sf_dir):
     return repeats.without_repeats(read(spark, sf_dir, "documents"))

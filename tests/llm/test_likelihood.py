@@ -2,8 +2,9 @@ import re
 from collections import Counter
 
 import numpy as np
+import oracle
 from riskloom.llm import likelihood
-from riskloom.llm.queries import QUERIES
+from riskloom.llm.queries import ORACLES, QUERIES
 from riskloom.llm.tables import read
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -63,3 +64,15 @@ def test_best_cut():
     assert likelihood.best_cut([(0.0, 0, 5), (1.0, 9, 0)], 0.3) == 0.5
     assert likelihood.best_cut([(0.0, 0, 5)], 0.3) == 0.3
     assert likelihood.best_cut([], 0.3) == 0.3
+
+
+def test_blocks_of_trusted_ids_count_every_text_once(spark, make_docs):
+    docs = make_docs([(k, f"w{k % 7} x{k} y") for k in range(40)] + [(None, "null id"), (3, "again")])
+    trusted = spark.createDataFrame([(k,) for k in range(0, 40, 3)], "doc_id long")
+    one, many = (likelihood.multinomials(docs, trusted, 12, blocks) for blocks in (1, 5))
+    assert all((a == b).all() for a, b in zip(one, many, strict=True)) and one[0].sum() > 0
+
+
+def test_rules_equal_sql(spark, sample):
+    rows = QUERIES["quality_rules"](spark, sample).toArrow()
+    assert oracle.difference(oracle.connect(sample), rows, ORACLES["quality_rules"]) is None
