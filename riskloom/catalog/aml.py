@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -60,6 +61,46 @@ def suspicious_tx_fanout(spark, sf):
     )
 
 
+# Profiles of several dates: every customer has one, every second two, every third another without a date.
+_PROFILES = """
+    , versions AS (SELECT customer_id, risk_score, TIMESTAMP '2024-01-01' AS updated_at FROM profile UNION ALL
+                   SELECT customer_id, 9 - risk_score / 2, TIMESTAMP '2024-06-01' FROM profile WHERE customer_id % 2 = 0 UNION ALL
+                   SELECT customer_id, 8.5, NULL FROM profile WHERE customer_id % 3 = 0)
+    , newest AS (SELECT * FROM versions QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY updated_at DESC NULLS LAST) = 1)"""
+_SCORE_OF = """
+    SELECT t.transaction_id, t.customer_id,
+           LEAST(amount / 10000::DOUBLE + CASE WHEN risk_score > 8 THEN 0.5::DOUBLE ELSE 0::DOUBLE END, 1::DOUBLE) AS suspicion_score,
+           concat_ws('|', CASE WHEN amount > 10000 THEN 'HIGH_VALUE' END, CASE WHEN risk_score > 8 THEN 'HIGH_RISK_CUSTOMER' END) AS rule_hits
+    FROM aml_txn t LEFT JOIN {table} p ON t.customer_id = p.customer_id"""
+
+
+def _versioned_feeds(spark, sf):
+    feeds = v.aml_feeds(spark, sf)
+    one, stamp = feeds["customer_profile"], lambda text: F.lit(text).cast("timestamp_ntz")
+    key, risk = F.col("customer_id"), F.col("risk_score")
+    versions = [
+        one.withColumn("updated_at", stamp("2024-01-01")),
+        one.filter(key % 2 == 0).withColumns({"risk_score": 9 - risk / 2, "updated_at": stamp("2024-06-01")}),
+        one.filter(key % 3 == 0).withColumns({"risk_score": F.lit(8.5), "updated_at": stamp(None)}),
+    ]
+    return {**feeds, "customer_profile": reduce(lambda a, b: a.unionByName(b), versions)}
+
+
+@query(v.sql_with(_PROFILES + _SCORE_OF.format(table="newest"), "aml_txn", "profile"))
+def suspicious_tx_newest_profile(spark, sf):
+    """Several profiles of a customer: the newest one counts, and a transaction stays one row."""
+    index = aml.tx_index(_versioned_feeds(spark, sf), aml_rules(spark), v.as_of())
+    return _flat(index).select("transaction_id", "customer_id", "suspicion_score", "rule_hits")
+
+
+@query(v.sql_with(_PROFILES + " SELECT *, CAST(count(*) AS BIGINT) AS copies FROM (" + _SCORE_OF.format(table="versions") + ") GROUP BY ALL", "aml_txn", "profile"))
+def suspicious_tx_profile_fanout(spark, sf):
+    """The fan-out by profile: a row for each profile of the customer, each with its own score."""
+    index = aml.tx_index(_versioned_feeds(spark, sf), aml_rules(spark), v.as_of(), grain="fanout", leave_out=list(aml.CHILDREN))
+    rows = _flat(index).groupBy("transaction_id", "customer_id", "suspicion_score", "rule_hits")
+    return rows.agg(F.sum("copies").alias("copies"))
+
+
 def _entity_sql(source: str, key: str = "customer_id", kind: str = "CUSTOMER") -> str:
     return f"""
         SELECT {key} AS entity_id, round(avg(suspicion_score) + {v.NUDGE}, 6) AS aggregated_score,

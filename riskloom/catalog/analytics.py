@@ -190,22 +190,22 @@ def _profits(spark, sf):
 
 @query(_PNL + f"""
     SELECT book, instrument, CAST(period AS TIMESTAMP) AS period, round(position, 2) AS position,
-           round(close + {v.NUDGE}, 4) AS close, round(pnl + {v.NUDGE}, 2) AS pnl FROM r
+           round(close + {v.NUDGE}, 4) AS close, round(pnl + {v.NUDGE}, 0) AS pnl FROM r
 """)
 def profit_and_loss(spark, sf):
     """Positions valued at closing prices: the profit holds price moves and trading gains."""
     return _profits(spark, sf).select(
         "book", "instrument", F.col("period").cast("timestamp_ntz").alias("period"), F.round("position", 2).alias("position"),
-        v.settle("close", 4).alias("close"), v.settle("pnl", 2).alias("pnl"),
+        v.settle("close", 4).alias("close"), v.settle("pnl", 0).alias("pnl"),
     )
 
 
 @query(_PNL + """
-    SELECT book, CAST(count(pnl) AS BIGINT) AS n_periods, round(quantile_cont(pnl, 0.05) + {nudge}, 2) AS var FROM r GROUP BY book
+    SELECT book, CAST(count(pnl) AS BIGINT) AS n_periods, round(quantile_cont(pnl, 0.05) + {nudge}, 0) AS var FROM r GROUP BY book
 """.format(nudge=v.NUDGE))
 def portfolio_value_at_risk(spark, sf):
     """VaR of each book over all its instruments and months, by exact distributed quantiles."""
-    return analytics.portfolio_value_at_risk(_profits(spark, sf), ["book"]).withColumn("var", v.settle("var", 2))
+    return analytics.portfolio_value_at_risk(_profits(spark, sf), ["book"]).withColumn("var", v.settle("var", 0))
 
 
 @query("""

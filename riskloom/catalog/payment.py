@@ -27,6 +27,23 @@ def risk_flag_index(spark, sf):
     return index(spark, sf)
 
 
+@query(v.sql_with("""
+    , every AS (SELECT l_orderkey * 10 + l_linenumber AS transaction_id, l_partkey AS ml_signal_id,
+                       CASE WHEN l_linenumber <> 7 THEN l_discount * 10 END AS fraud_score FROM lineitem)
+    SELECT e.transaction_id, merchant_id, ml_signal_id, fraud_score,
+           CASE WHEN amount IS NULL OR fraud_score IS NULL THEN 'UNKNOWN'
+                WHEN fraud_score > 0.7::DOUBLE OR amount > 800 THEN 'HIGH'
+                WHEN fraud_score > 0.4::DOUBLE OR amount > 500 THEN 'MEDIUM' ELSE 'LOW' END AS risk_flag
+    FROM enriched e LEFT JOIN every ON e.transaction_id = every.transaction_id
+""", "enriched"))
+def all_signals_index(spark, sf):
+    """A transaction with several signals comes once for each of them."""
+    rows = payment.final_index(
+        enriched(spark, sf), v.users(spark, sf), v.merchants(spark, sf), v.cards(spark, sf), v.ml_signals(spark, sf), latest_signal=False
+    )
+    return rows.select("transaction_id", "merchant_id", "ml_signal_id", "fraud_score", "risk_flag")
+
+
 @query(v.sql_with("SELECT * FROM enriched", "enriched"))
 def enriched_transactions(spark, sf):
     return enriched(spark, sf)

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from riskloom.catalog import views as v
 from riskloom.catalog.registry import query
+from riskloom.operators import quality
 from riskloom.session import scratch_path
 from riskloom.sources import profile as profiles
-from riskloom.sources.sinks import write_csv, write_table
-from riskloom.sources.tables import read_csv, register_external
+from riskloom.sources.sinks import run_once, write_csv, write_report, write_table
+from riskloom.sources.tables import read_csv, register_external, require_inputs
 
 _TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
@@ -69,3 +70,31 @@ def profile_columns(spark, sf):
 def preview_topn(spark, sf):
     orders = v.read(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     return profiles.preview(orders, 5, F.desc("o_totalprice"), F.asc("o_orderkey"))
+
+
+@query("""
+    SELECT 'Column ' || chr(39) || name || chr(39) || ': ' || CASE WHEN name = 'p_name' THEN 'Present' ELSE 'MISSING' END AS line
+    FROM (VALUES ('p_name'), ('amount')) t(name)
+""")
+def report_as_text(spark, sf):
+    """A quality report written as text and read again as lines."""
+    path = scratch_path(spark, "report")
+    write_report(quality.required_columns(v.read(spark, sf, "part"), ["p_name", "amount"]), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query("SELECT * FROM nation")
+def single_file_dimension(spark, sf):
+    """A small dimension as one file."""
+    path = scratch_path(spark, "nation")
+    write_table(v.read(spark, sf, "nation"), path, single_file=True)
+    return spark.read.parquet(path)
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders")
+def built_once(spark, sf):
+    """The second run finds the success marker of the first and builds nothing; its inputs must be there."""
+    require_inputs(spark, [f"{sf.rstrip('/')}/orders.parquet"])
+    path, orders = scratch_path(spark, "once"), v.read(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    run_once(spark, path, lambda: orders)
+    return run_once(spark, path, lambda: orders.limit(0))

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.functions import rules
+from riskloom.operators.dedup import latest_per_key
 from riskloom.operators.layout import upsert
 
 
@@ -28,7 +29,9 @@ def read_files(
 
 
 def score(transactions: DataFrame, customers: DataFrame, limit: Column) -> DataFrame:
-    """The batch scoring on a stream; customers are a static table with one row each."""
+    """The batch scoring on a stream; customers are a static table, of which the newest profile counts as in the batch."""
+    if "updated_at" in customers.columns:
+        customers = latest_per_key(customers.select("customer_id", "risk_score", "updated_at"), "customer_id", ["updated_at"])
     risk = customers.select("customer_id", F.col("risk_score").alias("_risk"))
     amount, customer_risk = F.col("amount"), F.col("_risk")
     return transactions.join(risk, "customer_id", "left").select(

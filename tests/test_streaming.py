@@ -104,6 +104,16 @@ def test_scoring_joins_static_customers(spark, folders):
     assert found == {"t1": (1.0, ["HIGH_VALUE", "HIGH_RISK_CUSTOMER"]), "t2": (0.51, ["HIGH_RISK_CUSTOMER"]), "t3": (0.0, [])}
 
 
+def test_scoring_takes_the_newest_profile(spark, folders):
+    data = spark.createDataFrame([("t1", "c1", 100.0)], "transaction_id string, customer_id string, amount double")
+    data.write.parquet(folders["in"])
+    customers = spark.createDataFrame([("c1", 9.0, DAY0), ("c1", 1.0, at(5)), ("c1", 9.0, None)], "customer_id string, risk_score double, updated_at timestamp")
+    scored = speed.score(stream(spark, folders, data), customers, transaction_limit(aml_rules(spark)))
+    speed.write_files(scored, folders["out"], folders["checkpoint"]).awaitTermination()
+    found = read_table(spark, folders["out"], scored.schema).collect()
+    assert [(r.transaction_id, r.suspicion_score) for r in found] == [("t1", 0.01)]
+
+
 def test_refresh_runs_each_batch_once(spark, events, folders):
     latest = lambda: speed.refresh_table(
         stream(spark, folders, events).withColumn("bucket", key_bucket(["user_id"], 2)),
