@@ -1,16 +1,18 @@
 """Bytes covered by a string of `width` bytes that starts in two places or more, found by sorting sampled suffixes.
 
-A difference cover modulo 3 samples two of three suffixes, which for a corpus is more than its own size in rows. Here the
-sample is drawn by content instead (positions where a `gram` bytes long hash is 0 modulo `rate`), which keeps what the
-difference cover is for: equal strings have the same sampled suffixes at the same places. As no more than `width` bytes of
-a suffix are ever compared, names need no ranks: hashes of the compared bytes are names.
-
-1. Names of all sampled suffixes (their first `gram` bytes) are counted. A string with a sampled suffix whose name occurs
-   once is unique.
-2. Every other sampled suffix gets the name of its surroundings: from behind the sample before it to `width` bytes on. If
-   that name occurs twice, so do all strings whose first sampled suffix it is. This settles all but the edges of repeats.
-3. The remaining strings (edges, one example of each kind of surroundings they may equal, and strings without a sample) are
-   named in full, sorted by name, and neighbours are compared.
+A difference cover samples suffixes by their place, which for a corpus is more rows than may be held. Here the sample is
+drawn by content, which keeps what the cover is for: equal strings hold the same sampled suffix at the same place. Of the
+`width // 4` first suffixes of a string, its anchor is the one whose first bytes have the smallest hash (the leftmost of
+equal ones). Every string has an anchor within itself, and as no more than `width` bytes of a suffix are ever compared,
+hashes of the compared bytes are names.
+
+1. Names of all anchors (the bytes that lie in the string wherever it starts) are counted. A string whose anchor's name
+   occurs once is unique.
+2. Every other anchor gets the name of its surroundings: all bytes of the strings that it is the anchor of. If that name
+   occurs twice, so do all these strings. This settles all but the edges of repeats.
+3. The remaining strings (edges, and one example of each kind of surroundings they may equal) are named in full and sorted
+   by name over all tasks, and neighbours are compared; a name that many texts hold may span several tasks, whose first and
+   last names are compared afterwards.
 
 Equal texts are one text throughout, each task passes on a text once, and counts are summed in the tasks before any
 shuffle. Names are 64-bit hashes: among n names two differing strings agree with a probability of about n**2 / 2**65.
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,24 +37,53 @@ from riskloom.llm.tables import set_down, texts
 from riskloom.llm.wordarrays import prefix_hash, range_hash, slices
 from riskloom.operators.joins import own_shuffle
 
-GRAM, RATE = 64, 64
 PLACES = "name long, t long, start int, stop int, wanted boolean"
-
-
-def samples(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of one text: running sums, places of sampled suffixes, and their names."""
+CHUNK = 1 << 16  # starts that are looked at together
+
+
+class Anchors(NamedTuple):
+    """Of each anchor of a text, in order: its strings start at `lo` to `hi` - 1; `name` and `around` are hashes."""
+
+    lo: np.ndarray
+    hi: np.ndarray
+    name: np.ndarray
+    around: np.ndarray
+
+
+def smallest(values: np.ndarray, w: int) -> np.ndarray:
+    """The place of the smallest of each `w` neighbours, the leftmost of equal ones."""
+    n = len(values) - w + 1
+    low = np.uint64(2 * CHUNK - 1)
+    parts = []
+    for a in range(0, n, CHUNK):
+        part = values[a : min(a + CHUNK, n) + w - 1]
+        least = (part & ~low) | np.arange(len(part), dtype=np.uint64)
+        k = 1
+        while 2 * k <= w:
+            least = np.minimum(least[:-k], least[k:])
+            k *= 2
+        if k < w:
+            least = np.minimum(least[: k - w], least[w - k :])
+        parts.append((least & low).astype(np.int64) + a)
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+
+def anchors(data: np.ndarray, width: int) -> tuple[np.ndarray, Anchors]:
+    """Running sums of one text and the anchors of its strings of `width` bytes."""
+    w = max(1, width // 4)
+    if w >= CHUNK:
+        raise ValueError(f"width must be below {4 * CHUNK}")
     sums = prefix_hash(data)
-    start = np.arange(max(0, len(data) - GRAM + 1))
-    name = range_hash(sums, start, start + GRAM)
-    at = np.flatnonzero(name % np.uint64(RATE) == 0)
-    return sums, at, name[at]
-
-
-def surroundings(sums: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
-    """A name for the bytes of all strings whose first sampled suffix lies at each place."""
-    before = np.concatenate([[0], at[:-1] + 1]) if len(at) else at
-    end = np.minimum(at + width, len(sums) - 1)
-    return range_hash(sums, np.maximum(before, at - (width - GRAM)), end) ^ (at - before).astype(np.uint64)
+    gram = width - w + 1
+    begin = np.arange(max(0, len(data) - gram + 1))
+    value = range_hash(sums, begin, begin + gram)
+    at = smallest(value, w)
+    turn = np.flatnonzero(np.diff(at)) + 1
+    lo = np.concatenate([[0], turn]) if len(at) else at
+    hi = np.concatenate([turn, [len(at)]]) if len(at) else at
+    at = at[lo]
+    around = range_hash(sums, lo, hi - 1 + width) ^ (at - lo).astype(np.uint64)
+    return sums, Anchors(lo, hi, value[at], around)
 
 
 def once(docs: DataFrame) -> DataFrame:
@@ -77,18 +109,20 @@ def each_text(batches) -> Iterator[tuple]:
 
 
 def sampled(docs: DataFrame, width: int) -> DataFrame:
-    """(t, place, name, around) of every sampled suffix; `place` counts the text's samples."""
+    """(t, place, name, around) of every anchor; `place` counts the anchors of a text."""
 
     def sample(batches) -> Iterator[pa.RecordBatch]:
         names = ["t", "place", "name", "around"]
         parts: list[tuple] = []
+        held = 0
         for t, data in each_text(batches):
-            sums, at, name = samples(data)
-            around = surroundings(sums, at, width)
-            parts.append((np.full(len(at), t, np.int64), np.arange(len(at), dtype=np.int32), name.view(np.int64), around.view(np.int64)))
-            if sum(len(p[0]) for p in parts) > 50_000:
+            _, own = anchors(data, width)
+            n = len(own.lo)
+            parts.append((np.full(n, t, np.int64), np.arange(n, dtype=np.int32), own.name.view(np.int64), own.around.view(np.int64)))
+            held += n
+            if held > 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names)
-                parts = []
+                parts, held = [], 0
         if parts:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names)
 
@@ -96,11 +130,11 @@ def sampled(docs: DataFrame, width: int) -> DataFrame:
 
 
 def settled(found: DataFrame) -> DataFrame:
-    """For each text the samples whose name occurs elsewhere: (t, list of (place, twice, shown)).
+    """For each text the anchors whose name occurs elsewhere: (t, list of (place, twice, shown)).
 
     `twice`: its surroundings occur elsewhere too; `shown`: it stands for its kind of surroundings among several kinds.
     """
-    # Names that occur once go first, by narrow rows: few samples are left for the wider steps.
+    # Names that occur once go first, by narrow rows: few anchors are left for the wider steps.
     again = found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
     found = set_down(found.join(own_shuffle(again, "name"), "name", "left_semi"), "shared-samples")
     kinds = found.groupBy("name", "around").agg(
@@ -125,70 +159,75 @@ def undecided(docs: DataFrame, marks: DataFrame, width: int) -> DataFrame:
                 if t == last:
                     continue
                 last = t
-                data = np.frombuffer(text.encode(), np.uint8)
-                n = len(data) - width + 1
-                if n <= 0:
-                    continue
-                sums, at, _ = samples(data)
-                state = np.zeros(len(at) + 1, np.int8)  # 0: unique name, 1: to be decided, 2: surroundings occur twice
-                shown = np.zeros(len(at) + 1, bool)
-                for m in some or []:
-                    state[m["place"]], shown[m["place"]] = 1 + m["twice"], m["shown"]
-                start = np.arange(n)
-                first = np.searchsorted(at, start)  # the first sample at or after a start
-                inside = np.append(at, len(data) + width)[first] <= start + width - GRAM
-                own = np.where(inside, state[first], 1)
-                sure = inside & (own == 2)
-                # A string that holds a sample with a unique name is unique.
-                unique = np.concatenate([[0], np.cumsum(state[:-1] == 0)])
-                stop = np.searchsorted(at, start + width - GRAM, side="right")
-                possible = unique[np.maximum(stop, first)] == unique[first]
-                sure &= possible
-                ask = possible & ~sure & (own == 1)
-                show = sure & shown[first]
-                edge = np.diff(np.concatenate([[0], sure.astype(np.int8), [0]]))
-                begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-                named = np.flatnonzero(ask | show)
+                sums, own = anchors(np.frombuffer(text.encode(), np.uint8), width)
+                at = np.array([m["place"] for m in some])
+                twice, shown = np.array([m["twice"] for m in some]), np.array([m["shown"] for m in some])
+                lo, hi = own.lo[at], own.hi[at]
+                begin, end = lo[twice], hi[twice]
+                if len(begin):
+                    apart = begin[1:] != end[:-1]
+                    begin, end = begin[np.append(True, apart)], end[np.append(apart, True)]
+                tell = ~twice | shown
+                size = (hi - lo)[tell]
+                named = np.repeat(lo[tell] - np.cumsum(size) + size, size) + np.arange(size.sum())
                 value = range_hash(sums, named, named + width).view(np.int64)
                 total = len(begin) + len(named)
-                if total:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.concatenate([np.zeros(len(begin), np.int64), value]), mask=np.arange(total) < len(begin)),
-                            pa.array(np.full(total, t, np.int64)),
-                            pa.array(np.concatenate([begin, named]).astype(np.int32)),
-                            pa.array(np.concatenate([end, named + 1]).astype(np.int32)),
-                            pa.array(np.concatenate([np.zeros(len(begin), bool), ask[named]])),
-                        ],
-                        names,
-                    )
-
-    joined = docs.join(own_shuffle(marks, "t"), "t", "left")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([np.zeros(len(begin), np.int64), value]), mask=np.arange(total) < len(begin)),
+                        pa.array(np.full(total, t, np.int64)),
+                        pa.array(np.concatenate([begin, named]).astype(np.int32)),
+                        pa.array(np.concatenate([end, named + 1]).astype(np.int32)),
+                        pa.array(np.concatenate([np.zeros(len(begin), bool), np.repeat(~twice[tell], size)])),
+                    ],
+                    names,
+                )
+
+    # A text none of whose anchors is shared holds no repeated string.
+    joined = docs.join(own_shuffle(marks, "t"), "t")
     return joined.repartition("t").sortWithinPartitions("t").mapInArrow(place, PLACES)
 
 
+HITS = "name long, t long, start int, stop int, wanted boolean, equal boolean, edge boolean"
+
+
 def neighbours(places: DataFrame) -> DataFrame:
-    """Of names in sorted order, those equal to a neighbour and wanted: (t, start, stop)."""
+    """Of names in sorted order, those equal to a neighbour and wanted: (t, start, stop).
+
+    The order goes on by text and start, so that one name may fill several tasks; the first and last row of every task are
+    compared with those of the others.
+    """
+    names = [x.split()[0] for x in HITS.split(", ")]
+
+    def rows_of(rows: list[np.ndarray], equal: np.ndarray, edge: np.ndarray) -> pa.RecordBatch:
+        some = edge | (equal & rows[4])
+        return pa.RecordBatch.from_arrays([pa.array(c[some]) for c in (*rows, equal, edge)], names)
 
     def compare(batches) -> Iterator[pa.RecordBatch]:
-        held = None  # the last row, until its right neighbour is known
+        held = None  # the last row, until its right neighbour is known; whether it equals its left one; whether it is the first
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = [np.asarray(batch.column(c)) for c in ("name", "t", "start", "stop", "wanted")]
-            if held is not None:
+            rows = [np.asarray(batch.column(c)) for c in names[:5]]
+            begins = held is None
+            if not begins:
                 rows = [np.concatenate([h, r]) for h, r in zip(held[0], rows, strict=True)]
-            same = rows[0][1:] == rows[0][:-1]
-            left = np.concatenate([[held[1] if held is not None else False], same])
-            right = np.concatenate([same, [False]])
-            hit = (left | right) & rows[4]
-            hit[-1] = False
-            yield pa.RecordBatch.from_arrays([pa.array(r[hit]) for r in rows[1:4]], ["t", "start", "stop"])
-            held = ([r[-1:] for r in rows], bool(left[-1]))
-        if held is not None and held[1] and held[0][4][0]:
-            yield pa.RecordBatch.from_arrays([pa.array(r) for r in held[0][1:4]], ["t", "start", "stop"])
-
-    return places.repartition("name").sortWithinPartitions("name").mapInArrow(compare, "t long, start int, stop int")
+            # A text that two tasks passed on is no second place.
+            same = (rows[0][1:] == rows[0][:-1]) & ((rows[1][1:] != rows[1][:-1]) | (rows[2][1:] != rows[2][:-1]))
+            equal = np.append(False, same) | np.append(same, False)
+            edge = np.zeros(len(equal), bool)
+            equal[0] |= not begins and held[1]
+            edge[0] = begins or held[2]
+            yield rows_of([r[:-1] for r in rows], equal[:-1], edge[:-1])
+            held = ([r[-1:] for r in rows], bool(equal[-1]), bool(edge[-1]))
+        if held is not None:
+            yield rows_of(held[0], np.array([held[1]]), np.array([True]))
+
+    compared = set_down(places.repartitionByRange("name", "t", "start").sortWithinPartitions("name", "t", "start").mapInArrow(compare, HITS), "hits")
+    edges = compared.where("edge")
+    several = edges.groupBy("name").agg(F.countDistinct("t", "start").alias("n")).where("n > 1").select("name")
+    at_edges = edges.where("wanted and not equal").join(own_shuffle(several, "name"), "name", "left_semi")
+    return compared.where("wanted and equal").select("t", "start", "stop").unionByName(at_edges.select("t", "start", "stop"))
 
 
 def cut(data: bytes, ranges: list[tuple[int, int]], width: int) -> tuple[int, int, bytes]:

@@ -65,3 +65,40 @@ def test_sample(spark, sample):
 
 def test_empty_table(spark, make_docs):
     assert repeats.without_repeats(make_docs([])).count() == 0
+
+
+def test_smallest_of_neighbours():
+    rng = np.random.default_rng(5)
+    for n, w in ((0, 3), (2, 3), (3, 3), (500, 1), (500, 7), (500, 100), (repeats.CHUNK + 300, 100)):
+        values = rng.integers(0, 9, n).astype(np.uint64) << np.uint64(40)
+        want = [a + int(np.argmin(values[a : a + w])) for a in range(n - w + 1)]
+        assert repeats.smallest(values, w).tolist() == want
+
+
+def test_narrow_widths(spark, make_docs):
+    rows = list(enumerate(passages(3, 40)))
+    for width in (1, 3, 40):
+        assert found(repeats.without_repeats(make_docs(rows), width)) == brute(rows, width)
+
+
+def test_text_longer_than_a_chunk(spark, make_docs):
+    rng = random.Random(8)
+    long = "".join(rng.choices("abcdefgh ", k=repeats.CHUNK + 5000))
+    edge = repeats.CHUNK
+    rows = [(1, long), (2, "x" + long[edge - 700 : edge + 700] + "y"), (3, long[edge - 200 : edge + 200]), (4, long[edge - 60 : edge + 339])]
+    assert found(repeats.without_repeats(make_docs(rows))) == brute(rows)
+
+
+def test_passage_in_every_text_fills_several_tasks(spark, make_docs):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghij", k=7))
+    shared = " ".join(word() for _ in range(55))
+    texts = [" ".join(word() for _ in range(60)) + shared + " ".join(word() for _ in range(60)) for _ in range(300)]
+    rows = list(enumerate(texts))
+    assert found(repeats.without_repeats(make_docs(rows))) == brute(rows)
+    # One name, many rows: the order goes on by text, so no task gets them all, and rows at the edges of tasks count.
+    hot = spark.range(20_000).selectExpr("if(id % 10 = 0, id, 7L) as name", "id as t", "0 as start", "1 as stop", "true as wanted")
+    spread = hot.repartitionByRange(8, "name", "t", "start").where("name = 7").groupBy(repeats.F.spark_partition_id()).count()
+    assert spread.agg({"count": "max"}).first()[0] < 5000
+    assert repeats.neighbours(hot).count() == 18_000
+    assert repeats.neighbours(hot.where("t = 1").unionAll(hot.where("t = 1"))).count() == 0
