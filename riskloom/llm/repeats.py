@@ -38,7 +38,7 @@ from riskloom.llm.wordarrays import prefix_hash, range_hash, slices
 from riskloom.operators.joins import own_shuffle
 
 PLACES = "name long, t long, start int, stop int, wanted boolean"
-CHUNK = 1 << 16  # starts that are looked at together
+CHUNK = 1 << 16  # starts that are looked at together; a power of two
 
 
 class Anchors(NamedTuple):
@@ -51,21 +51,16 @@ class Anchors(NamedTuple):
 
 
 def smallest(values: np.ndarray, w: int) -> np.ndarray:
-    """The place of the smallest of each `w` neighbours, the leftmost of equal ones."""
-    n = len(values) - w + 1
+    """The place of the smallest of each `w` neighbours, the leftmost of equal ones; at most 2 * CHUNK values."""
     low = np.uint64(2 * CHUNK - 1)
-    parts = []
-    for a in range(0, n, CHUNK):
-        part = values[a : min(a + CHUNK, n) + w - 1]
-        least = (part & ~low) | np.arange(len(part), dtype=np.uint64)
-        k = 1
-        while 2 * k <= w:
-            least = np.minimum(least[:-k], least[k:])
-            k *= 2
-        if k < w:
-            least = np.minimum(least[: k - w], least[w - k :])
-        parts.append((least & low).astype(np.int64) + a)
-    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    least = (values & ~low) | np.arange(len(values), dtype=np.uint64)
+    k = 1
+    while 2 * k <= w:
+        least = np.minimum(least[:-k], least[k:])
+        k *= 2
+    if k < w:
+        least = np.minimum(least[: k - w], least[w - k :])
+    return (least & low).astype(np.int64)
 
 
 def anchors(data: np.ndarray, width: int) -> tuple[np.ndarray, Anchors]:
@@ -74,32 +69,40 @@ def anchors(data: np.ndarray, width: int) -> tuple[np.ndarray, Anchors]:
     if w >= CHUNK:
         raise ValueError(f"width must be below {4 * CHUNK}")
     sums = prefix_hash(data)
-    gram = width - w + 1
-    begin = np.arange(max(0, len(data) - gram + 1))
-    value = range_hash(sums, begin, begin + gram)
-    at = smallest(value, w)
-    turn = np.flatnonzero(np.diff(at)) + 1
-    lo = np.concatenate([[0], turn]) if len(at) else at
-    hi = np.concatenate([turn, [len(at)]]) if len(at) else at
-    at = at[lo]
-    around = range_hash(sums, lo, hi - 1 + width) ^ (at - lo).astype(np.uint64)
-    return sums, Anchors(lo, hi, value[at], around)
+    n, gram = len(data) - width + 1, width - w + 1
+    los, ats, values = [], [], []
+    for a in range(0, n, CHUNK):
+        begin = np.arange(a, min(a + CHUNK, n) + w - 1)
+        value = range_hash(sums, begin, begin + gram)
+        at = smallest(value, w)
+        turn = np.append(0, np.flatnonzero(np.diff(at)) + 1)
+        if ats and ats[-1][-1] == at[0] + a:  # the anchor of the chunk before goes on
+            turn = turn[1:]
+        los.append(turn + a)
+        ats.append(at[turn] + a)
+        values.append(value[at[turn]])
+    if not los:
+        none = np.zeros(0, np.int64)
+        return sums, Anchors(none, none, none.view(np.uint64), none.view(np.uint64))
+    lo, at = np.concatenate(los), np.concatenate(ats)
+    hi = np.append(lo[1:], n)
+    return sums, Anchors(lo, hi, np.concatenate(values), range_hash(sums, lo, hi - 1 + width) ^ (at - lo).astype(np.uint64))
+
+
+def fresh(batches) -> Iterator[pa.RecordBatch]:
+    """The rows whose text this task meets for the first time."""
+    seen: set[int] = set()
+    for batch in batches:
+        first = []
+        for t in batch.column("t").to_pylist():
+            first.append(t not in seen)
+            seen.add(t)
+        yield batch.filter(pa.array(first, pa.bool_()))
 
 
 def once(docs: DataFrame) -> DataFrame:
     """(t, text): every text once from each task; t is its hash."""
-    rows = docs.select(F.xxhash64("text").alias("t"), "text")
-
-    def first(batches) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            fresh = []
-            for t in batch.column("t").to_pylist():
-                fresh.append(t not in seen)
-                seen.add(t)
-            yield batch.filter(pa.array(fresh))
-
-    return rows.mapInArrow(first, "t long, text string")
+    return docs.mapInArrow(fresh, "t long, text string")
 
 
 def each_text(batches) -> Iterator[tuple]:
@@ -115,7 +118,7 @@ def sampled(docs: DataFrame, width: int) -> DataFrame:
         names = ["t", "place", "name", "around"]
         parts: list[tuple] = []
         held = 0
-        for t, data in each_text(batches):
+        for t, data in each_text(fresh(batches)):
             _, own = anchors(data, width)
             n = len(own.lo)
             parts.append((np.full(n, t, np.int64), np.arange(n, dtype=np.int32), own.name.view(np.int64), own.around.view(np.int64)))
@@ -249,12 +252,12 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 def without_repeats(docs: DataFrame, width: int = 400) -> DataFrame:
     """One row for each document: how many bytes it has, how many go, in how many runs, and the digest of the rest."""
     docs = texts(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    distinct = once(docs.where(F.octet_length("text") >= width))
-    marks = settled(set_down(sampled(distinct, width), "samples"))
-    places = set_down(undecided(distinct, marks, width), "places")
+    long = docs.where(F.octet_length("text") >= width).select(F.xxhash64("text").alias("t"), "text")
+    marks = settled(set_down(sampled(long, width), "samples"))
+    places = set_down(undecided(once(long), marks, width), "places")
     hits = neighbours(places.where("name is not null")).unionByName(places.where("name is null").select("t", "start", "stop"))
     per_text = hits.groupBy("t").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
-    copies = docs.where(F.octet_length("text") >= width).groupBy(F.xxhash64("text").alias("t")).agg(F.count(F.lit(1)).alias("n"))
+    copies = long.groupBy("t").agg(F.count(F.lit(1)).alias("n"))
     found = per_text.join(copies.where("n > 1").select("t", F.lit(True).alias("copied")), "t", "full")
 
     def finish(batches) -> Iterator[pa.RecordBatch]:

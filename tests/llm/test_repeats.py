@@ -69,12 +69,20 @@ def test_empty_table(spark, make_docs):
 
 def test_smallest_of_neighbours():
     rng = np.random.default_rng(5)
-    for n, w in ((0, 3), (2, 3), (3, 3), (500, 1), (500, 7), (500, 100), (repeats.CHUNK + 300, 100)):
+    for n, w in ((3, 3), (500, 1), (500, 7), (500, 100)):
         values = rng.integers(0, 9, n).astype(np.uint64) << np.uint64(40)
         want = [a + int(np.argmin(values[a : a + w])) for a in range(n - w + 1)]
         assert repeats.smallest(values, w).tolist() == want
 
 
+def test_anchors_go_on_over_chunks(monkeypatch):
+    data = np.frombuffer(random.Random(4).randbytes(3000) + b"z" * 900, np.uint8)
+    whole = repeats.anchors(data, 80)[1]
+    for chunk in (64, 512, 1024):
+        monkeypatch.setattr(repeats, "CHUNK", chunk)
+        assert [c.tolist() for c in repeats.anchors(data, 80)[1]] == [c.tolist() for c in whole]
+
+
 def test_narrow_widths(spark, make_docs):
     rows = list(enumerate(passages(3, 40)))
     for width in (1, 3, 40):
