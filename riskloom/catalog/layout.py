@@ -120,8 +120,9 @@ def compact_roundtrip(spark, sf):
 def bucketed_join(spark, sf):
     lines = v.read(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "order_key")
     orders = v.read(spark, sf, "orders").withColumnRenamed("o_orderkey", "order_key")
+    buckets = layout.bucket_count(lines, orders)
     tables = [
-        layout.write_bucketed(df, f"{name}_{uuid.uuid4().hex}", scratch_path(spark, name), 16, "order_key")
+        layout.write_bucketed(df, f"{name}_{uuid.uuid4().hex}", scratch_path(spark, name), buckets, "order_key")
         for name, df in (("lines_by_order", lines), ("orders_by_key", orders))
     ]
     return (

@@ -142,14 +142,21 @@ def compact(spark: SparkSession, path: str, into: str, partition_by: Sequence[st
     return spark.read.schema(source.schema).parquet(into)
 
 
+def bucket_count(*tables: DataFrame, target: int = 128 << 20, least: int = 8) -> int:
+    """Buckets for tables that are to join: the largest one's estimated bytes over `target`, as a power of two."""
+    size = max(int(str(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for t in tables)
+    return max(least, 1 << (-(-size // target) - 1).bit_length())
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, *keys: str) -> DataFrame:
     """A table bucketed and sorted by its join key; two of them join without a shuffle.
 
+    Rows are dealt by the hash that buckets follow, so a bucket is one file.
     A bucket is read by one task, so a key that holds a large share of the rows
     belongs into a plain table, where adaptive execution can split it.
     """
     (
-        rebalance(df, *keys)
+        df.repartition(buckets, *keys)
         .write.mode("overwrite")
         .bucketBy(buckets, *keys)
         .sortBy(*keys)

@@ -124,10 +124,18 @@ def test_bucketed_join_has_no_exchange(spark, tmp_path):
         joined = a.join(b, "id", "left")
         assert "Exchange" not in plan(joined)
         assert joined.count() == 500
+        assert len(a.inputFiles()) == len(b.inputFiles()) == 4  # a bucket is one file
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_bucket_count_follows_bytes(spark):
+    df = spark.range(1000)  # 8 bytes a row by Spark's estimate
+    assert layout.bucket_count(df) == 8
+    assert layout.bucket_count(df, spark.range(10), target=100) == 128
+    assert layout.bucket_count(df, target=1000, least=2) == 8
+
+
 def test_clustered_files_have_narrow_ranges(spark, tmp_path):
     """One value holds half of the rows; it is still cut into several files."""
     df = spark.range(20000).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 7 + 2).alias("k"), "id")
