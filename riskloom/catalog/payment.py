@@ -106,6 +106,11 @@ def policy_allowed(spark, sf):
     return policy_rows(v.transactions(spark, sf), _policy(spark, sf), "location_id", blocked=False)
 
 
+def _star(spark, sf, every_member=False):
+    tables = {"user": v.users(spark, sf), "merchant": v.merchants(spark, sf), "card": v.cards(spark, sf)}
+    return payment.star_schema(index(spark, sf), enriched(spark, sf), tables, every_member)
+
+
 def _sk(column: str) -> str:
     return f"md5(COALESCE('=' || CAST({column} AS VARCHAR), '-'))"
 
@@ -119,14 +124,40 @@ def _sk(column: str) -> str:
     FROM idx
 """, "idx"))
 def star_fact(spark, sf):
-    return payment.star_schema(index(spark, sf))["fact_payment"]
+    return _star(spark, sf)["fact_payment"]
 
 
 @query(v.sql_with(f"""
     SELECT DISTINCT {_sk('merchant_id')} AS sk_merchant, merchant_id, merchant_name, merchant_category FROM idx
 """, "idx"))
 def star_dim_merchant(spark, sf):
-    return payment.star_schema(index(spark, sf))["dim_merchant"]
+    return _star(spark, sf)["dim_merchant"]
+
+
+@query(f"""
+    SELECT {_sk('s_suppkey')} AS sk_merchant, s_suppkey AS merchant_id, s_name AS merchant_name,
+           'CATEGORY_' || s_nationkey AS merchant_category FROM supplier
+    UNION ALL SELECT {_sk('NULL')}, NULL, NULL, NULL
+""")
+def star_merchant_members(spark, sf):
+    """Every merchant and the unknown one."""
+    return _star(spark, sf, every_member=True)["dim_merchant"]
+
+
+@query(v.sql_with(f"""
+    SELECT DISTINCT 'location' AS dimension, {_sk('location_id')} AS sk, country, norm_country AS attribute FROM idx
+    UNION ALL
+    SELECT DISTINCT 'policy', md5('=' || CAST(is_allowed AS VARCHAR) || chr(31) || COALESCE('=' || country, '-')), country,
+           CAST(is_allowed AS VARCHAR) FROM idx
+    UNION ALL SELECT DISTINCT 'card', {_sk('card_id')}, NULL, masked_card_number FROM idx
+""", "idx"))
+def star_dims_narrow(spark, sf):
+    """Dimensions that follow from the transactions before the lookups, and one that is looked up."""
+    star, none = _star(spark, sf), F.lit(None).cast("string").alias("country")
+    place = star["dim_location"].select(F.lit("location").alias("dimension"), F.col("sk_location").alias("sk"), "country", F.col("norm_country").alias("attribute"))
+    policy = star["dim_policy"].select(F.lit("policy"), "sk_policy", "country", F.col("is_allowed").cast("string"))
+    card = star["dim_card"].select(F.lit("card"), "sk_card", none, "masked_card_number")
+    return place.union(policy).union(card)
 
 
 @query(v.sql_with("""
@@ -135,7 +166,7 @@ def star_dim_merchant(spark, sf):
 """, "idx"))
 def dim_fact_star(spark, sf):
     """Facts looked up in two dimensions by surrogate key."""
-    star = payment.star_schema(index(spark, sf))
+    star = _star(spark, sf)
     return (
         star["fact_payment"]
         .join(star["dim_merchant"], "sk_merchant", "left")

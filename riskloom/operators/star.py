@@ -30,6 +30,25 @@ def dimension(rows: DataFrame, name: str, natural: Sequence[str], attributes: Se
     return one.select(key_of(natural).alias(f"sk_{name}"), *natural, *attributes)
 
 
+def dimension_from(
+    table: DataFrame, name: str, natural: Sequence[str], attributes: Sequence[str] = (), used: DataFrame | None = None
+) -> DataFrame:
+    """The dimension from its own table, so that no join of the facts is worked out for it.
+
+    With ``used``, rows that hold the natural key, it has the members that occur there, and a member that the table lacks
+    has null attributes. Without, it has every member of the table and one unknown member with a null key, to which facts
+    without a key refer; facts are not read.
+    """
+    known = dimension(table.dropna(subset=list(natural)), name, natural, attributes)
+    if used is not None:
+        members = used.select(*natural).distinct().join(known.drop(f"sk_{name}"), list(natural), "left")
+    else:
+        fields = [f for f in known.schema.fields if f.name != f"sk_{name}"]
+        unknown = table.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+        members = known.drop(f"sk_{name}").unionByName(unknown)
+    return members.select(key_of(natural).alias(f"sk_{name}"), *natural, *attributes)
+
+
 def fact(rows: DataFrame, keys: Mapping[str, Sequence[str]], measures: Sequence[str]) -> DataFrame:
     """Measures with one surrogate key for each dimension, worked out without a join."""
     return rows.select(*[key_of(natural).alias(f"sk_{name}") for name, natural in keys.items()], *measures)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import rules
 from riskloom.operators.dedup import latest_per_key
 from riskloom.operators.joins import Dimension, left_join, small_side, star_join
-from riskloom.operators.star import dimension, fact
+from riskloom.operators.star import dimension, dimension_from, fact
 
 
 def enrich(
@@ -89,8 +89,23 @@ DIMENSIONS = {
 MEASURES = ("amount", "fraud_score", "risk_flag", "transaction_date")
 
 
-def star_schema(index: DataFrame) -> dict[str, DataFrame]:
-    """``fact_payment`` and the dimensions ``dim_<name>`` it refers to."""
-    tables = {f"dim_{name}": dimension(index, name, *parts) for name, parts in DIMENSIONS.items()}
-    tables["fact_payment"] = fact(index, {name: parts[0] for name, parts in DIMENSIONS.items()}, MEASURES)
-    return tables
+def star_schema(
+    index: DataFrame, enriched: DataFrame | None = None, tables: Mapping[str, DataFrame] | None = None, every_member: bool = False
+) -> dict[str, DataFrame]:
+    """``fact_payment`` and the dimensions ``dim_<name>`` it refers to.
+
+    From ``index`` alone each dimension works the whole index out again. ``enriched``, the transactions before the joins
+    with users, merchants, cards and signals, gives the dimensions whose columns it has; ``tables`` (name of the
+    dimension: its table) gives those that are looked up. The members stay those that occur; ``every_member``
+    takes all of ``tables`` and an unknown one instead, without reading transactions.
+    """
+    made = {}
+    for name, (natural, attributes) in DIMENSIONS.items():
+        if tables and name in tables:
+            used = None if every_member else index if enriched is None else enriched
+            made[f"dim_{name}"] = dimension_from(tables[name], name, natural, attributes, used)
+        else:
+            narrow = enriched is not None and {*natural, *attributes} <= set(enriched.columns)
+            made[f"dim_{name}"] = dimension(enriched if narrow else index, name, natural, attributes)
+    made["fact_payment"] = fact(index, {name: parts[0] for name, parts in DIMENSIONS.items()}, MEASURES)
+    return made

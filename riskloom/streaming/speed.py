@@ -42,6 +42,12 @@ def score(transactions: DataFrame, customers: DataFrame, limit: Column) -> DataF
     )
 
 
+def newest_signals(signals: DataFrame, path: str) -> DataFrame:
+    """The newest signal of each transaction, written once, so that a stream that joins them does not reduce them in every batch."""
+    latest_per_key(signals, "transaction_id", ["created_date", "ml_signal_id"]).write.parquet(path)
+    return signals.sparkSession.read.schema(signals.schema).parquet(path)
+
+
 def with_signals(
     transactions: DataFrame,
     signals: DataFrame,

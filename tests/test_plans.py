@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from riskloom.catalog import views as v
 from riskloom.catalog.aml import _tx
+from riskloom.catalog.payment import _star as catalog_star
 from riskloom.catalog.payment import index
 from riskloom.operators import analytics
+from riskloom.operators.star import dimension_from
 from riskloom.plans import aml, marketplace, payment
 from riskloom.sources.tables import aml_rules
 
@@ -162,3 +164,29 @@ def test_hot_keys_are_split_in_every_lookup(spark, tiny_skew_limits, hot_transac
     for name, df in lookups.items():
         assert "skew=true" in final_plan(df), name
         assert df.count() == 60000, name
+
+
+def test_dimensions_do_not_work_the_index_out_again(spark, large_tables):
+    star = catalog_star(spark, SMALL)
+    merchant = plan(star["dim_merchant"])
+    assert "c_name" not in merchant and "l_discount" not in merchant and "p_partkey" not in merchant
+    assert "lineitem" not in plan(catalog_star(spark, SMALL, every_member=True)["dim_merchant"])
+    assert "l_discount" not in plan(star["dim_location"]) and "s_name" not in plan(star["dim_policy"])
+
+
+def test_dimensions_from_tables_equal_those_from_the_index(spark):
+    whole, narrow = payment.star_schema(index(spark, SMALL)), catalog_star(spark, SMALL)
+    assert set(whole) == set(narrow)
+    for name, table in whole.items():
+        assert table.columns == narrow[name].columns
+        assert table.exceptAll(narrow[name]).count() == 0 and narrow[name].exceptAll(table).count() == 0, name
+
+
+def test_unknown_and_missing_members(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "z")], "k int, a string")
+    used = spark.createDataFrame([(2,), (2,), (3,), (None,)], "k int")
+    every = {(r.k, r.a) for r in dimension_from(rows, "k", ["k"], ["a"]).collect()}
+    assert every == {(1, "a"), (2, "c"), (None, None)}
+    occurring = dimension_from(rows, "k", ["k"], ["a"], used)
+    assert {(r.k, r.a) for r in occurring.collect()} == {(2, "c"), (3, None), (None, None)}
+    assert occurring.select("sk_k").distinct().count() == occurring.count() == 3
