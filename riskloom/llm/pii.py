@@ -4,12 +4,17 @@ Everything here is DataFrame functions and Spark's own gradient-boosted trees; n
 
 1. Four fixed formats (email, ip, card, phone) are found by regular expressions. Positions follow from the lengths of the
    pieces between the matches. What passes its format's check is a base span and always stays.
-2. Further generators propose what the formats miss: runs of neighbouring groups inside a long run of digits, phone numbers
-   without a plus, written-out addresses, and IPv6. Their spans may overlap each other and the base.
-3. Trees are trained on the matches of the formats, passed or failed, by features of format (digits, check digit, parts,
-   separators) and context (neighbouring characters, words before). Equal feature rows are one weighted row.
-4. On documents left out of the training (by hash of the row), each kind's threshold is the lowest score from which on
-   `precision` of the spans are right. Proposals above it that touch no base span of their kind are added, best first.
+2. Further generators propose what the formats miss: neighbouring groups of 13 to 19 digits with a right check digit in any
+   run that failed, phone numbers without a plus, written-out mail addresses, IPv6 and dotted addresses with brackets. Their
+   spans may overlap each other and the base.
+3. Trees are trained on labels that their features don't hold: passed matches of the formats against look-alikes (groups of
+   digits with a wrong check digit, dotted numbers out of range or with another number of parts, bare numbers, dates, `a@b`).
+   The features are the leading digits, grouping, separators, neighbouring characters and words before; neither the
+   check digit nor a length is among them. Where nearly all look-alikes of a place pass the check, what was proposed there is
+   personal data; where one in ten does, it passes by chance. Equal feature rows are one weighted row.
+4. On documents left out of the training (by hash of the text), each kind's threshold is the lowest score from which on
+   `precision` of the spans are right; a kind with few left-out spans takes the threshold of all kinds together. Proposals
+   above it that touch no base span of their kind are added, best first.
 
 Defined cases: a null or empty text has no spans; repeated rows and null ids are reported row by row; without passed and
 failed matches to learn from nothing is added; an empty table gives an empty result; other columns are ignored.
@@ -40,11 +45,21 @@ LEAST = {"email": 1, "ip": 1, "card": 13, "phone": 1}
 GENERATORS = [
     ("email", " ", r"(?i)\b[a-z0-9._%+-]{2,64}\x20?(?:\(at\)|\[at\]|\{at\})\x20?[a-z0-9-]{2,64}\x20?(?:\(dot\)|\[dot\]|\{dot\}|\.)\x20?[a-z]{2,12}\b"),
     ("ip", ":", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"),
-    ("phone", None, r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])"),
+    ("ip", "[", r"(?<![0-9])[0-9]{1,3}(?:\[\.\][0-9]{1,3}){3}(?![0-9])"),
+    ("phone", None, r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])"),
 ]
-WORDS = r"(?i)(card|visa|iban|account|phone|tel|call|mobile|mail|contact|ip|address|host|server)"
+# Look-alikes: spans that are surely not of the kind.
+OTHERS = [
+    ("email", "@", r"(?<![A-Za-z0-9._%+@-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,64}(?![A-Za-z0-9.-])"),
+    ("ip", ".", r"(?<![0-9.])[0-9]{1,9}(?:\.[0-9]{1,9}){2}(?:(?:\.[0-9]{1,9}){2,6})?+(?!\.?[0-9])"),
+    ("phone", None, r"(?<![0-9+.-])(?:[0-9]{7,12}|[0-9]{1,4}([./-])[0-9]{1,2}\1[0-9]{1,4})(?![0-9.-])"),
+]
+WORDS = {
+    "email": r"(?i)(mail|contact|write|reach|send|\bat\b)", "ip": r"(?i)(\bip\b|address|host|server|client|from|node)",
+    "card": r"(?i)(card|visa|amex|master|credit|debit|paid|charge|account)", "phone": r"(?i)(phone|tel|call|mobile|cell|fax|dial)",
+}
 FOUND = "array<struct<start: long, end: long, value: string, before: string, after: string>>"
-FEATURES = ["kind_number", "digits", "chars", "check", "separators", "parts", "longest", "largest", "before_class", "after_class", "context"]
+FEATURES = ["kind_number", "lead", "grouped", "separators", "letters", "before_class", "after_class", *[f"near_{k}" for k in KINDS]]
 
 
 def size(column: Column) -> Column:
@@ -100,7 +115,7 @@ def passes(kind: str, value: Column) -> Column:
 
 
 def groups_of(run: Column) -> Column:
-    """Proposals inside a long run of digits: up to five neighbouring groups with the digits of a card."""
+    """Up to five neighbouring groups of a run of digits that together have the digits of a card."""
     parts = matches(run["value"], "[0-9]+")
 
     def from_group(_, i: Column) -> Column:
@@ -110,7 +125,7 @@ def groups_of(run: Column) -> Column:
             value = F.substring(run["value"], (first["start"] + 1).cast("int"), (last["end"] - first["start"]).cast("int"))
             return F.struct(
                 (run["start"] + first["start"]).alias("start"), (run["start"] + last["end"]).alias("end"), value.alias("value"),
-                F.when(i == 0, run["before"]).otherwise(first["before"]).alias("before"),
+                F.when(i == 0, run["before"]).otherwise(F.concat(run["before"], first["before"])).alias("before"),
                 F.when(i + n == F.size(parts), run["after"]).otherwise(last["after"]).alias("after"),
             )
 
@@ -130,16 +145,22 @@ def tagged(found: Column, kind: str, label: int | None) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, and for each kind an array of base spans; `spans`: all candidates with label 1, 0 or null)."""
+    """(row, doc_id, left_out, spans): all candidates of a document, with label 1 (base spans), 0 or null (proposals)."""
     text = F.coalesce("text", F.lit(""))
     rows = texts(docs).select("doc_id", text.alias("text"))
     rows = rows.select("doc_id", "text", *[matches(F.col("text"), FORMATS[k], NEEDS[k], LEAST[k]).alias(f"all_{k}") for k in KINDS])
     good = {k: _split(k, True) for k in KINDS}
     bad = {k: _split(k, False) for k in KINDS}
-    labelled = [tagged(good[k], k, 1) for k in KINDS] + [tagged(bad[k], k, 0) for k in KINDS]
-    runs = F.flatten(F.transform(F.filter(bad["card"], lambda x: F.length(digits(x["value"])) > 16), groups_of))
-    proposed = [tagged(runs, "card", None)] + [tagged(matches(F.col("text"), p, needs), k, None) for k, needs, p in GENERATORS]
-    return rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.concat(*labelled, *proposed).alias("spans"))
+    groups = F.flatten(F.transform(bad["card"], groups_of))
+    by_chance = lambda x: F.call_function("luhn_check", digits(x["value"]))
+    rows = rows.select("*", groups.alias("groups"))
+    labelled = [tagged(good[k], k, 1) for k in KINDS] + [tagged(bad[k], k, 0) for k in KINDS if k != "card"]
+    labelled += [tagged(F.filter("groups", lambda x: ~by_chance(x)), "card", 0)]
+    labelled += [tagged(matches(F.col("text"), p, needs), k, 0) for k, needs, p in OTHERS]
+    proposed = [tagged(F.filter("groups", by_chance), "card", None)]
+    proposed += [tagged(matches(F.col("text"), p, needs), k, None) for k, needs, p in GENERATORS]
+    left_out = F.pmod(F.xxhash64("text"), F.lit(5)) == 0  # equal texts go the same way
+    return rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", left_out.alias("left_out"), F.concat(*labelled, *proposed).alias("spans"))
 
 
 def _split(kind: str, good: bool) -> Column:
@@ -155,37 +176,43 @@ def char_class(c: Column) -> Column:
 
 def with_features(spans: DataFrame) -> DataFrame:
     value, parts = F.col("value"), F.expr("filter(split(value, '[^0-9]+'), x -> x <> '')")
-    lengths = F.transform(parts, lambda x: F.length(x))
-    largest = F.array_max(F.transform(parts, lambda x: F.coalesce(F.left(x, F.lit(9)).try_cast("int"), F.lit(0))))
+    apart = F.array_distinct(F.split(F.regexp_replace(value, "[A-Za-z0-9]", ""), ""))
     columns = {
-        "kind_number": F.col("kind"), "digits": F.length(digits(value)), "chars": F.length(value),
-        "check": F.call_function("luhn_check", digits(value)).cast("int"), "separators": F.length(F.regexp_replace(value, "[A-Za-z0-9]", "")),
-        "parts": F.size(parts), "longest": F.array_max(lengths), "largest": F.least(largest, F.lit(1000)),
+        "kind_number": F.col("kind"), "lead": F.left(digits(value), F.lit(2)).try_cast("int"), "grouped": (F.size(parts) > 1).cast("int"),
+        "separators": F.least(F.size(F.filter(apart, lambda c: c != "")), F.lit(4)), "letters": value.rlike("[A-Za-z]").cast("int"),
         "before_class": char_class(F.right("before", F.lit(1))), "after_class": char_class(F.col("after")),
-        "context": F.col("before").rlike(WORDS).cast("int"),
     }
+    columns |= {f"near_{k}": F.col("before").rlike(words).cast("int") for k, words in WORDS.items()}
     return spans.withColumns({name: F.coalesce(c.cast("double"), F.lit(-1.0)) for name, c in columns.items()})
 
 
 def thresholds(scored: DataFrame, precision: float, least: int = 20) -> dict[int, float]:
-    """Of each kind the lowest score from which on `precision` of at least `least` left-out spans are right."""
+    """Of each kind the lowest score from which on `precision` of the left-out spans are right.
+
+    A kind with fewer than `least` left-out spans takes the lowest score of all kinds together.
+    """
     bins = scored.groupBy("kind", F.floor(F.col("score") * 1000).alias("bin")).agg(F.sum("label").alias("right"), F.count(F.lit(1)).alias("n"))
-    out: dict[int, float] = {}
-    seen: dict[int, tuple[int, int]] = {}
-    for r in sorted(bins.collect(), key=lambda r: -r["bin"]):  # at most a thousand bins of each kind
-        right, n = seen.get(r["kind"], (0, 0))
-        seen[r["kind"]] = right, n = right + r["right"], n + r["n"]
-        if n >= least and right >= precision * n:
-            out[r["kind"]] = r["bin"] / 1000
-    return out
+    rows = sorted(bins.collect(), key=lambda r: -r["bin"])  # at most a thousand bins of each kind
+
+    def lowest(some: list) -> float | None:
+        right, n, limit = 0, 0, None
+        for k, r in enumerate(some):
+            right, n = right + r["right"], n + r["n"]
+            whole_bin = k + 1 == len(some) or some[k + 1]["bin"] != r["bin"]
+            if whole_bin and right >= precision * n:
+                limit = r["bin"] / 1000
+        return limit
+
+    own = {kind: [r for r in rows if r["kind"] == kind] for kind in range(len(KINDS))}
+    limits = {kind: lowest(some if sum(r["n"] for r in some) >= least else rows) for kind, some in own.items()}
+    return {kind: limit for kind, limit in limits.items() if limit is not None}
 
 
 def judged(spans: DataFrame, precision: float, trees: int, depth: int) -> DataFrame | None:
     """The proposals (label null) that the trees select: row, kind, start, end, score."""
     rows = with_features(spans)
-    left_out = F.pmod(F.xxhash64("row"), F.lit(5)) == 0
     known = rows.where("label is not null")
-    counts = known.where(~left_out).groupBy("label", *FEATURES).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    counts = known.where("not left_out").groupBy("label", *FEATURES).agg(F.count(F.lit(1)).cast("double").alias("weight"))
     train = set_down(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(counts), "pii-training")
     if train.select("label").distinct().count() < 2:
         return None
@@ -195,7 +222,7 @@ def judged(spans: DataFrame, precision: float, trees: int, depth: int) -> DataFr
         out = model.transform(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(some))
         return out.withColumn("score", vector_to_array("probability")[1])
 
-    limits = thresholds(score(known.where(left_out)), precision)
+    limits = thresholds(score(known.where("left_out")), precision)
     if not limits:
         return None
     enough = F.lit(False)
@@ -210,7 +237,7 @@ SPAN = "array<struct<kind: int, start: long, end: long>>"
 def found(docs: DataFrame, precision: float = 0.99, trees: int = 10, depth: int = 3) -> DataFrame:
     """(doc_id, base, spans): the spans of the formats, and all selected spans, by kind and start."""
     rows = set_down(candidates(docs), "pii-candidates")
-    selected = judged(rows.select("row", F.inline("spans")), precision, trees, depth)
+    selected = judged(rows.select("row", "left_out", F.inline("spans")), precision, trees, depth)
     base = F.transform(
         F.filter("spans", lambda x: x["label"] == 1), lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))
     )
