@@ -42,17 +42,18 @@ FORMATS = {
 # A text without this character has no match; shorter matches cannot pass nor hold a card.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 LEAST = {"email": 1, "ip": 1, "card": 13, "phone": 1}
+# Patterns that begin with a look behind take the first character before it: at most places that alone fails.
 GENERATORS = [
     ("email", " ", r"(?i)\b[a-z0-9._%+-]{2,64}\x20?(?:\(at\)|\[at\]|\{at\})\x20?[a-z0-9-]{2,64}\x20?(?:\(dot\)|\[dot\]|\{dot\}|\.)\x20?[a-z]{2,12}\b"),
     ("ip", ":", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"),
     ("ip", "[", r"(?<![0-9])[0-9]{1,3}(?:\[\.\][0-9]{1,3}){3}(?![0-9])"),
-    ("phone", None, r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])"),
+    ("phone", None, r"[(0-9](?<![0-9+.-][(0-9])(?:(?<=\()[0-9]{3}|(?<=[0-9])[0-9]{2})\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])"),
 ]
 # Look-alikes: spans that are surely not of the kind.
 OTHERS = [
     ("email", "@", r"(?<![A-Za-z0-9._%+@-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,64}(?![A-Za-z0-9.-])"),
-    ("ip", ".", r"(?<![0-9.])[0-9]{1,9}(?:\.[0-9]{1,9}){2}(?:(?:\.[0-9]{1,9}){2,6})?+(?!\.?[0-9])"),
-    ("phone", None, r"(?<![0-9+.-])(?:[0-9]{7,12}|[0-9]{1,4}([./-])[0-9]{1,2}\1[0-9]{1,4})(?![0-9.-])"),
+    ("ip", ".", r"[0-9](?<![0-9.][0-9])[0-9]{0,8}(?:\.[0-9]{1,9}){2}(?:(?:\.[0-9]{1,9}){2,6})?+(?!\.?[0-9])"),
+    ("phone", None, r"[0-9](?<![0-9+.-][0-9])(?:[0-9]{6,11}|[0-9]{0,3}([./-])[0-9]{1,2}\1[0-9]{1,4})(?![0-9.-])"),
 ]
 WORDS = {
     "email": r"(?i)(mail|contact|write|reach|send|\bat\b)", "ip": r"(?i)(\bip\b|address|host|server|client|from|node)",
