@@ -142,15 +142,16 @@ def move_folders(spark: SparkSession, source: str, target: str) -> None:
                 raise OSError(f"cannot move {status.getPath()} to {into}")
 
 
-def move_files(spark: SparkSession, source: str, target: str, leave_out: str) -> None:
+def move_files(spark: SparkSession, source: str, target: str, leave_out: str, only: str = "") -> None:
     """Move every file below ``source`` to the same folder below ``target``; path parts that begin with ``leave_out`` go into its name.
 
+    With ``only``, those below this folder of ``source``.
     A file is in one place or the other at any time, so the call may be repeated after a failure.
     """
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
     base = files.makeQualified(path(source)).toString().rstrip("/")
-    found = files.listFiles(path(source), True)
+    found = files.listFiles(path(f"{base}/{only}"), True)
     while found.hasNext():
         file = found.next().getPath()
         parts = file.toString().removeprefix(base).strip("/").split("/")

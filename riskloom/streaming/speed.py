@@ -6,8 +6,10 @@ and gives one back; ``write_files`` and ``refresh_table`` start the query.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,20 +103,48 @@ def sessions(events: DataFrame, key: str, time: str, value: str, gap: str, laten
     return _flat(grouped.agg(*_totals(value)), key)
 
 
+def _thinned(events: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
+    """Of the rows with one key that a task reads together, those that no earlier one makes needless.
+
+    A row goes if one before it has the key and is as late or later: where this row is on time that one is too, and then it
+    comes first. So the first row on time stays, whatever the watermark. Keys of nested types are left alone.
+    """
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    if any(isinstance(events.schema[k].dataType, nested) for k in keys):
+        return events
+    keys = list(keys)
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            table = pa.table([*(batch[k] for k in keys), pa.array(np.arange(n))], [*(f"k{i}" for i in range(len(keys))), "row"])
+            groups = table.group_by(table.column_names[:-1], use_threads=False).aggregate([("row", "list")])["row_list"].combine_chunks()
+            if len(groups) == n:
+                yield batch
+                continue
+            row = np.asarray(groups.flatten())
+            group = np.repeat(np.arange(len(groups)), np.asarray(groups.value_lengths()))
+            # Watermarks never drop a row without a time. Ranks, so that every group lies above those before it.
+            clock = np.asarray(batch[time].cast(pa.int64()).fill_null(np.iinfo(np.int64).max))
+            rank = np.unique(clock, return_inverse=True)[1][row] + group * n
+            stays = np.append(True, rank[1:] > np.maximum.accumulate(rank)[:-1])
+            yield batch.take(pa.array(np.sort(row[stays])))
+
+    return events.mapInArrow(thin, events.schema)
+
+
 def deduplicate(
     events: DataFrame, keys: Sequence[str], time: str, lateness: str, spread: bool = True
 ) -> DataFrame:
     """The first event of each key; repeats within the lateness are dropped.
 
-    A stream shuffles every copy of a key to one task. With ``spread`` the copies are
-    first thinned out among those that one task reads, so that a key with very many
-    copies is worked on by many tasks; this holds every key in the state twice.
+    A stream shuffles every copy of a key to one task. With ``spread`` the copies are first thinned out among those that
+    one task reads together, without state: copies of one time become one, copies at other times those that are later
+    than all before them. The state holds every key once.
     """
-    events = events.withWatermark(time, lateness)
     if spread:
-        events = events.withColumn("_reader", F.spark_partition_id())
-        events = events.dropDuplicatesWithinWatermark([*keys, "_reader"]).drop("_reader")
-    return events.dropDuplicatesWithinWatermark(list(keys))
+        events = _thinned(events, keys, time)
+    return events.withWatermark(time, lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
 def write_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

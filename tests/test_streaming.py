@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.catalog import streams
 from riskloom.operators.layout import key_bucket
 from riskloom.plans.aml import transaction_limit
 from riskloom.sources.tables import aml_rules, read_table
@@ -83,6 +84,58 @@ def test_deduplication_across_batches(spark, events, folders):
     assert found.count() == found.select("event_id").distinct().count() == 600
 
 
+def test_deduplication_holds_every_key_once(spark, events, folders):
+    """Copies are thinned out before the state, not by a second state."""
+    copies = events.filter("event_id < 50").crossJoin(spark.range(40).select()).unionByName(events)
+    copies.coalesce(1).write.parquet(folders["in"])
+    unique = speed.deduplicate(stream(spark, folders, events), ["event_id"], "ts", "60 days")
+    query = speed.write_files(unique, folders["out"], folders["checkpoint"])
+    query.awaitTermination()
+    states = [p["stateOperators"] for p in query.recentProgress]
+    assert all(len(s) == 1 for s in states) and max(s[0]["numRowsTotal"] for s in states) == 600
+    assert read_table(spark, folders["out"], events.schema).count() == 600
+    assert speed._thinned(copies.coalesce(1), ["event_id"], "ts").count() == 600
+
+
+def test_thinning_keeps_the_first_row_on_time(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.choice([1, 1, 1, 2, 3, None]), rng.choice([None, *map(at, range(30))]), 1.0) for i in range(400)]
+    thinned = speed._thinned(spark.createDataFrame(rows, SCHEMA).coalesce(1), ["user_id"], "ts").collect()
+    assert len(thinned) < 60 and [r.event_id for r in thinned] == sorted(r.event_id for r in thinned)
+    for mark in (None, *map(at, range(31))):
+        first = lambda rs: {k: next((r[0] for r in rs if r[1] == k and (mark is None or r[2] is None or r[2] > mark)), None) for k in (1, 2, 3, None)}  # noqa: B023, E731
+        assert first(thinned) == first(rows)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_thinning_changes_no_row_over_runs(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    folders = {n: str(tmp_path / n) for n in ("in", "spread", "plain", "spread-checkpoint", "plain-checkpoint")}
+    for run in range(4):
+        rows = [(100 * run + i, rng.randrange(12), rng.choice([None, *(at(10 * run + h) for h in range(-12, 12))]), 1.0) for i in range(100)]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(folders["in"])
+        for way in ("spread", "plain"):
+            arrived = speed.read_files(spark, folders["in"], spark.createDataFrame([], SCHEMA).schema)
+            unique = speed.deduplicate(arrived, ["user_id"], "ts", "3 hours", way == "spread")
+            speed.write_files(unique, folders[way], folders[f"{way}-checkpoint"]).awaitTermination()
+    found = [sorted(spark.read.schema(SCHEMA).parquet(folders[way]).collect(), key=str) for way in ("spread", "plain")]
+    assert found[0] == found[1] and len(found[0]) > 24
+
+
+def test_arrivals_are_worked_out_once(spark):
+    """Rows arrive in several runs, but what makes them runs over the table once; rows of no run stay away."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    made = spark.range(0, 200, 1, 4).select(F.col("id"), F.when(F.col("id") < 190, counted(F.col("id") % 2 * 2)).alias("run"))
+    table = streams._in_runs(spark, made, F.col("run"), "counted", lambda s: s.select("id"))
+    assert sorted(r.id for r in table.collect()) == list(range(190)) and seen.value <= 200
+
+
 def test_sessions(spark, folders):
     minutes = [0, 5, 9, 40, 44, 300]
     events = spark.createDataFrame([(i, 1, DAY0 + dt.timedelta(minutes=m), 1.0) for i, m in enumerate(minutes)], SCHEMA)
