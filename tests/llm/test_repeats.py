@@ -110,3 +110,23 @@ def test_passage_in_every_text_fills_several_tasks(spark, make_docs):
     assert spread.agg({"count": "max"}).first()[0] < 5000
     assert repeats.neighbours(hot).count() == 18_000
     assert repeats.neighbours(hot.where("t = 1").unionAll(hot.where("t = 1"))).count() == 0
+
+
+def test_only_texts_with_shared_anchors_are_shuffled(spark, make_docs, monkeypatch):
+    rng = random.Random(11)
+    texts = ["".join(rng.choices("abcdefgh ", k=600)) for _ in range(400)]
+    texts[7] = texts[3][:550] + "!" + texts[7][:80]
+    rows = [*enumerate(texts), (400, texts[5]), (401, texts[5])]
+    passed = []
+    undecided = repeats.undecided
+    monkeypatch.setattr(repeats, "undecided", lambda docs, *a: passed.append(docs.distinct().count()) or undecided(docs, *a))
+    assert found(repeats.without_repeats(make_docs(rows))) == brute(rows)
+    assert 2 <= passed[0] <= 5  # those that share a part; whole copies are told by their hash
+
+
+def test_bitmap_rules_out_no_key(spark):
+    docs = spark.range(50_000).select(repeats.F.xxhash64("id").alias("t"), "id")
+    told = repeats.possible(docs, docs.where("id % 10 = 3").select("t"))
+    assert told.where("possible and id % 10 = 3").count() == 5_000
+    assert told.where("possible").count() < 5_050
+    assert repeats.possible(docs, docs.limit(0)).where("possible").count() == 0
