@@ -3,9 +3,11 @@
 1. Equal sets are one *node* (a 64-bit hash of the sorted set), so copies are never compared with each other.
 2. A sketch of bounded size counts the shingles of the whole corpus. It orders shingles, rare ones first; any order gives
    right results, this one keeps what many documents share out of the index.
-3. Two similar sets share one of their first `n - ceil(t n) + 1` shingles. These go into inverted lists, spread by shingle;
-   a list is cut into bands of size, since similar sets are of similar size, and every band is tied together by edges to
-   its first node. Lists that may be long are salted and tied in two steps.
+3. Two similar sets share one of their first `n - ceil(t n) + 1` shingles. These and a few more go into inverted lists,
+   spread by shingle; lists that may be long are salted. A shingle whose list holds no other set of near size counts as
+   one that is not shared. What a set then still has to look up are its shortest lists, and most sets, those that have
+   less than their common part with others, have none. A list that some set needs is cut into bands of size, since similar
+   sets are of similar size, and each band and its neighbours are tied by edges to one set that needs it.
 4. The components of those edges are blocks: all links lie inside them. In a block each set, smallest first, is a query
    against the inverted lists of those before it (DivideSkip): a heap merges the short lists and keeps the sets that occur
    often enough, the longest lists are only probed by binary search, and sets that reach the overlap are linked. Sets of
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import groupby
@@ -33,13 +36,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.components import components
+from riskloom.llm.repeats import possible
 from riskloom.llm.tables import DOCUMENT_COLUMNS, set_down, texts
 from riskloom.llm.wordarrays import distinct_shingles, mix, powers, slices
 from riskloom.operators.joins import own_shuffle
 
-SKETCH_BITS = (16, 24)  # one-byte counters, about one for every eight words: 64 KB to 16 MB, whatever the corpus
+SKETCH_BITS = (16, 22)  # four-byte counters, about one for every eight words: 256 KB to 16 MB, whatever the corpus
 CHUNK = 1 << 14
-FULL = 255  # where counters stop
+FULL = (1 << 16) - 1  # where the counters of one task stop
+SPARE = 16  # of so many shingles of a set one more is listed
+PACK = 1 << 19  # postings that a task packs at once, and about those of a part
+_SALTS = mix(np.arange(65, dtype=np.uint64))
 MU = 0.0085  # share of a list's cost that a binary search saves, as usual for DivideSkip
 
 
@@ -63,12 +70,12 @@ def described(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
     bits = sketch_bits(texts(docs))
 
     def describe(batches) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(1 << bits, np.uint8)
+        counters = np.zeros(1 << bits, np.uint16)
         names = ["doc_id", "text_hash", "n_shingles", "node", "chunk", "counters"]
         for batch in slices(batches):
             sets = distinct_shingles(batch.column("text"), width)
             met, times = np.unique(bucket(np.concatenate(sets), counters), return_counts=True)
-            counters[met] = np.minimum(counters[met] + times, FULL)
+            counters[met] = np.minimum(counters[met].astype(np.int64) + times, FULL)
             n = len(sets)
             nodes = pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())
             sizes = pa.array([len(s) for s in sets], pa.int64())
@@ -77,7 +84,7 @@ def described(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
             part = counters[k * CHUNK : (k + 1) * CHUNK]
             if part.any():
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.nulls(1, pa.int64()) for _ in range(4)), pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], names
+                    [*(pa.nulls(1, pa.int64()) for _ in range(4)), pa.array([k], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names
                 )
 
     schema = "doc_id long, text_hash long, n_shingles long, node long, chunk int, counters binary"
@@ -87,14 +94,14 @@ def described(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, raw in zip(batch.column("chunk").to_pylist(), batch.column("counters").to_pylist(), strict=True):
-                sums[k] = np.minimum(sums.get(k, 0) + np.frombuffer(raw, np.uint8).astype(np.int32), FULL)
-        counters = [v.astype(np.uint8).tobytes() for v in sums.values()]
+                sums[k] = sums.get(k, 0) + np.frombuffer(zlib.decompress(raw), np.uint16).astype(np.int64)
+        counters = [np.minimum(v, np.iinfo(np.int32).max).astype(np.int32).tobytes() for v in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(counters, pa.binary())], ["chunk", "counters"])
 
     parts = out.where("chunk is not null").select("chunk", "counters").repartition("chunk").mapInArrow(add, "chunk int, counters binary")
-    sketch = np.zeros(1 << bits, np.uint8)
-    for r in parts.toLocalIterator():  # 2**bits bytes in all
-        sketch[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counters"], np.uint8)
+    sketch = np.zeros(1 << bits, np.int32)
+    for r in parts.toLocalIterator():  # 4 * 2**bits bytes in all
+        sketch[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counters"], np.int32)
     return out.where("chunk is null").select("doc_id", "text_hash", "n_shingles", "node"), sketch
 
 
@@ -103,57 +110,140 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def postings(docs: DataFrame, width: int, percent: int, sketch: np.ndarray, hot: int = FULL - 1) -> DataFrame:
-    """(token, salt, node, size): the first shingles of every set; `salt` is 0 unless the list may be longer than `hot`."""
-    names = ["token", "salt", "node", "size"]
+def prefix(n: int, percent: int) -> int:
+    """How many shingles of a set of n hold one at least of any set similar to it."""
+    return n - least_overlap(n, percent) + 1
+
+
+def spare(n: int, percent: int) -> int:
+    """How many shingles beyond those go into the lists: so many of a set's longest lists need no look."""
+    return min(n - prefix(n, percent), 1 + n // SPARE)
+
+
+BLOB = "part int, tokens binary, salts binary, places binary, nodes binary, sizes binary"
+
+
+def postings(docs: DataFrame, width: int, percent: int, sketch: np.ndarray, hot: int | None = None, parts: int = 8) -> DataFrame:
+    """The first shingles of every set, packed: a row holds those of many sets that lie in one of `parts` parts of all shingles.
+
+    `places` numbers the sets in `nodes` and `sizes`. `salts` is 0 unless a list may be longer than `hot`, which lies above
+    what shingles that merely share a counter come to.
+    """
+    hot = 254 + 2 * int(sketch.mean()) if hot is None else hot
+    names = [x.split()[0] for x in BLOB.split(", ")]
+
+    def packed(tokens: list, salts: list, nodes: list, sizes: list) -> pa.RecordBatch:
+        place = np.repeat(np.arange(len(tokens), dtype=np.int32), [len(t) for t in tokens])
+        token, salt, node, size = np.concatenate(tokens), np.concatenate(salts), np.array(nodes, np.int64), np.array(sizes, np.int32)
+        part = ((token + _SALTS[salt]) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        rows = []
+        for some in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+            own, at = np.unique(place[some], return_inverse=True)
+            at = at.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32)
+            rows.append((int(part[some[0]]), *(x.tobytes() for x in (token[some], salt[some], at, node[own], size[own]))))
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k else pa.int32()) for k, c in enumerate(zip(*rows, strict=True))], names)
 
     def emit(batches) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies inside a task
+        held, n_held = ([], [], [], []), 0
         for batch in slices(batches):
-            tokens, salts, nodes, sizes = [], [], [], []
             for shingles in distinct_shingles(batch.column("text"), width):
                 n = len(shingles)
                 if not n or (node := set_hash(shingles)) in seen:
                     continue
                 seen.add(node)
                 count = sketch[bucket(shingles, sketch)]
-                first = np.lexsort((shingles, count))[: n - least_overlap(n, percent) + 1]
-                tokens.append(shingles[first].view(np.int64))
-                salts.append(np.where(count[first] > hot, 1 + node % 64, 0).astype(np.int32))
-                nodes.append(np.full(len(first), node, np.int64))
-                sizes.append(np.full(len(first), n, np.int32))
-            if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (tokens, salts, nodes, sizes)], names)
+                first = np.lexsort((shingles, count))[: prefix(n, percent) + spare(n, percent)]
+                for x, values in zip((shingles[first], np.where(count[first] > hot, 1 + node % 64, 0).astype(np.uint8), node, n), held, strict=True):
+                    values.append(x)
+                n_held += len(first)
+            if n_held > PACK:
+                yield packed(*held)
+                held, n_held = ([], [], [], []), 0
+        if n_held:
+            yield packed(*held)
+
+    return texts(docs).where("doc_id is not null").mapInArrow(emit, BLOB)
 
-    return texts(docs).where("doc_id is not null").mapInArrow(emit, "token long, salt int, node long, size int")
+
+SHARED = "token long, node long, band int, spare int, others long, salted boolean"
+
+
+def shared(lists: DataFrame, percent: int) -> DataFrame:
+    """(token, node, band, spare, others, salted) of the postings whose list holds other sets of a size near enough.
+
+    The sizes of similar sets lie in the same band or in neighbouring ones; `others` counts these sets, in the list of one
+    salt where it is salted.
+    """
+    names, step = [x.split()[0] for x in BLOB.split(", ")], math.log(100 / percent)
+
+    def together(blobs: list[dict]) -> pa.RecordBatch:
+        token, salt = (np.concatenate([np.frombuffer(r[c], kind) for r in blobs]) for c, kind in (("tokens", np.int64), ("salts", np.uint8)))
+        node, size = [], []
+        for r in blobs:
+            own = np.frombuffer(r["nodes"], np.int64)
+            at = np.frombuffer(r["places"], np.uint16 if len(own) <= 1 << 16 else np.uint32)
+            node.append(own[at])
+            size.append(np.frombuffer(r["sizes"], np.int32)[at])
+        node, size = np.concatenate(node), np.concatenate(size)
+        band = np.floor(np.log(size.astype(np.float64)) / step + 1e-9).astype(np.int32)
+        order = np.lexsort((node, band, token))
+        # Copies of a set in several tasks.
+        token, node = token[order], node[order]
+        first = np.append(True, (token[1:] != token[:-1]) | (node[1:] != node[:-1]))
+        order, token, node = order[first], token[first], node[first]
+        salt, size, band = salt[order], size[order], band[order]
+        key = np.append(0, np.cumsum(token[1:] != token[:-1])) * (1 << 32) + band
+        others = np.searchsorted(key, key + 1, "right") - np.searchsorted(key, key - 1, "left") - 1
+        some = (others > 0) | (salt > 0)
+        kinds, back = np.unique(size[some], return_inverse=True)
+        extra = np.array([spare(int(n), percent) for n in kinds], np.int32)[back]
+        columns = (token[some], node[some], band[some], extra, others[some].astype(np.int64), salt[some] > 0)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [x.split()[0] for x in SHARED.split(", ")])
+
+    def gather(batches) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = {c: batch[c][k].as_py() for c in names}
+                if held and row["part"] != held[0]["part"]:
+                    yield together(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield together(held)
+
+    dealt = lists.repartition("part").sortWithinPartitions("part")
+    return dealt.mapInArrow(gather, SHARED)
 
 
 def candidate_edges(lists: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) that connect all sets of a list whose sizes allow them to be similar.
+    """Edges (a, b) that connect every two sets that may be similar.
 
-    The sizes of similar sets lie in the same band or in neighbouring ones.
+    Of two similar sets let A be the one whose listed shingles end first in the common order: all those that the other one,
+    B, has too are in B's lists. A shingle of A in a list without other sets of near size is not in B. These and the
+    shortest of the other lists, `prefix` in all, hold one at least that both have, so A needs a look into those lists only,
+    and none if there are `prefix` shingles of the first kind. In each of them the sets are tied to one that needs the list.
     """
-    band = F.floor(F.log(F.col("size").cast("double")) / F.lit(math.log(100 / percent)) + F.lit(1e-9))
-
-    def ties(rows: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
-        order = Window.partitionBy(*by).orderBy("band", "node")
-        inner = Window.partitionBy(*by, "band").orderBy("node")
-        seen = rows.select(
-            "token", "band", "node", *(["salt"] if "salt" in by else []), F.first("node").over(inner).alias("head"),
-            F.lag("node").over(order).alias("before"), (F.col("band") - F.lag("band").over(order)).alias("step"),
-        )
-        other = F.when(F.col("head") != F.col("node"), F.col("head")).when(F.col("step") == 1, F.col("before"))
-        return seen, seen.select(F.col("node").alias("a"), other.alias("b")).where("b is not null")
-
-    seen, edges = ties(lists.withColumn("band", band), ["token", "salt"])
-    edges = set_down(
-        # One pass for both: the heads of the parts of long lists are kept beside the edges.
-        edges.withColumn("token", F.lit(None).cast("long")).withColumn("band", F.lit(None).cast("long")).distinct()
-        .unionByName(seen.where("salt > 0 and head = node").select(F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "token", F.col("band").cast("long").alias("band"))),
-        "candidate-edges",
-    )
-    _, across = ties(edges.where("token is not null").select("token", "band", F.col("a").alias("node")), ["token"])
-    return edges.where("token is null").select("a", "b").union(across)
+    rows = set_down(shared(lists, percent), "shared-shingles")
+    near = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))
+    salted = rows.where("salted")
+    # Lists of several salts are counted together.
+    count = salted.groupBy("token", "band").agg(F.count(F.lit(1)).alias("n"))
+    count = count.select("token", near.alias("band"), "n").groupBy("token", "band").agg((F.sum("n") - 1).alias("others"))
+    counted = salted.drop("others").join(own_shuffle(count, ["token", "band"]), ["token", "band"]).where("others > 0")
+    columns = ["token", "node", "band", "spare", "others"]
+    counted = rows.where("not salted").select(columns).unionByName(counted.select(columns))
+    own = Window.partitionBy("node")
+    looks = counted.select(
+        "token", "node", "band", "spare", F.row_number().over(own.orderBy("others", "token")).alias("place"), F.count(F.lit(1)).over(own).alias("n")
+    ).where("place <= n - spare")
+    centres = looks.groupBy("token", "band").agg(F.min("node").alias("b"))
+    centres = set_down(centres.select("token", near.alias("band"), "b"), "lists")
+    wanted = possible(rows.select("token", "band", F.col("node").alias("a"), F.col("token").alias("t")), centres.select(F.col("token").alias("t")))
+    ties = wanted.where("possible").select("token", "band", "a").join(own_shuffle(centres, ["token", "band"]), ["token", "band"])
+    return ties.where("a <> b").select("a", "b").distinct()
 
 
 class Index:
@@ -251,7 +341,9 @@ def links(docs: DataFrame, blocks: DataFrame, width: int, percent: int) -> DataF
         if rows:
             yield edges(rows)
 
-    wanted = texts(docs).join(own_shuffle(blocks, "doc_id"), "doc_id").select("block", "other", "node", "text")
+    # Most texts are in no block; a bitmap rules nearly all of them out before the shuffle.
+    found = possible(texts(docs).withColumn("t", F.xxhash64("doc_id")), blocks.select(F.xxhash64("doc_id").alias("t")))
+    wanted = found.where("possible").select("doc_id", "text").join(own_shuffle(blocks, "doc_id"), "doc_id").select("block", "other", "node", "text")
     together = wanted.repartition("block", "other").sortWithinPartitions("block", "other", "node")
     return together.mapInArrow(search, "a long, b long")
 
@@ -270,9 +362,11 @@ def in_blocks(nodes: DataFrame, candidates: DataFrame, most: int) -> DataFrame:
 def labelled_sets(docs: DataFrame, width: int, percent: int, most: int) -> DataFrame:
     """(doc_id, text_hash, n_shingles, label, component_id) of every document; no label without a set or an id."""
     sets, sketch = described(docs, width)
-    candidates = candidate_edges(postings(docs, width, percent, sketch), percent)
+    listed = sets.agg(F.sum("n_shingles")).first()[0] or 0
+    candidates = candidate_edges(postings(docs, width, percent, sketch, parts=1 + listed * (100 - percent) // 100 // PACK), percent)
     nodes = sets.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"))
-    found = components(links(docs, in_blocks(nodes, candidates, most), width, percent))
+    blocks = set_down(in_blocks(nodes, candidates, most), "blocks")
+    found = components(links(docs, blocks, width, percent))
     labelled = nodes.join(own_shuffle(found, "node"), "node", "left").select("node", "doc_id", F.coalesce("label", "node").alias("label"))
     smallest = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     by_node = labelled.join(own_shuffle(smallest, "label"), "label").select("node", "label", "component_id")

@@ -124,3 +124,22 @@ def test_one_of_each_keeps_the_other_text_of_an_id(spark, make_docs):
     left = sorted((r.doc_id, r.text) for r in jaccard.one_of_each(make_docs(rows)).collect())
     # Of the group of a one of the two texts of document 1 stays; of the group of b document 2's text.
     assert len(left) == 3 and left[0][0] == 1 and left[0][1].startswith(a) and left[1:] == [(2, b), (5, "")]
+
+
+def test_shared_passages_tie_nothing(spark, make_docs):
+    """Under a sketch that tells no shingle from another, sets that share less than similar ones must are in no block."""
+    rng, k = random.Random(11), 0
+    passages = [" ".join(f"p{p}w{i}" for i in range(9)) for p in range(4)]
+    apart, near = [], near_copies(13, 6, 8)
+    for _ in range(120):
+        own = [f"u{(k := k + 1)}" for _ in range(rng.randrange(60, 90))]
+        apart.append(" ".join([*own[:20], rng.choice(passages), *own[20:]]))
+    rows = list(enumerate(apart + near))
+    docs = make_docs(rows)
+    sets, _ = jaccard.described(docs, 5)
+    node = {r.doc_id: r.node for r in sets.collect()}
+    for hot in (1 << 30, -1):
+        edges = jaccard.candidate_edges(jaccard.postings(docs, 5, 80, np.zeros(1 << 14, np.int32), hot), 80)
+        block = {r.node: r.label for r in components(edges).collect()}
+        assert not {node[i] for i in range(len(apart))} & set(block)
+        assert all(node[i] == node[top] or block[node[i]] == block[node[top]] for i, _, top in brute(rows))
