@@ -390,10 +390,17 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, most: int =
     doc_id and text one stays; rows with a null id all stay.
     """
     docs = docs.select(DOCUMENT_COLUMNS)
-    grouped = set_down(labelled_sets(docs, width, percent, most).where("label is not null").select("label", "doc_id", "text_hash"), "near-copies")
-    kept = grouped.groupBy("label").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
-    gone = grouped.join(own_shuffle(kept, "label"), "label").where(F.struct("doc_id", "text_hash") != F.col("first"))
-    gone = gone.select("doc_id", "text_hash").distinct()
-    known = docs.where("doc_id is not null").withColumn("text_hash", F.xxhash64(F.col("text").cast("string")))
-    known = known.join(own_shuffle(gone, ["doc_id", "text_hash"]), ["doc_id", "text_hash"], "left_anti")
-    return known.dropDuplicates(["doc_id", "text"]).select(DOCUMENT_COLUMNS).unionByName(docs.where("doc_id is null"))
+    grouped = labelled_sets(docs, width, percent, most).where("doc_id is not null").select("label", "doc_id", "text_hash")
+    grouped = set_down(grouped, "near-copies")
+    key = ["doc_id", "text_hash"]
+    kept = grouped.where("label is not null").groupBy("label").agg(F.min(F.struct(*key)).alias("first"))
+    gone = grouped.join(own_shuffle(kept, "label"), "label").where(F.struct(*key) != F.col("first")).select(key).distinct()
+    twice = grouped.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key)
+    touched = set_down(gone.withColumn("gone", F.lit(True)).unionByName(twice.withColumn("gone", F.lit(False))), "touched")
+    t = F.xxhash64(*key).alias("t")
+    known = docs.where("doc_id is not null").withColumn("text_hash", F.xxhash64(F.col("text").cast("string"))).select("*", t)
+    # Only rows that may go or be repeated are shuffled, a share of all; a bitmap tells the others.
+    known = possible(known, touched.select(t))
+    some = known.where("possible").join(own_shuffle(touched.where("gone"), key), key, "left_anti").dropDuplicates([*key, "text"])
+    left = known.where("not possible").select(DOCUMENT_COLUMNS).unionByName(some.select(DOCUMENT_COLUMNS))
+    return left.unionByName(docs.where("doc_id is null"))

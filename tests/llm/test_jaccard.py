@@ -143,3 +143,18 @@ def test_shared_passages_tie_nothing(spark, make_docs):
         block = {r.node: r.label for r in components(edges).collect()}
         assert not {node[i] for i in range(len(apart))} & set(block)
         assert all(node[i] == node[top] or block[node[i]] == block[node[top]] for i, _, top in brute(rows))
+
+
+def test_one_of_each_shuffles_no_text_that_stays(spark, make_docs):
+    a = " ".join(f"a{k}" for k in range(60))
+    rows = [(1, a), (2, a + " more"), (3, None), (3, None), (3, ""), (4, "b c"), (4, "b c"), (None, "b c"), (None, "b c")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = jaccard.one_of_each(make_docs(rows))
+        got = sorted((r.doc_id or 0, r.text or "") for r in left.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == [(0, "b c"), (0, "b c"), (1, a), (3, ""), (3, ""), (4, "b c")]
+    # Whatever is dealt out by id and text has gone through the bitmap, and is dealt out once.
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\([^)]*\btext#", plan) and "bits#" in plan
